@@ -117,3 +117,16 @@ def build_features(bars: DataFrame, params: FeatureParams = FeatureParams(),
         .alias("trend_strength"),
     )
     return out.select(*FEATURE_COLUMNS)
+
+
+def true_range(bars: DataFrame, params: FeatureParams = FeatureParams()) -> DataFrame:
+    """true range per bar; the first bar of a symbol uses high - low."""
+    p = FeatureParams(block_size=params.block_size, scan_chunk=params.scan_chunk,
+                      adv_window=2, atr_window=2, sma_fast=2, sma_slow=2)
+    d, w = with_sequence_columns(bars, p)
+    prev = F.lag("close", 1).over(w)
+    d = d.select("symbol", "date", "high", "low", "halo", prev.alias("pc"))
+    return d.filter(F.col("halo") == 0).select(
+        "symbol", "date",
+        F.greatest(F.col("high") - F.col("low"), F.abs(F.col("high") - F.col("pc")),
+                   F.abs(F.col("low") - F.col("pc"))).alias("true_range"))

@@ -158,21 +158,182 @@ def report_sql(rp: ReportParams = REPORT_PARAMS) -> dict[str, str]:
         for name, k, thr, up in [("up_20_in_5", 5, 0.20, True), ("down_20_in_5", 5, 0.20, False),
                                  ("up_50_in_40", 40, 0.50, True), ("down_50_in_40", 40, 0.50, False)]:
             out[prefix + name] = with_(STOCKS, movers_sql(k, thr, up, where))
+    exported = ["top_rvol", "top_tr_comp", "gainers", "losers", "up_20_in_5", "down_20_in_5",
+                "up_50_in_40", "down_50_in_40", "closers_with_rvol", "etf_closers_with_rvol",
+                "basket_up_20_in_5", "basket_down_20_in_5", "basket_up_50_in_40",
+                "basket_down_50_in_40"]
+    parts = []
+    for key in exported:
+        body = out[key].split("\nSELECT ", 1)[1] if key not in ("closers_with_rvol", "etf_closers_with_rvol") \
+            else out[key].rsplit("\nSELECT ", 1)[1]
+        parts.append(f"SELECT '{key}' AS report_id, count(*) AS row_count FROM (SELECT {body})")
+    out["report_manifest"] = with_(STOCKS + ETFS, "\nUNION ALL\n".join(parts))
     out["recent_rank"] = with_(STOCKS, "SELECT symbol, date, row_number() OVER "
                                        "(PARTITION BY symbol ORDER BY date DESC) AS row_num FROM s_feat")
     return out
 
 
 def movers_sql(k: int, thr: float, up: bool, where: str) -> str:
+    """A SELECT (no WITH) over ``s_feat``: newest row vs the row k bars back."""
     ratio = "r1.close / NULLIF(rk.close, 0) - 1"
     cond = f"{ratio} > {thr}" if up else f"{ratio} < -{thr}"
-    return f""", recent AS (
+    recent = f"""(
   SELECT symbol, close, pct_change, pct_open_to_close, pct_gap, rvol, atr, adv, tr_comp,
          ema_9, volume, rsi,
          row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS row_num
-  FROM s_feat WHERE {where})
-SELECT r1.symbol, {R(f'({ratio}) * 100', 1)} AS pct_change_{k}, r1.close AS close, r1.rvol,
+  FROM s_feat WHERE {where})"""
+    return f"""SELECT r1.symbol, {R(f'({ratio}) * 100', 1)} AS pct_change_{k}, r1.close AS close, r1.rvol,
        r1.pct_change, r1.pct_open_to_close, r1.ema_9, r1.atr, r1.rsi, r1.volume, r1.adv,
        r1.tr_comp, r1.pct_gap
-FROM recent r1 JOIN recent rk ON r1.symbol = rk.symbol AND r1.row_num = 1 AND rk.row_num = {k + 1}
+FROM {recent} r1 JOIN {recent} rk ON r1.symbol = rk.symbol AND r1.row_num = 1 AND rk.row_num = {k + 1}
 WHERE {cond}"""
+
+
+OPEN_FOREVER = 2 ** 62
+
+
+def study_ctes(sp: StudyParams = STUDY_PARAMS) -> list[str]:
+    syms = ", ".join(f"'{s}'" for s in sp.symbols)
+    h = sp.max_hold_bars
+    return [
+        f"""win AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS n FROM s_feat
+  WHERE adv > {sp.min_adv} AND date > DATE '{sp.start_exclusive}' AND date < DATE '{sp.end_exclusive}'
+    AND symbol IN ({syms}))""",
+        f"""sig AS (
+  SELECT symbol, date AS signal_date, n AS signal_bar FROM win
+  WHERE range_pct > {sp.min_range_pct} AND rvol > {sp.min_rvol} AND adv > {sp.min_adv}
+    AND pct_gap > {sp.min_gap} AND open > ema_9 AND n - 1 >= {sp.warmup_bars})""",
+        """ent AS (
+  SELECT s.*, e.date AS entry_date, e.open AS entry_px, e.low AS entry_low, e.n AS e_n
+  FROM sig s LEFT JOIN win e ON e.symbol = s.symbol AND e.n = s.signal_bar + 1)""",
+        f"""dec AS (
+  SELECT t.symbol, t.signal_bar, min(b.n) AS d_n
+  FROM ent t JOIN win b ON b.symbol = t.symbol AND b.n BETWEEN t.e_n + 1 AND t.e_n + {h}
+  WHERE b.low < t.entry_low OR b.n - t.e_n >= {h}
+  GROUP BY t.symbol, t.signal_bar)""",
+        f"""lab AS MATERIALIZED (
+  SELECT t.symbol, t.signal_date, t.signal_bar, t.entry_date, t.entry_px,
+         CAST(coalesce(d.d_n, {OPEN_FOREVER}) AS BIGINT) AS decision_bar,
+         x.date AS exit_date, x.open AS exit_px,
+         CAST(x.n - t.e_n AS INTEGER) AS bars_held,
+         CASE WHEN x.n IS NULL THEN 'open' WHEN db.low < t.entry_low THEN 'stop' ELSE 'time' END AS exit_reason
+  FROM ent t LEFT JOIN dec d ON d.symbol = t.symbol AND d.signal_bar = t.signal_bar
+  LEFT JOIN win db ON db.symbol = t.symbol AND db.n = d.d_n
+  LEFT JOIN win x ON x.symbol = t.symbol AND x.n = d.d_n + 1)""",
+        """ks AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY signal_bar) AS k
+  FROM lab WHERE entry_date IS NOT NULL)""",
+        """walk AS (
+  SELECT symbol, k, TRUE AS taken, decision_bar AS free_from FROM ks WHERE k = 1
+  UNION ALL
+  SELECT s.symbol, s.k, s.signal_bar >= w.free_from,
+         CASE WHEN s.signal_bar >= w.free_from THEN s.decision_bar ELSE w.free_from END
+  FROM walk w JOIN ks s ON s.symbol = w.symbol AND s.k = w.k + 1)""",
+        f"""trades AS MATERIALIZED (
+  SELECT ks.symbol, signal_date, entry_date, entry_px, exit_date, exit_px, bars_held, exit_reason,
+         CASE WHEN exit_px IS NOT NULL
+              THEN exit_px * {D(1 - sp.commission)} / (entry_px * {D(1 + sp.commission)}) - 1 END AS return_pct
+  FROM ks JOIN walk ON ks.symbol = walk.symbol AND ks.k = walk.k WHERE walk.taken)""",
+    ]
+
+
+def _summary_sql(sp: StudyParams) -> str:
+    r = "return_pct"
+    growth = f"exp(sum(ln(1 + {r})))"
+    return ", ".join([
+        f"count({r}) AS trades",
+        f"CAST(count_if({r} IS NULL) AS BIGINT) AS open_trades",
+        f"CAST(count_if({r} > 0) AS BIGINT) AS wins",
+        f"{R(f'count_if({r} > 0) / NULLIF(count({r}), 0)', 6)} AS win_rate",
+        f"{R(f'avg({r})', 6)} AS avg_return",
+        f"{R(f'max({r})', 6)} AS best_return",
+        f"{R(f'min({r})', 6)} AS worst_return",
+        f"{R(f'{growth} - 1', 6)} AS compounded_return",
+        f"{R(f'{D(sp.cash)} * {growth}', 2)} AS final_value",
+    ])
+
+
+def study_sql(sp: StudyParams = STUDY_PARAMS) -> dict[str, str]:
+    base = STOCKS + study_ctes(sp)
+    return {
+        "liquid_window": with_(base, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM win"),
+        "distinct_symbols": with_(base, "SELECT DISTINCT symbol FROM win"),
+        "entry_signals": with_(base, "SELECT symbol, signal_date, signal_bar FROM sig"),
+        "label_exits": with_(base, "SELECT * FROM lab"),
+        "non_overlapping_trades": with_(base, "SELECT ks.* EXCLUDE (k) FROM ks JOIN walk "
+                                              "ON ks.symbol = walk.symbol AND ks.k = walk.k WHERE walk.taken"),
+        "trades_ranked": with_(base, "SELECT * FROM trades"),
+        "trade_summary": with_(base, f"SELECT symbol, {_summary_sql(sp)} FROM trades GROUP BY symbol"),
+        "trade_summary_all": with_(base, f"SELECT {_summary_sql(sp)} FROM trades"),
+    }
+
+
+def _money(expr: str, places: int) -> str:
+    return f"CASE WHEN ({expr}) IS NOT NULL THEN format('{{:,.{places}f}}', {expr}) END"
+
+
+IDEAS = f"""ideas AS (
+  SELECT idea_id, CASE WHEN idea_id % 10 = 0 THEN 'abc' ELSE '100000' END AS portfolio,
+         '0.01' AS risk, close AS entry, low AS stop, high AS target
+  FROM (SELECT row_number() OVER (ORDER BY symbol) AS idea_id, close, low, high
+        FROM s_feat WHERE {LATEST}))"""
+
+SIZED = """sized AS (
+  SELECT idea_id, valid, amount AS risk_amount, profit_ps AS profit_per_share,
+         risk_ps AS risk_per_share, by_risk, entry, pf,
+         CASE WHEN by_risk * entry > pf THEN pf / NULLIF(entry, 0) ELSE by_risk END AS shares
+  FROM (SELECT *, amount / NULLIF(risk_ps, 0) AS by_risk FROM (
+    SELECT idea_id, entry, TRY_CAST(portfolio AS DOUBLE) AS pf,
+           TRY_CAST(portfolio AS DOUBLE) IS NOT NULL AND TRY_CAST(risk AS DOUBLE) IS NOT NULL AS valid,
+           CASE WHEN TRY_CAST(portfolio AS DOUBLE) IS NOT NULL AND TRY_CAST(risk AS DOUBLE) IS NOT NULL
+                THEN TRY_CAST(portfolio AS DOUBLE) * TRY_CAST(risk AS DOUBLE) END AS amount,
+           abs(entry - target) AS profit_ps, abs(entry - stop) AS risk_ps
+    FROM ideas)))"""
+
+
+def sizing_sql() -> dict[str, str]:
+    base = STOCKS + [IDEAS, SIZED]
+    sized_cols = f"""idea_id, valid, risk_amount, profit_per_share, risk_per_share,
+  {R('profit_per_share / NULLIF(risk_per_share, 0)', 1)} AS rr_ratio, shares,
+  {R('shares * entry', 2)} AS total_cost, {R('shares * profit_per_share', 2)} AS total_profit,
+  {R('shares * risk_per_share', 2)} AS total_risk"""
+    return {
+        "risk_amount": with_(base, f"""SELECT idea_id, portfolio, risk,
+  TRY_CAST(portfolio AS DOUBLE) IS NOT NULL AND TRY_CAST(risk AS DOUBLE) IS NOT NULL AS valid,
+  TRY_CAST(portfolio AS DOUBLE) * TRY_CAST(risk AS DOUBLE) AS risk_amount,
+  coalesce({_money('TRY_CAST(portfolio AS DOUBLE) * TRY_CAST(risk AS DOUBLE)', 2)}, 'Invalid input.')
+    AS risk_amount_label
+FROM ideas"""),
+        "size_positions": with_(base, f"SELECT {sized_cols} FROM sized"),
+        "position_labels": with_(base, f""", s2 AS (SELECT {sized_cols} FROM sized)
+SELECT idea_id, {_money(R('shares', 0), 0)} AS shares_label,
+  {_money('total_cost', 2)} AS total_cost_label, {_money('total_profit', 2)} AS total_profit_label,
+  {_money('total_risk', 2)} AS total_risk_label,
+  CASE WHEN rr_ratio IS NOT NULL THEN format('{{:.1f}}', rr_ratio) END AS rr_label
+FROM s2"""),
+    }
+
+
+def source_sql() -> dict[str, str]:
+    uni = f"""SELECT 'SP_500' AS universe, p_brand AS symbol FROM part
+UNION SELECT 'BASKET', p_brand FROM part
+  WHERE TRY_CAST(split_part(p_brand, '#', 2) AS INTEGER) BETWEEN 1 AND {BASKET_MAX_BRAND}
+UNION SELECT 'ETF', p_type FROM part"""
+    sp = STUDY_PARAMS
+    return {
+        "session_date": """SELECT event_id, CAST(ts AS DATE) AS utc_date,
+  CAST(timezone('America/New_York', timezone('UTC', ts)) AS DATE) AS session_date FROM events""",
+        "universe_counts": f"SELECT universe, count(DISTINCT symbol) AS n_symbols FROM ({uni}) GROUP BY universe",
+        "universe_filter": with_(STOCKS, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM s_feat WHERE {BASKET_FILTER}"),
+        "scan_bars": with_(bars_ctes("s_", "p_brand"),
+                           f"SELECT * FROM s_bars WHERE date >= DATE '{sp.start_exclusive}' "
+                           f"AND date <= DATE '{sp.end_exclusive}' AND {BASKET_FILTER}"),
+        "true_range": with_(STOCKS[:3], """SELECT symbol, date,
+  greatest(high - low, abs(high - pc), abs(low - pc)) AS true_range FROM s_f1"""),
+        "custom_indicator": with_(STOCKS, "SELECT symbol, date, sma_50, sma_200 FROM s_feat"),
+        "publish_roundtrip": with_(STOCKS, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM s_feat"),
+        "publish_check": with_(STOCKS, """SELECT count(*) AS rows_computed, count(*) AS rows_written,
+  count(DISTINCT (symbol, date)) AS distinct_keys FROM s_feat"""),
+        "preview": with_(STOCKS, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM s_feat ORDER BY symbol, date LIMIT 10"),
+    }
