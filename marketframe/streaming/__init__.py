@@ -1,0 +1 @@
+from marketframe.streaming.bars_stream import daily_bars_stream, refresh_bars  # noqa: F401
