@@ -15,6 +15,7 @@ from marketframe.functions.numeric import div, nan_to_null, rnd
 from marketframe.operators.scan import Recurrence, chunk_of, linear_scan
 from marketframe.operators.sequence import halo_blocks, number_rows
 from marketframe.schema import BAR_COLUMNS, FEATURE_COLUMNS, FeatureParams
+from marketframe.session import materialize
 
 
 def _mean_of_last(col: str, n: int, w: Window) -> Column:
@@ -44,8 +45,10 @@ def build_features(bars: DataFrame, params: FeatureParams = FeatureParams(),
     intraday bars pass e.g. ``F.to_date('date')``.
     """
     p = params
-    bars = bars.select("symbol", "date", *[nan_to_null(F.col(c).cast("double")).alias(c)
-                                          for c in BAR_COLUMNS[2:]])
+    # The numbering reads the bars twice (counts, rows); if they come from a
+    # computed plan (e.g. resampled ticks), compute that once.
+    bars = materialize(bars.select(
+        "symbol", "date", *[nan_to_null(F.col(c).cast("double")).alias(c) for c in BAR_COLUMNS[2:]]))
     d, w = with_sequence_columns(bars, p, chunk)
 
     # Pass 1 (same window spec throughout, so one sort): previous close and

@@ -36,12 +36,15 @@ def chunk_of(index: str, block: str, chunk: int, block_size: int) -> Column:
 
 
 def linear_scan(df: DataFrame, specs: list[Recurrence], key: str, block: str, index: str,
-                chunk: int, block_size: int, sub_col: str | None = None) -> DataFrame:
+                chunk: int, block_size: int, sub_col: str | None = None,
+                materialize_locals: bool = True) -> DataFrame:
     """Evaluate each recurrence in ``specs``; adds one column per spec.
 
     ``df`` must hold each (key, block) group whole (rows of other blocks,
     e.g. halo copies, removed) with ``index`` the 1-based position in the
-    key's series; ``block_size`` must be a multiple of ``chunk``.  Pass
+    key's series; ``block_size`` must be a multiple of ``chunk``.  With
+    ``materialize_locals`` the per-row running sums are checkpointed before
+    the plan forks into the carry fold and the final per-row pass.  Pass
     ``sub_col`` when ``df`` already carries ``chunk_of(...)`` (and is sorted
     by it), so that the scan reuses the existing sort.
     """
@@ -62,6 +65,12 @@ def linear_scan(df: DataFrame, specs: list[Recurrence], key: str, block: str, in
         for s in specs
     ])
 
+    # The chunk summaries and the rows both derive from ``d``: checkpoint it
+    # so the window pass runs once instead of once per branch.
+    if materialize_locals:
+        from marketframe.session import materialize
+        d = materialize(d, force=True)
+
     # One summary row per chunk: its length and its last local value.
     summary = d.groupBy(key, block, "_sub").agg(
         F.count(F.lit(1)).alias("n"),

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -44,3 +45,24 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         configured = tempfile.mkdtemp(prefix="marketframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+_COMPUTED = ("Aggregate", "Join", "Window", "Generate", "Repartition", "Sort", "Union", "Python")
+
+
+def materialize(df, force: bool = False):
+    """Cut lineage at a fork: write ``df`` as a Parquet table under the shared
+    checkpoint folder and read it back, unless it is already a plain table
+    scan (re-reading that is cheaper than writing a copy).
+
+    One job writes the table (``Dataset.checkpoint`` would run the plan twice
+    unless it were cached first); readers then scan columnar files, and the
+    copy survives executor loss, unlike a local checkpoint."""
+    if not force:
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        if not any(k in plan for k in _COMPUTED):
+            return df
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

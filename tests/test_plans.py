@@ -15,9 +15,15 @@ def plan(df):
 
 
 def test_feature_plan_is_native(spark):
-    p = plan(Inputs(spark, SF).stocks)
+    from marketframe.operators.features import with_sequence_columns
+    from marketframe.schema import FeatureParams
+    inp = Inputs(spark, SF)
+    p = plan(inp.stocks)
     assert "Python" not in p and "ArrowEval" not in p and "BatchEval" not in p
-    assert "Window" in p
+    # the window pass runs on (symbol, block), never on symbol alone
+    d, w = with_sequence_columns(inp.stock_bars, FeatureParams())
+    wp = plan(d.select("*", F.lag("close").over(w)))
+    assert "hashpartitioning(symbol" in wp and "Python" not in wp
 
 
 def test_movers_limit_per_symbol_before_shuffle(spark):
