@@ -34,3 +34,16 @@ def nan_to_null(c) -> Column:
     NaN would pass ``x > 0.8``.  Map it to null at the scan."""
     c = _col(c)
     return F.when(~F.isnan(c), c)
+
+
+# SQL-text forms, for long projections written with ``selectExpr`` (one parse
+# per column instead of one JVM call per operator).
+def rnd_sql(expr: str, places: int) -> str:
+    if places == 0:
+        return f"rint({expr})"
+    scale = f"{10 ** places}.0D"
+    return f"(rint(({expr}) * {scale}) / {scale})"
+
+
+def div_sql(a: str, b: str) -> str:
+    return f"try_divide({a}, {b})"

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketframe.functions.numeric import div, nan_to_null, rnd
+from marketframe.functions.numeric import div_sql, nan_to_null, rnd, rnd_sql
 from marketframe.operators.scan import Recurrence, chunk_of, linear_scan
 from marketframe.operators.sequence import halo_blocks, number_rows
 from marketframe.schema import BAR_COLUMNS, FEATURE_COLUMNS, FeatureParams
@@ -93,31 +93,30 @@ def build_features(bars: DataFrame, params: FeatureParams = FeatureParams(),
     ]
     d = linear_scan(d, specs, "symbol", "block", "bar_no", p.scan_chunk, p.block_size, sub_col="sub")
 
-    atr_r = rnd(F.when(n >= p.atr_window, F.col("y_atr")), 2)
-    atr = F.when(atr_r != 0, atr_r)
-    dtr = rnd(F.abs(F.col("high") - F.col("low")), 2)
-    rsi = F.when(F.col("y_dn") == 0, F.lit(100.0)).otherwise(
-        F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + F.col("y_up") / F.col("y_dn")))
-    prev_c = F.col("prev_close")
-    out = d.select(
+    atr = (f"CASE WHEN bar_no >= {p.atr_window} AND {rnd_sql('y_atr', 2)} <> 0 "
+           f"THEN {rnd_sql('y_atr', 2)} END")
+    dtr = rnd_sql("abs(high - low)", 2)
+    rsi = ("CASE WHEN y_dn = 0 THEN 100.0D "
+           f"ELSE {rnd_sql('100.0D - 100.0D / (1.0D + y_up / y_dn)', 2)} END")
+    change = f"({div_sql('close', 'prev_close')} - 1) * 100"
+    out = d.selectExpr(
         "symbol", "date",
-        rnd((div("close", prev_c) - 1) * 100, 2).alias("pct_change"),
-        rnd(div(F.col("close") - F.col("open"), F.col("open")) * 100, 2).alias("pct_open_to_close"),
-        F.when(prev_c == 0, F.lit(0.0))
-         .otherwise(rnd(div(F.col("open") - prev_c, prev_c) * 100, 2)).alias("pct_gap"),
+        f"{rnd_sql(change, 2)} AS pct_change",
+        f"{rnd_sql(div_sql('close - open', 'open') + ' * 100', 2)} AS pct_open_to_close",
+        f"CASE WHEN prev_close = 0 THEN 0.0D "
+        f"ELSE {rnd_sql(div_sql('open - prev_close', 'prev_close') + ' * 100', 2)} END AS pct_gap",
         "open", "high", "low", "close", "volume", "adv",
-        rnd(div("volume", "adv"), 2).alias("rvol"),
-        atr.alias("atr"),
-        dtr.alias("dtr"),
-        rnd(div(dtr, atr), 2).alias("tr_comp"),
-        F.when(n >= p.ema_fast, rnd("y_ema_f", 2)).alias("ema_9"),
-        F.when(n >= p.ema_slow, rnd("y_ema_s", 2)).alias("ema_21"),
-        rnd("sma_f", 2).alias("sma_50"),
-        rnd("sma_s", 2).alias("sma_200"),
-        F.when(n >= p.rsi_window, rnd(rsi, 2)).alias("rsi"),
-        rnd(div(F.col("close") - F.col("low"), F.col("high") - F.col("low")), 2).alias("range_pct"),
-        rnd(div(F.abs(F.col("open") - F.col("close")), F.abs(F.col("high") - F.col("low"))), 2)
-        .alias("trend_strength"),
+        f"{rnd_sql(div_sql('volume', 'adv'), 2)} AS rvol",
+        f"{atr} AS atr",
+        f"{dtr} AS dtr",
+        f"{rnd_sql(div_sql(dtr, atr), 2)} AS tr_comp",
+        f"CASE WHEN bar_no >= {p.ema_fast} THEN {rnd_sql('y_ema_f', 2)} END AS ema_9",
+        f"CASE WHEN bar_no >= {p.ema_slow} THEN {rnd_sql('y_ema_s', 2)} END AS ema_21",
+        f"{rnd_sql('sma_f', 2)} AS sma_50",
+        f"{rnd_sql('sma_s', 2)} AS sma_200",
+        f"CASE WHEN bar_no >= {p.rsi_window} THEN {rsi} END AS rsi",
+        f"{rnd_sql(div_sql('close - low', 'high - low'), 2)} AS range_pct",
+        f"{rnd_sql(div_sql('abs(open - close)', 'abs(high - low)'), 2)} AS trend_strength",
     )
     return out.select(*FEATURE_COLUMNS)
 
