@@ -6,7 +6,8 @@ would bound the job.  Instead:
 
 * ``number_rows`` gives every row its 1-based position in its series from
   per-(symbol, chunk) counts: the counts table is tiny, its prefix sums are
-  joined back, and ``row_number`` runs per (symbol, chunk) only.
+  joined back, and the running count runs per (symbol, chunk) only
+  (``running_count`` does the same for any flag).
 * ``halo_blocks`` cuts each series into blocks of fixed length and copies
   the last ``before`` rows of a block into the next block (and/or the first
   ``after`` rows into the previous one).  Sliding windows over
@@ -20,29 +21,39 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def number_rows(df: DataFrame, key: str, order: str, chunk: Column,
-                out: str = "bar_no", total: str | None = None) -> DataFrame:
-    """Add ``out`` = position (1-based) of each row within ``key`` by ``order``.
+def running_count(df: DataFrame, key: str, order: str, chunk: Column, flag: Column,
+                  out: str, total: str | None = None) -> DataFrame:
+    """Add ``out`` = number of rows of the same key, up to and including this
+    one in ``order``, for which ``flag`` is true.
 
     ``chunk`` must be monotone in ``order`` (e.g. the year of the date); it
-    bounds the rows one window partition holds.  With ``total`` set, also add
-    the number of rows of the key.
+    bounds the rows one window partition holds.  Per-(key, chunk) totals are
+    a tiny table whose prefix sums are joined back; the running count itself
+    runs per (key, chunk).  With ``total`` set, also add the key's total.
     """
-    d = df.withColumn("_chunk", chunk)
-    counts = d.groupBy(key, "_chunk").agg(F.count(F.lit(1)).alias("_n"))
+    d = df.withColumn("_chunk", chunk).withColumn("_flag", F.when(flag, 1).otherwise(0).cast("long"))
+    counts = d.groupBy(key, "_chunk").agg(F.sum("_flag").alias("_n"))
     before = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     cols = [F.col(key), F.col("_chunk"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off")]
     if total:
         cols.append(F.sum("_n").over(Window.partitionBy(key)).alias(total))
     offsets = counts.select(*cols)
-    in_chunk = Window.partitionBy(key, "_chunk").orderBy(order)
+    in_chunk = (Window.partitionBy(key, "_chunk").orderBy(order)
+                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
         d.join(offsets, [key, "_chunk"])
-        .withColumn(out, F.col("_off") + F.row_number().over(in_chunk))
-        .drop("_off", "_chunk")
+        .withColumn(out, F.col("_off") + F.sum("_flag").over(in_chunk))
+        .drop("_off", "_chunk", "_flag")
     )
 
 
+def number_rows(df: DataFrame, key: str, order: str, chunk: Column,
+                out: str = "bar_no", total: str | None = None) -> DataFrame:
+    """Add ``out`` = position (1-based) of each row within ``key`` by ``order``
+    (see ``running_count``; every row counts)."""
+    return running_count(df, key, order, chunk, F.lit(True), out, total)
+
+
 def halo_blocks(df: DataFrame, index: str, block_size: int, before: int, after: int = 0) -> DataFrame:
     """Assign ``block`` = (index - 1) div block_size and add halo copies.
 

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.functions.numeric import rnd
-from marketframe.operators.sequence import halo_blocks, number_rows
+from marketframe.operators.sequence import halo_blocks, number_rows, running_count
 from marketframe.schema import FEATURE_COLUMNS, StudyParams
 
 P = StudyParams()
@@ -103,13 +103,28 @@ def label_exits(features: DataFrame, p: StudyParams = P, block_size: int = 4096)
     )
 
 
-def non_overlapping_trades(labelled: DataFrame) -> DataFrame:
+def non_overlapping_trades(labelled: DataFrame, p: StudyParams = P) -> DataFrame:
     """T4: keep a signal only when no earlier kept trade is still open at it
-    (signal_bar >= decision_bar of the last kept trade).  An ordered fold over
-    each symbol's signals; a signal on the last bar opens nothing."""
+    (signal_bar >= decision_bar of the last kept trade); a signal on the last
+    bar opens nothing.
+
+    A trade decides at most ``max_hold_bars + 1`` bars after its signal (and
+    only stays open when the data ends sooner), so a signal more than that
+    many bars after the previous signal is always free.  Such gaps cut each
+    symbol's signals into independent clusters; the ordered fold runs per
+    cluster, never over a whole symbol.
+    """
+    span = p.max_hold_bars + 1
     cols = [c for c in labelled.columns if c != "symbol"]
     entered = labelled.filter(F.col("entry_date").isNotNull())
-    per_symbol = entered.groupBy("symbol").agg(
+    chunk = F.floor(F.col("signal_bar") / 4096)
+    sig = number_rows(entered, "symbol", "signal_bar", chunk, out="_sig_no")
+    prev = sig.select("symbol", (F.col("_sig_no") + 1).alias("_sig_no"),
+                      F.col("signal_bar").alias("_prev_bar"))
+    flagged = sig.join(prev, ["symbol", "_sig_no"], "left")
+    starts = F.col("_prev_bar").isNull() | (F.col("signal_bar") - F.col("_prev_bar") > span)
+    clustered = running_count(flagged, "symbol", "signal_bar", chunk, starts, out="_cluster")
+    per_cluster = clustered.groupBy("symbol", "_cluster").agg(
         F.array_sort(F.collect_list(F.struct(*cols))).alias("sigs"))
     elem_t = entered.select(F.struct(*cols).alias("s")).schema["s"].dataType.simpleString()
     init = F.struct(F.lit(0).cast("long").alias("free_from"),
@@ -121,7 +136,7 @@ def non_overlapping_trades(labelled: DataFrame) -> DataFrame:
             F.when(take, s["decision_bar"]).otherwise(acc["free_from"]).alias("free_from"),
             F.when(take, F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept"))
 
-    kept = per_symbol.select("symbol", F.explode(F.aggregate("sigs", init, step)["kept"]).alias("t"))
+    kept = per_cluster.select("symbol", F.explode(F.aggregate("sigs", init, step)["kept"]).alias("t"))
     return kept.select("symbol", *[F.col(f"t.{c}").alias(c) for c in cols])
 
 
@@ -136,7 +151,7 @@ def with_returns(trades: DataFrame, p: StudyParams = P) -> DataFrame:
 
 
 def trades(features: DataFrame, p: StudyParams = P) -> DataFrame:
-    return with_returns(non_overlapping_trades(label_exits(features, p)), p)
+    return with_returns(non_overlapping_trades(label_exits(features, p), p), p)
 
 
 def trades_ranked(features: DataFrame, p: StudyParams = P) -> DataFrame:

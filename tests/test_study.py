@@ -50,7 +50,7 @@ def test_non_overlap(spark):
     # signals on every bar 1..12: first trade (signal bar 2) decides on bar 10,
     # so bars 3..9 are skipped and bar 10 fires again.
     f = feats(spark, 30, set(range(1, 13)))
-    kept = T.non_overlapping_trades(T.label_exits(f, P)).toPandas().sort_values("signal_bar")
+    kept = T.non_overlapping_trades(T.label_exits(f, P), P).toPandas().sort_values("signal_bar")
     assert list(kept.signal_bar) == [2, 10]
     prev_d = 0
     for s, d in zip(kept.signal_bar, kept.decision_bar):
@@ -64,3 +64,19 @@ def test_returns_and_summary(spark):
     assert np.isclose(tr.return_pct, tr.exit_px * 0.998 / (tr.entry_px * 1.002) - 1)
     s = T.trade_summary(f, P).toPandas().iloc[0]
     assert s.trades == 1 and s.wins == 1 and s.win_rate == 1.0
+
+
+def test_non_overlap_clusters_match_plain_fold(spark):
+    """Signals in several clusters (gaps above and below the 8-bar span)."""
+    fire = {1, 2, 5, 9, 10, 11, 30, 38, 39, 47, 48, 70, 71, 72, 73, 74, 75, 76, 77, 78, 79, 80}
+    f = feats(spark, 100, fire)
+    lab = T.label_exits(f, P).toPandas().sort_values("signal_bar")
+    free, want = 0, []
+    for r in lab.itertuples():
+        if pd.isna(r.entry_date):
+            continue
+        if r.signal_bar >= free:
+            want.append(r.signal_bar)
+            free = r.decision_bar
+    kept = T.non_overlapping_trades(T.label_exits(f, P), P).toPandas()
+    assert sorted(kept.signal_bar) == want
