@@ -4,7 +4,8 @@ Steps timed (seconds, wall clock, including result collection):
   resample_bars   ticks (lineitem x part) -> daily bars, stocks and ETFs
   features        bars -> 22-column feature tables, published as Parquet
   <report ids>    each of the sixteen reports over the published tables
-  trades_ranked, trade_summary, trade_summary_all   rule study
+  study_trades    rule study: signals, exits, non-overlap, returns (written once)
+  trades_ranked, trade_summary, trade_summary_all   read from the trade table
   size_positions  sizing of one idea per latest-session bar
 
 env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
@@ -76,10 +77,9 @@ def main() -> None:
     rows = {}
     for rid, df in reports.items():
         rows[rid] = len(timed(rid, df.collect))
-    sp = STUDY_PARAMS
-    rows["trades_ranked"] = len(timed("trades_ranked", T.trades_ranked(stocks, sp).collect))
-    rows["trade_summary"] = len(timed("trade_summary", T.trade_summary(stocks, sp).collect))
-    rows["trade_summary_all"] = len(timed("trade_summary_all", T.trade_summary_all(stocks, sp).collect))
+    study = timed("study_trades", lambda: T.run(stocks, STUDY_PARAMS))
+    for k, df in study.items():
+        rows[k] = len(timed(k, df.collect))
     ideas = Z.ideas_from_session(R.latest_session(stocks, as_of))
     rows["size_positions"] = len(timed("size_positions", Z.size_positions(ideas).collect))
 

@@ -42,8 +42,11 @@ STORED_SCHEMA = T.StructType(FEATURES_SCHEMA.fields + [T.StructField("year", T.I
 
 
 def read_features(spark: SparkSession, version_path: str, universe: str) -> DataFrame:
+    """The published table of one universe: the 22 feature columns plus the
+    ``year`` partition column (a date filter that also names the year prunes
+    whole folders; see ``reports.latest_session``)."""
     df = spark.read.schema(STORED_SCHEMA).parquet(f"{version_path}/universe={universe}")
-    return df.select(*FEATURE_COLUMNS)
+    return df.select(*FEATURE_COLUMNS, "year")
 
 
 def publish_check(computed: DataFrame, written: DataFrame) -> DataFrame:

@@ -34,6 +34,9 @@ def latest_session(features: DataFrame, as_of: DataFrame | Column | str | None =
         d = latest_date(as_of)
     elif isinstance(as_of, str):
         d = F.lit(as_of).cast("date")
+        if "year" in features.columns:
+            # partition pruning on a published table: read one year folder
+            features = features.filter(F.col("year") == int(as_of[:4]))
     else:
         d = as_of
     return features.filter(F.col("date") == d)

@@ -67,14 +67,23 @@ def label_exits(features: DataFrame, p: StudyParams = P, block_size: int = 4096)
     Columns: symbol, signal_date, signal_bar, entry_date, entry_px, decision_bar,
     exit_date, exit_px, bars_held, exit_reason (stop / time / open).
     """
+    return _labelled(features, p, block_size).drop("cluster_start")
+
+
+def _labelled(features: DataFrame, p: StudyParams, block_size: int = 4096) -> DataFrame:
+    """label_exits plus ``cluster_start``: no signal fired in the ``span``
+    bars before this one (see ``non_overlapping_trades``)."""
     ahead = p.max_hold_bars + 2
+    span = p.max_hold_bars + 1
     bars = numbered_window(features, p)
-    blocked = halo_blocks(bars.select("symbol", "date", "bar_no", "open", "low", entry_rule(p).alias("fire")),
-                          "bar_no", block_size, before=0, after=ahead)
-    w = Window.partitionBy("symbol", "block").orderBy("bar_no").rowsBetween(1, ahead)
-    nxt = F.collect_list(F.struct("bar_no", "date", "open", "low")).over(w)
-    sig = (blocked.select("*", nxt.alias("f"))
-           .filter((F.col("halo") == 0) & F.col("fire") & (F.col("bar_no") - 1 >= p.warmup_bars)))
+    fire = entry_rule(p) & (F.col("bar_no") - 1 >= p.warmup_bars)
+    blocked = halo_blocks(bars.select("symbol", "date", "bar_no", "open", "low", fire.alias("fire")),
+                          "bar_no", block_size, before=span, after=ahead)
+    w = Window.partitionBy("symbol", "block").orderBy("bar_no")
+    nxt = F.collect_list(F.struct("bar_no", "date", "open", "low")).over(w.rowsBetween(1, ahead))
+    fired_before = F.max(F.col("fire").cast("int")).over(w.rowsBetween(-span, -1))
+    sig = (blocked.select("*", nxt.alias("f"), fired_before.alias("fired_before"))
+           .filter((F.col("halo") == 0) & F.col("fire")))
 
     f = F.col("f")
     entry = F.get(f, 0)
@@ -100,6 +109,7 @@ def label_exits(features: DataFrame, p: StudyParams = P, block_size: int = 4096)
         F.when(filled, exit_bar["open"]).alias("exit_px"),
         F.when(filled, dj + 1).alias("bars_held"),
         reason.alias("exit_reason"),
+        F.coalesce(F.col("fired_before") == 0, F.lit(True)).alias("cluster_start"),
     )
 
 
@@ -109,20 +119,24 @@ def non_overlapping_trades(labelled: DataFrame, p: StudyParams = P) -> DataFrame
     bar opens nothing.
 
     A trade decides at most ``max_hold_bars + 1`` bars after its signal (and
-    only stays open when the data ends sooner), so a signal more than that
-    many bars after the previous signal is always free.  Such gaps cut each
-    symbol's signals into independent clusters; the ordered fold runs per
-    cluster, never over a whole symbol.
+    only stays open when the data ends sooner), so a signal with no other
+    signal in the ``max_hold_bars + 1`` bars before it is always free.  Such
+    signals start independent clusters; the ordered fold runs per cluster,
+    never over a whole symbol.  ``labelled`` comes from ``label_exits``; when
+    it carries ``cluster_start`` (internal form) that flag is used directly.
     """
     span = p.max_hold_bars + 1
-    cols = [c for c in labelled.columns if c != "symbol"]
+    cols = [c for c in labelled.columns if c not in ("symbol", "cluster_start")]
     entered = labelled.filter(F.col("entry_date").isNotNull())
     chunk = F.floor(F.col("signal_bar") / 4096)
-    sig = number_rows(entered, "symbol", "signal_bar", chunk, out="_sig_no")
-    prev = sig.select("symbol", (F.col("_sig_no") + 1).alias("_sig_no"),
-                      F.col("signal_bar").alias("_prev_bar"))
-    flagged = sig.join(prev, ["symbol", "_sig_no"], "left")
-    starts = F.col("_prev_bar").isNull() | (F.col("signal_bar") - F.col("_prev_bar") > span)
+    if "cluster_start" in labelled.columns:
+        flagged, starts = entered, F.col("cluster_start")
+    else:
+        sig = number_rows(entered, "symbol", "signal_bar", chunk, out="_sig_no")
+        prev = sig.select("symbol", (F.col("_sig_no") + 1).alias("_sig_no"),
+                          F.col("signal_bar").alias("_prev_bar"))
+        flagged = sig.join(prev, ["symbol", "_sig_no"], "left")
+        starts = F.col("_prev_bar").isNull() | (F.col("signal_bar") - F.col("_prev_bar") > span)
     clustered = running_count(flagged, "symbol", "signal_bar", chunk, starts, out="_cluster")
     per_cluster = clustered.groupBy("symbol", "_cluster").agg(
         F.array_sort(F.collect_list(F.struct(*cols))).alias("sigs"))
@@ -151,7 +165,7 @@ def with_returns(trades: DataFrame, p: StudyParams = P) -> DataFrame:
 
 
 def trades(features: DataFrame, p: StudyParams = P) -> DataFrame:
-    return with_returns(non_overlapping_trades(label_exits(features, p), p), p)
+    return with_returns(non_overlapping_trades(_labelled(features, p), p), p)
 
 
 def trades_ranked(features: DataFrame, p: StudyParams = P) -> DataFrame:
@@ -185,3 +199,15 @@ def trade_summary(features: DataFrame, p: StudyParams = P) -> DataFrame:
 def trade_summary_all(features: DataFrame, p: StudyParams = P) -> DataFrame:
     """The same figures over all symbols' trades together."""
     return trades(features, p).agg(*_summary_aggs(p))
+
+
+def run(features: DataFrame, p: StudyParams = P) -> dict[str, DataFrame]:
+    """The whole study: trades are written once (a table under the checkpoint
+    folder) and the ranked list and both summaries read that table."""
+    from marketframe.session import materialize
+    t = materialize(trades(features, p), force=True)
+    return {
+        "trades_ranked": t.orderBy(F.desc("return_pct"), "symbol", "entry_date"),
+        "trade_summary": t.groupBy("symbol").agg(*_summary_aggs(p)),
+        "trade_summary_all": t.agg(*_summary_aggs(p)),
+    }

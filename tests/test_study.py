@@ -80,3 +80,18 @@ def test_non_overlap_clusters_match_plain_fold(spark):
             free = r.decision_bar
     kept = T.non_overlapping_trades(T.label_exits(f, P), P).toPandas()
     assert sorted(kept.signal_bar) == want
+
+
+def test_run_reads_one_trade_table(spark):
+    f = feats(spark, 40, {1, 20})
+    out = T.run(f, P)
+    assert out["trades_ranked"].count() == 2
+    assert out["trade_summary_all"].collect()[0].trades == 2
+
+
+def test_cluster_flag_path_equals_generic_path(spark):
+    fire = {1, 2, 5, 9, 10, 11, 30, 38, 39, 47, 48, 70, 71, 72, 73, 74, 75, 76, 77, 78, 79, 80}
+    f = feats(spark, 100, fire)
+    a = T.non_overlapping_trades(T._labelled(f, P), P).toPandas()
+    b = T.non_overlapping_trades(T.label_exits(f, P), P).toPandas()
+    assert sorted(a.signal_bar) == sorted(b.signal_bar)
