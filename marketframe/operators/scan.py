@@ -16,6 +16,7 @@ mean of the first n true ranges at bar n).
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,6 +51,10 @@ def linear_scan(df: DataFrame, specs: list[Recurrence], key: str, block: str, in
     """
     if block_size % chunk:
         raise ValueError("block_size must be a multiple of the scan chunk")
+    for s in specs:
+        # r^-(chunk-1) must stay well inside the double range (~1e308).
+        if not 0.0 < s.rate < 1.0 or -math.log(s.rate) * chunk > 600:
+            raise ValueError(f"scan chunk {chunk} too long for rate {s.rate}")
     pos = F.col(index) - 1
     j = (pos - F.floor(pos / chunk) * chunk).cast("int")
     if sub_col is None:

@@ -62,7 +62,8 @@ class FeatureParams:
     ``block_size`` bars of one symbol form a block (the unit of parallelism);
     each block also receives the ``lookback`` bars before it as a read-only
     halo, so sliding windows never need a whole symbol in one task.
-    ``scan_chunk`` bounds the exponent range of the recursive scan.
+    ``scan_chunk`` bounds the exponent range of the recursive scan
+    ((1 - alpha)^-chunk must stay finite: 0.8^-1024 is about 1e99).
     """
 
     adv_window: int = 14
@@ -72,8 +73,8 @@ class FeatureParams:
     ema_slow: int = 21
     sma_fast: int = 50
     sma_slow: int = 200
-    block_size: int = 2048
-    scan_chunk: int = 256
+    block_size: int = 4096
+    scan_chunk: int = 1024
 
     @property
     def lookback(self) -> int:

@@ -24,3 +24,18 @@ def test_scan_equals_recurrence(spark, n, chunk, blocks, alpha, seed):
     got = got.toPandas().sort_values("i").y.to_numpy()
     want = pd.Series(x).ewm(alpha=alpha, adjust=False).mean().to_numpy()
     assert np.allclose(got, want, rtol=1e-12, atol=0)
+
+
+def test_long_chunk_is_exact_and_guarded(spark):
+    import pytest
+    n = 2500
+    x = np.random.default_rng(4).uniform(1, 1000, n)
+    df = spark.createDataFrame(pd.DataFrame({"k": "a", "i": np.arange(1, n + 1), "x": x}))
+    d = halo_blocks(df, "i", 2048, before=0)
+    u = F.when(F.col("i") == 1, F.col("x")).otherwise(F.lit(0.2) * F.col("x"))
+    got = linear_scan(d, [Recurrence("y", 0.8, u)], "k", "block", "i", 1024, 2048)
+    got = got.toPandas().sort_values("i").y.to_numpy()
+    want = pd.Series(x).ewm(alpha=0.2, adjust=False).mean().to_numpy()
+    assert np.allclose(got, want, rtol=1e-13, atol=0)
+    with pytest.raises(ValueError):
+        linear_scan(d, [Recurrence("y", 0.5, u)], "k", "block", "i", 2048, 2048)
