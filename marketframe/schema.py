@@ -97,6 +97,7 @@ class StudyParams:
     """Rule study: liquidity window, entry rule and exit rule."""
 
     min_adv: float = 2_000_000.0
+    # The reference study's window and its six symbols.
     start_exclusive: str = "2016-01-20"
     end_exclusive: str = "2018-01-01"
     symbols: tuple = ("AAPL", "TSLA", "NVDA", "CRM", "NFLX", "META")

@@ -33,8 +33,8 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster it is named by ``spark.checkpoint.dir``; only when that is
-    unset (local tests) a scratch folder is created.
+    On a cluster it is named by ``spark.checkpoint.dir`` (required there);
+    only a local-mode session without it gets a scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,6 +42,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
+                               "distributed file system); intermediate tables are written there")
         configured = tempfile.mkdtemp(prefix="marketframe-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
