@@ -83,7 +83,7 @@ def linear_scan(df: DataFrame, specs: list[Recurrence], key: str, block: str, in
                  F.col(index)).alias("last"),
     )
     carries = _fold_carries(summary, specs, key, block)
-    joined = d.join(carries, [key, block])
+    joined = d.join(_broadcast_if_small(carries, len(specs) * (block_size // chunk)), [key, block])
     out = joined.select("*", *[
         (F.col(f"_loc_{s.name}")
          + F.pow(F.lit(s.rate), F.col("_j") + 1)
@@ -93,6 +93,24 @@ def linear_scan(df: DataFrame, specs: list[Recurrence], key: str, block: str, in
     return out.drop("_carries", "_sub", "_j", *[f"_loc_{s.name}" for s in specs])
 
 
+# Largest carry table shipped to every executor (one row per symbol-block).
+BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
+
+
+def _broadcast_if_small(carries: DataFrame, doubles_per_row: int) -> DataFrame:
+    """Broadcast the carry table when its measured size is under the limit.
+
+    The table is written once (it is tiny next to the bars) and counted; each
+    row holds a key, a block number and ``doubles_per_row`` doubles, so the
+    count bounds its size.  Above the limit the join shuffles instead."""
+    from marketframe.session import materialize
+    carries = materialize(carries, force=True)
+    row_bytes = 64 + 8 * doubles_per_row
+    if carries.count() * row_bytes <= BROADCAST_LIMIT_BYTES:
+        return F.broadcast(carries)
+    return carries
+
+
 def _fold_carries(summary: DataFrame, specs: list[Recurrence], key: str, block: str) -> DataFrame:
     """Per key, fold chunk summaries in order into the carry entering each
     chunk; returns (key, block, _carries) with ``_carries`` indexed by chunk."""
