@@ -10,10 +10,11 @@ division error.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from marketframe.functions.numeric import div, rnd
+from marketframe.operators.sequence import number_rows
 
 INVALID = "Invalid input."
 DEFAULT_PORTFOLIO = "100000"
@@ -75,11 +76,13 @@ def position_labels(ideas: DataFrame) -> DataFrame:
 def ideas_from_session(session: DataFrame, bad_every: int = 10) -> DataFrame:
     """Test input: one idea per bar of a session (entry = close, stop = low,
     target = high, default portfolio and risk); every ``bad_every``-th idea
-    gets an unparsable portfolio.  ``session`` holds one row per symbol, so
-    numbering it in one ordered window is bounded by the universe size."""
-    idea_id = F.row_number().over(Window.orderBy("symbol")).cast("long")
-    return session.select(
-        idea_id.alias("idea_id"), "close", "low", "high").select(
+    gets an unparsable portfolio.  Ideas are numbered in symbol order without
+    a single-partition window: the first character of a symbol is monotone
+    in that order, so it serves as the numbering chunk."""
+    numbered = number_rows(session.select("symbol", "close", "low", "high", F.lit(0).alias("_all")),
+                           "_all", "symbol", F.substring("symbol", 1, 1), out="idea_id")
+    return numbered.select(
+        F.col("idea_id").cast("long").alias("idea_id"), "close", "low", "high").select(
         "idea_id",
         F.when(F.col("idea_id") % bad_every == 0, F.lit("abc"))
          .otherwise(F.lit(DEFAULT_PORTFOLIO)).alias("portfolio"),
