@@ -38,3 +38,17 @@ def test_report_files_and_manifest(spark, tmp_path):
     assert out.count() == reps["gainers"].count()
     man = {r.report_id: r.row_count for r in PB.report_manifest(reps).collect()}
     assert man == {"gainers": reps["gainers"].count(), "losers": reps["losers"].count()}
+
+
+def test_run_daily(spark, tmp_path):
+    from marketframe.plans.daily import run_daily
+    from marketframe.sources.testdata import REPORT_PARAMS
+    inp = Inputs(spark, SF)
+    out = run_daily(spark, inp.stock_bars, inp.etf_bars, inp.universes, str(tmp_path / "job"),
+                    REPORT_PARAMS, version="t")
+    assert out["run_date"] == "2001-11-04"
+    man = {r.report_id: r.row_count for r in out["manifest"].collect()}
+    assert len(man) == 14 and man["down_20_in_5"] == 14
+    sheet = spark.read.parquet(str(tmp_path / "job/reports/run_date=2001-11-04/book=stocks/report=closers_with_rvol"))
+    assert "date" not in sheet.columns and "open" not in sheet.columns
+    assert out["advance_vs_decline"].count() == 1
