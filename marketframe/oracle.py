@@ -174,19 +174,19 @@ def report_sql(rp: ReportParams = REPORT_PARAMS) -> dict[str, str]:
 
 
 def movers_sql(k: int, thr: float, up: bool, where: str) -> str:
-    """A SELECT (no WITH) over ``s_feat``: newest row vs the row k bars back."""
-    ratio = "r1.close / NULLIF(rk.close, 0) - 1"
+    """A SELECT (no WITH) over ``s_feat``: each symbol's newest row with the
+    close ``k`` rows older taken by ``lead`` on the newest-first order."""
+    ratio = "close / NULLIF(close_then, 0) - 1"
     cond = f"{ratio} > {thr}" if up else f"{ratio} < -{thr}"
-    recent = f"""(
-  SELECT symbol, close, pct_change, pct_open_to_close, pct_gap, rvol, atr, adv, tr_comp,
-         ema_9, volume, rsi,
-         row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS row_num
-  FROM s_feat WHERE {where})"""
-    return f"""SELECT r1.symbol, {R(f'({ratio}) * 100', 1)} AS pct_change_{k}, r1.close AS close, r1.rvol,
-       r1.pct_change, r1.pct_open_to_close, r1.ema_9, r1.atr, r1.rsi, r1.volume, r1.adv,
-       r1.tr_comp, r1.pct_gap
-FROM {recent} r1 JOIN {recent} rk ON r1.symbol = rk.symbol AND r1.row_num = 1 AND rk.row_num = {k + 1}
-WHERE {cond}"""
+    return f"""SELECT symbol, {R(f'({ratio}) * 100', 1)} AS pct_change_{k}, close, rvol, pct_change,
+       pct_open_to_close, ema_9, atr, rsi, volume, adv, tr_comp, pct_gap
+FROM (
+  SELECT *, lead(close, {k}) OVER newest_first AS close_then,
+         lead(date, {k}) OVER newest_first AS date_then,
+         rank() OVER newest_first AS pos
+  FROM s_feat WHERE {where}
+  WINDOW newest_first AS (PARTITION BY symbol ORDER BY date DESC))
+WHERE pos = 1 AND date_then IS NOT NULL AND {cond}"""
 
 
 OPEN_FOREVER = 2 ** 62
