@@ -100,3 +100,23 @@ def test_true_range_first_bar_is_high_minus_low(spark):
     pc = s["close"][4]
     assert tr.true_range[5] == pytest.approx(max(s["high"][5] - s["low"][5], abs(s["high"][5] - pc),
                                                  abs(s["low"][5] - pc)))
+
+
+def test_intraday_bars_with_day_chunks(spark):
+    """Minute bars: the same build with numbering chunked by day."""
+    import datetime
+
+    from pyspark.sql import functions as F
+
+    from marketframe.schema import BARS_SCHEMA
+    rng = np.random.default_rng(21)
+    s = random_series(rng, 600)
+    t0 = datetime.datetime(2024, 1, 2, 14, 30)
+    rows = [("M", t0 + datetime.timedelta(minutes=7 * i),
+             *(float(s[k][i]) for k in ["open", "high", "low", "close", "volume"])) for i in range(600)]
+    schema = BARS_SCHEMA.fieldNames()
+    bars = spark.createDataFrame(rows, ", ".join(f"{c} {'string' if c == 'symbol' else 'timestamp' if c == 'date' else 'double'}"
+                                                 for c in schema))
+    got = build_features(bars, SMALL, chunk=F.to_date("date")).toPandas()
+    want = brute.features(bars.toPandas())
+    frames_equal(got, want, COLS)
