@@ -50,3 +50,29 @@ def test_study_filter_pushed_to_scan(spark, tmp_path):
     p = plan(T.liquid_window(f))
     pushed = p[p.index("PushedFilters"):]
     assert "GreaterThan(adv," in pushed and "GreaterThan(date," in pushed
+
+
+def test_feature_windows_share_one_shuffle_and_sort(spark, monkeypatch):
+    import re
+
+    import marketframe.operators.features as FE
+    import marketframe.session as S
+    from marketframe.operators.features import build_features
+    seen = []
+    orig = S.materialize
+
+    def spy(df, force=False):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return orig(df, force)
+
+    monkeypatch.setattr(S, "materialize", spy)
+    monkeypatch.setattr(FE, "materialize", spy)
+    build_features(Inputs(spark, SF).stock_bars)
+    windowed = next(p for p in seen if "lag(close" in p)
+    block_exchanges = re.findall(r"Exchange hashpartitioning\(symbol#\d+, block#\d+L?", windowed)
+    block_sorts = re.findall(r"Sort \[symbol#\d+ ASC NULLS FIRST, block#\d+L? ASC", windowed)
+    assert len(block_exchanges) == 1 and len(block_sorts) == 1
+    assert windowed.count("Window [") >= 4
+    assert "hashpartitioning(symbol#" in windowed and "Python" not in windowed
+    # no exchange on symbol alone feeds the per-bar windows
+    assert not re.search(r"Window \[lag.*\n\s*\+- Sort \[symbol#\d+ ASC NULLS FIRST, date", windowed)
