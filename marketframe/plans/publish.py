@@ -51,10 +51,11 @@ def read_features(spark: SparkSession, version_path: str, universe: str) -> Data
 
 def publish_check(computed: DataFrame, written: DataFrame) -> DataFrame:
     """Rows computed, rows read back, distinct (symbol, date) keys."""
-    a = computed.agg(F.count(F.lit(1)).alias("rows_computed"))
-    b = written.agg(F.count(F.lit(1)).alias("rows_written"),
-                    F.count_distinct("symbol", "date").alias("distinct_keys"))
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    rows_computed = computed.select(F.count(F.lit(1))).scalar()
+    return written.agg(
+        F.count(F.lit(1)).alias("rows_written"),
+        F.count_distinct("symbol", "date").alias("distinct_keys"),
+    ).select(rows_computed.alias("rows_computed"), "rows_written", "distinct_keys")
 
 
 def preview(features: DataFrame, n: int = 10) -> DataFrame:
