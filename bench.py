@@ -8,7 +8,9 @@ Steps timed (seconds, wall clock, including result collection):
   trades_ranked, trade_summary, trade_summary_all   read from the trade table
   size_positions  sizing of one idea per latest-session bar
 
-env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8).
+env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
+     BENCH_EVENT_LOG_DIR (optional: write Spark's event log there, for stage
+     and task times without the UI).
 Prints one JSON line.
 """
 
@@ -17,7 +19,6 @@ from __future__ import annotations
 import json
 import os
 import sys
-import tempfile
 import time
 from concurrent.futures import ThreadPoolExecutor
 
@@ -37,10 +38,12 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     extra = {"spark.driver.memory": "8g"}
-    if not os.environ.get("SPARK_CHECKPOINT_DIR"):
-        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="bench-ckpt-")
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        extra.update({"spark.eventLog.enabled": "true",
+                      "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]})
     spark = get_session(f"local[{cpus}]", shuffle_partitions=cpus, app="marketframe-bench",
                         extra=extra)
+    # the session's spark.checkpoint.dir; a scratch folder only when unset in local mode
     root = ensure_checkpoint_dir(spark)
     spark.range(1000).selectExpr("sum(id)").collect()  # session start-up, not timed
     times: dict[str, float] = {}
