@@ -7,9 +7,9 @@ exits, and the per-symbol outcome.  Here every step is a DataFrame plan:
 * T1 filter (pushed into the scan), then bar numbers over the surviving rows;
 * T2 entry predicate as a Column;
 * T3 exits from a bounded look-ahead frame (the next ``max_hold + 2`` bars),
-  evaluated in (symbol, block) partitions with look-ahead halos;
-* T4 one open trade per symbol: an ordered fold over the signals of a
-  symbol (signals only, not bars);
+  evaluated in (symbol, block) partitions with look-ahead and look-back halos;
+* T4 one open trade per symbol: an ordered fold over signals (not bars), run
+  per cluster of signals that lie close enough to interact;
 * T5-T7 returns and grouped aggregates.
 
 Fills follow the market-order convention: a signal on bar s enters at the
