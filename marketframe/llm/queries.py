@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import knn, mixing, sharding
-from marketframe.llm.common import documents
+from marketframe.llm import fingerprints, knn, langid, mixing, sharding, toxicity
+from marketframe.llm.common import documents, fold
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,10 +20,27 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return langid.identify(docs, langid.train(docs)).select(
+        "doc_id", (fold() == 0).alias("held_out"), "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (fold() == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.with_next(documents(spark, sf_dir))
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return knn.top_k(table, F.col("vec_id") % 50 == 0)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing, op10_topk)}
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_langid, op5_toxicity, op6_winnowing, op10_topk)}
