@@ -18,6 +18,30 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
+NEAR_GROUPS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+  FROM documents),
+s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) = 1 THEN [w[1]]
+    ELSE list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) END AS s
+  FROM w),
+n AS (SELECT doc_id, CAST(len(s) AS BIGINT) AS n FROM s),
+e AS (SELECT doc_id, unnest(s) AS x FROM s),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM e a JOIN e b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+link AS (
+  SELECT a, b FROM common JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b
+  WHERE 100 * c >= 80 * (na.n + nb.n - c)),
+reach AS (
+  SELECT doc_id AS node, doc_id AS seen FROM n
+  UNION SELECT r.node, l.b FROM reach r JOIN link l ON l.a = r.seen)
+SELECT n.doc_id, n.n AS n_shingles, min(r.seen) AS component_id, n.doc_id = min(r.seen) AS kept
+FROM n JOIN reach r ON r.node = n.doc_id GROUP BY n.doc_id, n.n
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_topk": TOP_K}
+    return {"op9_superminhash": NEAR_GROUPS, "op10_topk": TOP_K}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import fingerprints, knn, langid, mixing, sharding, toxicity
+from marketframe.llm import dedup, fingerprints, knn, langid, mixing, sharding, toxicity
 from marketframe.llm.common import documents, fold
 
 
@@ -37,10 +37,15 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(documents(spark, sf_dir))
 
 
+def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.groups(documents(spark, sf_dir), words=2, percent=80)
+
+
 def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
     return knn.top_k(table, F.col("vec_id") % 50 == 0)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_langid, op5_toxicity, op6_winnowing, op10_topk)}
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_langid, op5_toxicity, op6_winnowing, op9_superminhash,
+                                        op10_topk)}
