@@ -45,3 +45,27 @@ def fold(doc_id: Column | str = "doc_id") -> Column:
     id counts as held out."""
     c = F.col(doc_id) if isinstance(doc_id, str) else doc_id
     return F.coalesce(F.crc32(c.cast("string").cast("binary")) % 5, F.lit(0))
+
+
+def id_key() -> Column:
+    """doc_id as a sort key; a null id comes before all others."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
+
+
+def id_ranges(rows: DataFrame, count: int) -> tuple[Column, int] | None:
+    """The number of the id range that a row's ``key`` lies in, and how many
+    ranges there are: about ``count`` of near equal row counts.  The driver
+    gets count - 1 cut points.  None if there are no rows."""
+    at = [i / count for i in range(1, count)] or [0.5]
+    cuts = rows.agg(F.percentile_approx("key", at, 100 * count)).first()[0]
+    if cuts is None:
+        return None
+    cuts = sorted(set(cuts))
+    # Two short look-ups instead of one long one.
+    step = max(1, int(len(cuts) ** 0.5))
+    fine = [cuts[i:i + step] for i in range(0, len(cuts), step)]
+    block = F.size(F.filter(F.array(*[F.lit(c[0]) for c in fine]), lambda c: c <= F.col("key")))
+    lists = F.array(*[F.array(*[F.lit(x) for x in c]) for c in fine])
+    inner = F.size(F.filter(F.element_at(lists, F.greatest(block, F.lit(1))), lambda c: c <= F.col("key")))
+    number = F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + inner).cast("int")
+    return number, len(cuts) + 1

@@ -24,10 +24,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.llm.common import slices
+from marketframe.llm.common import id_key, id_ranges, slices
 
 GRAM = 24
 WINDOW = 128
@@ -124,17 +124,6 @@ def fingerprint(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",)) -> DataFra
     return x.mapInArrow(run, f"{fields}, fingerprint string")
 
 
-def _range_of(key: Column, cuts: list[int]) -> Column:
-    """Number of cuts at or below the key, looked up in two short steps."""
-    step = max(1, int(len(cuts) ** 0.5))
-    fine = [cuts[i:i + step] for i in range(0, len(cuts), step)]
-    heads = F.array(*[F.lit(c[0]) for c in fine])
-    block = F.size(F.filter(heads, lambda c: c <= key))
-    lists = F.array(*[F.array(*[F.lit(x) for x in c]) for c in fine])
-    inner = F.size(F.filter(F.element_at(lists, block), lambda c: c <= key))
-    return F.when(block == 0, F.lit(0)).otherwise((block - 1) * step + inner).cast("int")
-
-
 def with_next(docs: DataFrame, per_partition: int = 4) -> DataFrame:
     """Fingerprints of each document, of its edited text, and their likeness
     to each other and to the next document's, in descending id."""
@@ -142,21 +131,16 @@ def with_next(docs: DataFrame, per_partition: int = 4) -> DataFrame:
     schema = ("doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
               "near_edited double, near_next double")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = parts * per_partition
-    key = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), key.alias("key"),
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), id_key().alias("key"),
                        F.coalesce("text", F.lit("")).alias("text"))
-    # ranges - 1 cuts: as many numbers as the job has partitions, not rows.
-    at = [i / ranges for i in range(1, ranges)]
-    cuts = rows.agg(F.percentile_approx("key", at, 100 * ranges)).first()[0]
-    if cuts is None:
+    found = id_ranges(rows, parts * per_partition)
+    if found is None:
         return spark.createDataFrame([], schema)
-    cuts = sorted(set(cuts))
-    rows = rows.withColumn("range", _range_of(F.col("key"), cuts) if cuts else F.lit(0))
+    number, width = found
+    rows = rows.withColumn("range", number)
     heads = {r["range"]: r["top"] for r in rows.groupBy("range").agg(F.max("key").alias("top")).collect()}
     filled = sorted(heads)
     above = dict(zip(filled, filled[1:] + filled[:1], strict=True))  # who needs a range's first document
-    width = len(cuts) + 1
     tops = F.array(*[F.lit(heads.get(i)).cast("long") for i in range(width)])
     needs = F.array(*[F.lit(above.get(i, -1)) for i in range(width)])
     at_range = F.col("range") + 1

@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import dedup, fingerprints, knn, langid, mixing, sharding, toxicity
-from marketframe.llm.common import documents, fold
+from marketframe.llm import dedup, fingerprints, knn, langid, mixing, packing, sharding, token_output, toxicity
+from marketframe.llm.common import documents, fold, scratch_path
 
 
 def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -37,6 +37,16 @@ def op6_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.with_next(documents(spark, sf_dir))
 
 
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, placed = packing.pack(documents(spark, sf_dir))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset", "certified")
+
+
+def op8_range_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_output.write(documents(spark, sf_dir), scratch_path(spark, "token-files"))
+    return token_output.read(spark, path)
+
+
 def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.groups(documents(spark, sf_dir), words=2, percent=80)
 
@@ -47,5 +57,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_langid, op5_toxicity, op6_winnowing, op9_superminhash,
-                                        op10_topk)}
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_langid, op5_toxicity, op6_winnowing, op7_packing,
+                                        op8_range_coder, op9_superminhash, op10_topk)}
