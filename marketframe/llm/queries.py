@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import dedup, fingerprints, knn, langid, mixing, packing, sharding, token_output, toxicity
+from marketframe.llm import dedup, fingerprints, knn, langid, mixing, packing, pii, sharding, token_output, toxicity
 from marketframe.llm.common import documents, fold, scratch_path
 
 
@@ -20,6 +20,11 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "source_size", "target", "taken", "source", "copies")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return pii.detect(docs, pii.train(docs))
+
+
 def op4_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return langid.identify(docs, langid.train(docs)).select(
@@ -57,5 +62,5 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_sharding, op2_mixing, op4_langid, op5_toxicity, op6_winnowing, op7_packing,
+    return {f.__name__: f for f in (op1_sharding, op2_mixing, op3_pii, op4_langid, op5_toxicity, op6_winnowing, op7_packing,
                                         op8_range_coder, op9_superminhash, op10_topk)}
