@@ -170,3 +170,19 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in x.drop("_text").schema)
     return x.mapInArrow(score, f"{fields}, lang_pred string, score double")
+
+
+def accepted(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+    """The rows of ``docs`` whose text has letters and, if there is a model, a
+    language with a score of at least ``least``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            texts = b.column("text").to_pylist()
+            ok = np.array([has_letters(t) for t in texts])
+            if shared.value is not None and ok.any():
+                ok[ok] = shared.value.predict([t for t, x in zip(texts, ok, strict=True) if x])[1] >= least
+            yield b.filter(pa.array(ok))
+
+    return docs.mapInArrow(keep, docs.schema)

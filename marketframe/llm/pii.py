@@ -345,8 +345,8 @@ def masked(docs: DataFrame, model: Model | None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             text = [mask(t, shared.value) for t in b.column("text").to_pylist()]
-            new = {"text": pa.array(text, pa.string()),
-                   "n_chars": pa.array([None if t is None else len(t) for t in text], pa.int64())}
-            yield pa.record_batch([new.get(c, b.column(c)) for c in names], names=names)
+            new = {"text": text, "n_chars": [None if t is None else len(t) for t in text]}
+            yield pa.record_batch([pa.array(new[c], b.column(c).type) if c in new else b.column(c) for c in names],
+                                  names=names)
 
     return docs.mapInArrow(run, docs.schema)
