@@ -84,6 +84,8 @@ def _narrow(shard_of: list[int], size: list[int], load: list[int], rounds: int =
         hi = max(range(len(load)), key=load.__getitem__)
         lo = min(range(len(load)), key=load.__getitem__)
         gap = load[hi] - load[lo]
+        if 1000 * gap * len(load) <= sum(load):  # near enough: each move costs a slot's data
+            break
         best = min(((abs(gap - 2 * size[x]), x, -1) for x in own[hi]), default=(gap, -1, -1))
         light = sorted(own[lo], key=lambda x: (size[x], x))
         j = 0

@@ -29,8 +29,8 @@ from marketframe.llm.common import fold, slices
 
 BITS = 22
 PER_LABEL = 4000
-EPOCHS = 3
-ALPHA, BETA, L1, L2 = 0.1, 1.0, 1.0, 1.0
+EPOCHS = 5
+ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
 WORD = re.compile(r"\w+")
 PIECE = 1 << 20
 MEMO = 300_000
