@@ -17,8 +17,9 @@ below j + 1 no later step can change it, so the steps stop early.
 4. Linked documents are grouped (large-star / small-star union-find on tables).
 5. Only where a bucket still holds several groups, members outside its largest
    group are compared with all members of other groups, block by block, on
-   signatures; pairs with an estimate of at least ``ESTIMATE`` are confirmed
-   on full sets and the groups joined.
+   presence bits, which rule out a pair only where it can't be a link.  Of
+   the rest, first the likeliest pair for each document and other group is
+   confirmed on full sets and the groups joined, then all that are left.
 
 Edge cases: null texts and texts without words have an empty set and are
 linked with nothing; fewer words than a shingle are one shingle; rows without
@@ -43,10 +44,9 @@ from marketframe.llm.common import slices, stored
 BANDS = 48
 ROWS = 6
 REGISTERS = BANDS * ROWS
-#: Signature agreement below which a pair is not confirmed in step 5: more
-#: than 4.5 standard deviations below a similarity of 0.8.
-ESTIMATE = 0.69
+#: Members of a bucket, or rows of small buckets, that one task compares at a time.
 BLOCK = 2048
+BIN_ROWS = 8192
 MEMO = 300_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -110,30 +110,31 @@ def signatures(sets: list[np.ndarray], m: int = REGISTERS) -> np.ndarray:
 
 
 def compact(registers: np.ndarray) -> np.ndarray:
-    """16 bits of each register; buckets and estimates use these."""
+    """16 bits of each register; bucket keys use these."""
     return (_mixed(registers) & np.uint64(0xFFFF)).astype("<u2")
 
 
 def signature_table(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n_shingles, set_key and signature of every row."""
+    """doc_id, n_shingles, set_key, signature and presence bits of every row."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, 32):
             sets = [shingles(t, words) for t in b.column("text").to_pylist()]
             sig = compact(signatures(sets))
             keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
             yield pa.record_batch([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary())],
-                                  names=["doc_id", "n_shingles", "set_key", "sig"])
+                                   pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary()),
+                                   pa.array([presence(s) for s in sets], pa.binary())],
+                                  names=["doc_id", "n_shingles", "set_key", "sig", "bits"])
 
     x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return x.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary")
+    return x.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary, bits binary")
 
 
 def _buckets(reps: DataFrame) -> DataFrame:
-    """band, key and doc_id for each band of each signature."""
+    """key and doc_id for each band of each signature."""
     key = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)),
                       lambda b: F.xxhash64(b, F.substring("sig", b * (2 * ROWS) + 1, F.lit(2 * ROWS))))
-    return reps.select("doc_id", F.posexplode(key).alias("band", "key"))
+    return reps.select("doc_id", F.explode(key).alias("key"))
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -185,55 +186,104 @@ def components(links: DataFrame) -> DataFrame:
     return stars.union(edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
-def _left_over(buckets: DataFrame, groups: DataFrame, reps: DataFrame, estimate: float) -> DataFrame:
-    """Pairs (a, b) of different groups that share a bucket and whose
-    signatures agree enough; each pair from its first shared bucket only."""
-    named = buckets.join(groups, F.col("doc_id") == F.col("node"), "left").select(
-        "band", "key", "doc_id", F.coalesce("component", "doc_id").alias("grp"))
-    named = stored(named, "bucket-groups")
+def _mixed_buckets(buckets: DataFrame, groups: DataFrame) -> DataFrame:
+    """Bucket members with their group, of buckets that hold several groups;
+    ``main`` is a bucket's largest group, ``blocks`` its number of blocks."""
+    named = stored(buckets.join(groups, F.col("doc_id") == F.col("node"), "left").select(
+        "key", "doc_id", F.coalesce("component", "doc_id").alias("grp")), "bucket-groups")
     per = named.groupBy("key", "grp").agg(F.count("*").alias("n"))
     mixed = per.groupBy("key").agg(F.max(F.struct("n", "grp")).alias("top"), F.sum("n").alias("n"),
                                    F.count("*").alias("groups")).where("groups > 1")
     mixed = mixed.select("key", F.col("top.grp").alias("main"), F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    rows = named.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    outer = F.col("grp") != F.col("main")
-    all_blocks = F.sequence(F.lit(0), F.col("blocks") - 1)
+    return stored(named.join(mixed, "key"), "mixed-buckets")
+
+
+def _left_over(buckets: DataFrame, groups: DataFrame, reps: DataFrame, percent: int, best: bool) -> DataFrame:
+    """Pairs (a, b) of different groups that share a bucket and that their
+    presence bits do not rule out; if ``best``, the likeliest one for each
+    document and other group, else all."""
+    rows = _mixed_buckets(buckets, groups)
+    bins = max(1, -(-rows.count() // BIN_ROWS))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    outer = rows.where("grp <> main")
     # Side 0: members outside the main group, for each block of members; side 1: all members.
-    asks = rows.where(outer).select("band", "key", "doc_id", "grp", F.col("block").alias("bo"),
-                                    F.explode(all_blocks).alias("bm"), F.lit(0).alias("side"))
-    outer_blocks = rows.where(outer).select("key", F.col("block").alias("bo")).distinct()
-    has = rows.join(outer_blocks, "key").select("band", "key", "doc_id", "grp", "bo", F.col("block").alias("bm"),
+    asks = outer.select("key", "blocks", "doc_id", "grp", F.col("block").alias("bo"),
+                        F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("bm"), F.lit(0).alias("side"))
+    outer_blocks = outer.select("key", F.col("block").alias("bo")).distinct()
+    has = rows.join(outer_blocks, "key").select("key", "blocks", "doc_id", "grp", "bo", F.col("block").alias("bm"),
                                                 F.lit(1).alias("side"))
-    members = asks.union(has).join(reps.select("doc_id", "sig"), "doc_id")
+    # Small buckets share a bin; a block of a large one has its own.
+    place = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(bins))).otherwise(
+        F.greatest(F.xxhash64("key", "bo", "bm"), F.lit(bins)))
+    members = asks.union(has).withColumn("bin", place).join(reps.select("doc_id", "n_shingles", "bits"), "doc_id")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
-        ask, has = pdf[pdf["side"] == 0], pdf[pdf["side"] == 1]
-        out = [pd.DataFrame({"a": [], "b": []}, dtype="int64")]
-        if len(ask) and len(has):
-            band = pdf["band"].iloc[0]
-            one = np.frombuffer(b"".join(ask["sig"]), "<u2").reshape(len(ask), -1)
-            two = np.frombuffer(b"".join(has["sig"]), "<u2").reshape(len(has), -1)
-            id2, grp2 = has["doc_id"].to_numpy(), has["grp"].to_numpy()
-            for i, (doc, grp) in enumerate(zip(ask["doc_id"], ask["grp"], strict=True)):
-                same = two == one[i]
-                good = (same.sum(1) >= estimate * REGISTERS) & (grp2 != grp)
-                if good.any():
-                    shared = same[good].reshape(-1, BANDS, ROWS).all(2)
-                    mine = shared[:, band] & (shared.argmax(1) == band)
-                    b = id2[good][mine]
-                    out.append(pd.DataFrame({"a": np.maximum(doc, b), "b": np.minimum(doc, b)}))
+        out = [pd.DataFrame({"a": [], "b": [], "grp": [], "off": []}, dtype="int64")]
+        for _, part in pdf.groupby(["key", "bo", "bm"], sort=False):
+            ask, has = part[part["side"] == 0], part[part["side"] == 1]
+            if len(ask) and len(has):
+                out.append(near_pairs(ask, has, percent, best))
         return pd.concat(out)
 
-    return members.groupBy("key", "bo", "bm").applyInPandas(compare, "a long, b long").distinct()
-
-
-def groups(docs: DataFrame, words: int = 5, percent: int = 80, estimate: float = ESTIMATE) -> DataFrame:
+    pairs = members.groupBy("bin").applyInPandas(compare, "a long, b long, grp long, off long")
+    if best:
+        pairs = pairs.groupBy("a", "grp").agg(F.min(F.struct("off", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+
+
+def presence(shingle_set: np.ndarray) -> bytes:
+    """One bit per hash value, 8 to 16 bits per shingle (a power of two)."""
+    size = 1 << max(6, (8 * len(shingle_set) - 1).bit_length())
+    bits = np.zeros(size, "u1")
+    bits[(shingle_set & np.uint64(size - 1)).astype("intp")] = 1
+    return np.packbits(bits).tobytes()
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    while bits.shape[1] > words:
+        half = bits.shape[1] // 2
+        bits = bits[:, :half] | bits[:, half:]
+    return bits
+
+
+def near_pairs(ask: pd.DataFrame, has: pd.DataFrame, percent: int, best: bool) -> pd.DataFrame:
+    """Pairs of different groups that may reach ``percent``: a bit that only
+    one of two sets has stands for at least one element that the other lacks,
+    so more such bits than the similarity allows rule a pair out for certain."""
+    out = [[], [], [], []]
+    by_size = []
+    for width, h in has.groupby(has["bits"].str.len()):
+        by_size.append((np.frombuffer(b"".join(h["bits"]), "<u8").reshape(len(h), width // 8), h["doc_id"].to_numpy(),
+                        h["grp"].to_numpy(), h["n_shingles"].to_numpy()))
+    for doc, grp, n, bits in zip(ask["doc_id"], ask["grp"], ask["n_shingles"], ask["bits"], strict=True):
+        own = np.frombuffer(bits, "<u8")[None, :]
+        found = []
+        for theirs, ids, groups_, sizes in by_size:
+            ok = (groups_ != grp) & (100 * np.minimum(sizes, n) >= percent * np.maximum(sizes, n))
+            if ok.any():
+                words = min(own.shape[1], theirs.shape[1])
+                differ = np.bitwise_count(_folded(theirs[ok], words) ^ _folded(own, words)).sum(1, dtype="int64")
+                off = differ * (100 + percent) - (sizes[ok] + n) * (100 - percent)
+                may = off <= 0
+                found.append((ids[ok][may], groups_[ok][may], off[may]))
+        if found:
+            b, g, off = (np.concatenate(c) for c in zip(*found, strict=True))
+            if best and len(b):
+                order = np.lexsort((b, off, g))
+                take = order[np.append(True, g[order][1:] != g[order][:-1])]
+                b, g, off = b[take], g[take], off[take]
+            for column, v in zip(out, ([doc] * len(b), b, g, off), strict=True):
+                column.extend(v)
+    return pd.DataFrame(dict(zip(("a", "b", "grp", "off"), out, strict=True)), dtype="int64")
+
+
+def groups(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
     sigs = stored(signature_table(docs, words), "signatures")
     real = sigs.where("doc_id is not null and n_shingles > 0")
     classes = stored(real.groupBy("set_key").agg(F.min("doc_id").alias("rep")), "classes")
     reps = stored(real.join(classes.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-                  .select("doc_id", "sig").dropDuplicates(["doc_id"]), "representatives")
+                  .select("doc_id", "n_shingles", "sig", "bits").dropDuplicates(["doc_id"]), "representatives")
     keys = _buckets(reps)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
     buckets = stored(keys.join(shared, "key"), "buckets")
@@ -247,10 +297,11 @@ def groups(docs: DataFrame, words: int = 5, percent: int = 80, estimate: float =
     texts = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(near, "doc_id", "left_semi")
                    .dropDuplicates(["doc_id"]), "texts")
     links = stored(confirmed(stars, texts, words, percent), "links")
-    first = stored(components(links), "groups")
-    rest = stored(_left_over(buckets, first, reps, estimate), "left-over")
-    more = confirmed(rest, texts, words, percent)
-    found = stored(components(links.union(more)), "groups")
+    found = stored(components(links), "groups")
+    for best in (True, False):  # the likeliest pairs first, then all that are left
+        rest = stored(_left_over(buckets, found, reps, percent, best), "left-over")
+        links = stored(links.union(confirmed(rest, texts, words, percent)), "links")
+        found = stored(components(links), "groups")
     own = sigs.select("doc_id", "n_shingles", "set_key").join(classes, "set_key", "left")
     out = own.join(found, F.col("rep") == F.col("node"), "left")
     alone = F.col("doc_id").isNull() | (F.col("n_shingles") == 0)
