@@ -5,7 +5,6 @@ Layers:
   functions  column helpers (rounding, safe division)
   operators  sequence numbering, halo blocks, recursive scan, feature build
   plans      user-level jobs: reports, rule study, position sizing, publish
-  streaming  incremental tick -> bar resampling with Structured Streaming
 """
 
 from marketframe.schema import FEATURE_COLUMNS  # noqa: F401

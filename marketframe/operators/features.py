@@ -18,9 +18,16 @@ from marketframe.schema import BAR_COLUMNS, FEATURE_COLUMNS, FeatureParams
 from marketframe.session import materialize
 
 
+#: What each derived column needs besides its own bar.
+ROW_LOCAL = {"pct_open_to_close", "dtr", "range_pct", "trend_strength", *BAR_COLUMNS}
+RECURSIVE = {"atr", "tr_comp", "ema_9", "ema_21", "rsi"}
+MEANS = {"adv", "rvol", "sma_50", "sma_200"}
+
+
 def _mean_of_last(col: str, n: int, w: Window) -> Column:
-    """Mean of the last n rows; null until n rows exist (pandas rolling)."""
-    return F.when(F.col("bar_no") >= n, F.avg(col).over(w.rowsBetween(-(n - 1), 0)))
+    """Mean of the last n rows; null unless all n have a value (pandas rolling)."""
+    frame = w.rowsBetween(-(n - 1), 0)
+    return F.when(F.count(col).over(frame) == n, F.avg(col).over(frame))
 
 
 def with_sequence_columns(bars: DataFrame, params: FeatureParams, chunk: Column | None = None):
@@ -38,17 +45,23 @@ def with_sequence_columns(bars: DataFrame, params: FeatureParams, chunk: Column
 
 
 def build_features(bars: DataFrame, params: FeatureParams = FeatureParams(),
-                   chunk: Column | None = None) -> DataFrame:
-    """bars (symbol, date, open, high, low, close, volume) -> 22 feature columns.
+                   chunk: Column | None = None, columns: list[str] | None = None) -> DataFrame:
+    """bars (symbol, date, open, high, low, close, volume) -> feature columns.
+
+    ``columns`` names the wanted ones (default: all 22); only the stages they
+    need are planned.  Without a recursive column the result is one lazy plan;
+    with one, the scan writes its running sums and carries first.
 
     ``chunk`` is the calendar unit used for numbering (default: year); for
     intraday bars pass e.g. ``F.to_date('date')``.
+
+    A missing close or true range is skipped by the recursive means (they show
+    the value before it); a sliding mean needs all its values.
     """
-    p = params
-    # The numbering reads the bars twice (counts, rows); if they come from a
-    # computed plan (e.g. resampled ticks), compute that once.
-    bars = materialize(bars.select(
-        "symbol", "date", *[nan_to_null(F.col(c).cast("double")).alias(c) for c in BAR_COLUMNS[2:]]))
+    p, want = params, list(columns or FEATURE_COLUMNS)
+    bars = bars.select("symbol", "date", *[nan_to_null(F.col(c).cast("double")).alias(c) for c in BAR_COLUMNS[2:]])
+    if set(want) <= ROW_LOCAL:
+        return _project(bars, p, want)
     d, w = with_sequence_columns(bars, p, chunk)
 
     # Pass 1 (same window spec throughout, so one sort): previous close and
@@ -56,6 +69,14 @@ def build_features(bars: DataFrame, params: FeatureParams = FeatureParams(),
     d = d.select("*", F.lag("close", 1).over(w).alias("prev_close"))
     prev = F.col("prev_close")
     diff = F.col("close") - prev
+    # Pass 2: sliding means, null until the window is full.
+    if MEANS & set(want):
+        d = d.select("*", rnd(_mean_of_last("volume", p.adv_window, w), 0).alias("adv"),
+                     _mean_of_last("close", p.sma_fast, w).alias("sma_f"),
+                     _mean_of_last("close", p.sma_slow, w).alias("sma_s"))
+    d = d.filter(F.col("halo") == 0)
+    if not RECURSIVE & set(want):
+        return _project(d, p, want)
     d = d.select(
         "*",
         F.greatest(F.col("high") - F.col("low"),
@@ -63,62 +84,74 @@ def build_features(bars: DataFrame, params: FeatureParams = FeatureParams(),
         F.when(diff > 0, diff).otherwise(F.lit(0.0)).alias("gain"),
         F.when(diff < 0, -diff).otherwise(F.lit(0.0)).alias("loss"),
     )
-    # Pass 2: sliding means, null until the window is full.
-    d = d.select(
-        "*",
-        rnd(_mean_of_last("volume", p.adv_window, w), 0).alias("adv"),
-        _mean_of_last("close", p.sma_fast, w).alias("sma_f"),
-        _mean_of_last("close", p.sma_slow, w).alias("sma_s"),
-        F.when(F.col("bar_no") == p.atr_window,
-               F.avg("tr").over(w.rowsBetween(-(p.atr_window - 1), 0))).alias("atr_seed"),
-    ).filter(F.col("halo") == 0)
-
-    # Pass 3: the five recursive means in one scan.
-    n = F.col("bar_no")
+
+    # Pass 3: the recursive means from an empty start in one scan; the seeds
+    # (first close, mean of the first true ranges) are added afterwards.
     a_fast, a_slow = 2.0 / (p.ema_fast + 1), 2.0 / (p.ema_slow + 1)
     a_atr, a_rsi = 1.0 / p.atr_window, 1.0 / p.rsi_window
-
-    def ewm_input(x: str, alpha: float) -> Column:
-        return F.when(n == 1, F.col(x)).otherwise(F.lit(alpha) * F.col(x))
-
+    has_close, has_tr = F.col("close").isNotNull(), F.col("tr").isNotNull()
+    one = F.lit(1.0)
     specs = [
-        Recurrence("y_ema_f", 1.0 - a_fast, ewm_input("close", a_fast)),
-        Recurrence("y_ema_s", 1.0 - a_slow, ewm_input("close", a_slow)),
-        Recurrence("y_up", 1.0 - a_rsi, ewm_input("gain", a_rsi)),
-        Recurrence("y_dn", 1.0 - a_rsi, ewm_input("loss", a_rsi)),
-        Recurrence("y_atr", 1.0 - a_atr,
-                   F.when(n == p.atr_window, F.col("atr_seed"))
-                   .when(n > p.atr_window, F.lit(a_atr) * F.col("tr"))
-                   .otherwise(F.lit(0.0))),
+        Recurrence("e_fast", 1.0 - a_fast, F.lit(a_fast) * F.col("close"), has_close),
+        Recurrence("e_slow", 1.0 - a_slow, F.lit(a_slow) * F.col("close"), has_close),
+        Recurrence("n_close", 1.0, one, has_close),
+        Recurrence("y_up", 1.0 - a_rsi, F.lit(a_rsi) * F.col("gain")),
+        Recurrence("y_dn", 1.0 - a_rsi, F.lit(a_rsi) * F.col("loss")),
+        Recurrence("e_atr", 1.0 - a_atr, F.lit(a_atr) * F.col("tr"), has_tr),
+        Recurrence("s_tr", 1.0, F.col("tr"), has_tr),
+        Recurrence("n_tr", 1.0, one, has_tr),
     ]
-    d = linear_scan(d, specs, "symbol", "block", "bar_no", p.scan_chunk, p.block_size, sub_col="sub")
-
-    atr = (f"CASE WHEN bar_no >= {p.atr_window} AND {rnd_sql('y_atr', 2)} <> 0 "
-           f"THEN {rnd_sql('y_atr', 2)} END")
+    needs = {"ema_9": {"e_fast", "n_close"}, "ema_21": {"e_slow", "n_close"}, "rsi": {"y_up", "y_dn"},
+             "atr": {"e_atr", "s_tr", "n_tr"}, "tr_comp": {"e_atr", "s_tr", "n_tr"}}
+    used = set().union(*[needs[c] for c in want if c in needs])
+    d = linear_scan(d, [s for s in specs if s.name in used], "symbol", "block", "bar_no", p.scan_chunk, p.block_size,
+                    sub_col="sub")
+    seeds = []
+    if "n_close" in used:
+        first = has_close & (F.col("n_close") == 1)
+        seeds.append(F.max(F.when(first, F.col("close"))).alias("first_close"))
+    if "n_tr" in used:
+        full = has_tr & (F.col("n_tr") == p.atr_window)
+        seeds.append(F.max(F.when(full, F.col("s_tr") / p.atr_window)).alias("atr_seed"))
+        seeds.append(F.max(F.when(full, F.col("e_atr"))).alias("atr_start"))
+    if seeds:
+        # One row per symbol, from the first bars of each.
+        d = d.join(materialize(d.groupBy("symbol").agg(*seeds)), "symbol")
+    if "n_close" in used:
+        d = d.withColumns({f"y_{k}": F.col(f"e_{k}") + F.pow(F.lit(1.0 - a), F.col("n_close")) * F.col("first_close")
+                           for k, a in (("fast", a_fast), ("slow", a_slow)) if f"e_{k}" in used})
+    if "n_tr" in used:
+        since = F.col("n_tr") - p.atr_window
+        d = d.withColumn("y_atr", F.when(since == 0, F.col("atr_seed")).when(
+            since > 0, F.col("e_atr") + F.pow(F.lit(1.0 - a_atr), since) * (F.col("atr_seed") - F.col("atr_start"))))
+    return _project(d, p, want)
+
+
+def _project(d: DataFrame, p: FeatureParams, want: list[str]) -> DataFrame:
+    """The wanted columns from the stages' results, as SQL text (one parse
+    per column instead of one JVM call per operator)."""
+    atr = f"CASE WHEN {rnd_sql('y_atr', 2)} <> 0 THEN {rnd_sql('y_atr', 2)} END"
     dtr = rnd_sql("abs(high - low)", 2)
     rsi = ("CASE WHEN y_dn = 0 THEN 100.0D "
            f"ELSE {rnd_sql('100.0D - 100.0D / (1.0D + y_up / y_dn)', 2)} END")
-    change = f"({div_sql('close', 'prev_close')} - 1) * 100"
-    out = d.selectExpr(
-        "symbol", "date",
-        f"{rnd_sql(change, 2)} AS pct_change",
-        f"{rnd_sql(div_sql('close - open', 'open') + ' * 100', 2)} AS pct_open_to_close",
-        f"CASE WHEN prev_close = 0 THEN 0.0D "
-        f"ELSE {rnd_sql(div_sql('open - prev_close', 'prev_close') + ' * 100', 2)} END AS pct_gap",
-        "open", "high", "low", "close", "volume", "adv",
-        f"{rnd_sql(div_sql('volume', 'adv'), 2)} AS rvol",
-        f"{atr} AS atr",
-        f"{dtr} AS dtr",
-        f"{rnd_sql(div_sql(dtr, atr), 2)} AS tr_comp",
-        f"CASE WHEN bar_no >= {p.ema_fast} THEN {rnd_sql('y_ema_f', 2)} END AS ema_9",
-        f"CASE WHEN bar_no >= {p.ema_slow} THEN {rnd_sql('y_ema_s', 2)} END AS ema_21",
-        f"{rnd_sql('sma_f', 2)} AS sma_50",
-        f"{rnd_sql('sma_s', 2)} AS sma_200",
-        f"CASE WHEN bar_no >= {p.rsi_window} THEN {rsi} END AS rsi",
-        f"{rnd_sql(div_sql('close - low', 'high - low'), 2)} AS range_pct",
-        f"{rnd_sql(div_sql('abs(open - close)', 'abs(high - low)'), 2)} AS trend_strength",
-    )
-    return out.select(*FEATURE_COLUMNS)
+    sql = {
+        "pct_change": rnd_sql(f"({div_sql('close', 'prev_close')} - 1) * 100", 2),
+        "pct_open_to_close": rnd_sql(div_sql('close - open', 'open') + ' * 100', 2),
+        "pct_gap": f"CASE WHEN prev_close = 0 THEN 0.0D "
+                   f"ELSE {rnd_sql(div_sql('open - prev_close', 'prev_close') + ' * 100', 2)} END",
+        "rvol": rnd_sql(div_sql('volume', 'adv'), 2),
+        "atr": atr,
+        "dtr": dtr,
+        "tr_comp": rnd_sql(div_sql(dtr, atr), 2),
+        "ema_9": f"CASE WHEN n_close >= {p.ema_fast} THEN {rnd_sql('y_fast', 2)} END",
+        "ema_21": f"CASE WHEN n_close >= {p.ema_slow} THEN {rnd_sql('y_slow', 2)} END",
+        "sma_50": rnd_sql('sma_f', 2),
+        "sma_200": rnd_sql('sma_s', 2),
+        "rsi": f"CASE WHEN bar_no >= {p.rsi_window} THEN {rsi} END",
+        "range_pct": rnd_sql(div_sql('close - low', 'high - low'), 2),
+        "trend_strength": rnd_sql(div_sql('abs(open - close)', 'abs(high - low)'), 2),
+    }
+    return d.selectExpr(*[f"{sql[c]} AS {c}" if c in sql else c for c in want])
 
 
 def true_range(bars: DataFrame, params: FeatureParams = FeatureParams()) -> DataFrame:

@@ -2,16 +2,21 @@
 
 Spark has no recursive window function.  The recurrence
     y_t = r * y_{t-1} + u_t        (r = 1 - alpha)
-is linear, so over a chunk of consecutive bars (positions j = 0..n-1)
-    y_j = r^(j+1) * c + loc_j,   loc_j = r^j * sum_{i<=j} u_i * r^(-i)
-where c is y at the end of the previous chunk.  ``loc`` is a running sum
-per chunk; the carries c are folded over the (few) chunk summaries of each
-symbol and joined back.  A chunk holds at most ``chunk`` bars, so r^(-i)
-stays finite; all inputs are non-negative, so the sums do not cancel.
-
-Seeds enter through u: u = x at the seed bar and alpha * x after it (pandas
-``ewm(adjust=False)`` seeds with the first value; Wilder's ATR seeds with the
-mean of the first n true ranges at bar n).
+is linear, so over a chunk of consecutive bars
+    y = r^k * c + loc,   loc = r^k * sum_i u_i * r^(-k_i)
+where k counts the chunk's bars so far and c is y at the end of the previous
+chunk.  ``loc`` is a running sum per chunk; the carries c come from a fold of
+chunk summaries and are joined back.  A chunk holds at most ``chunk`` bars, so
+r^(-k) stays finite; all inputs are non-negative, so the sums do not cancel.
+
+A recurrence may skip bars (``valid`` false, e.g. a missing close): such a bar
+neither decays nor adds, and shows the value before it.  Rate 1 is a running
+sum, which also counts the valid bars.
+
+The fold composes: a run of bars acts on the state before it as
+``y -> r^n y + l``.  Chunks are composed inside their block, blocks inside
+super-blocks of ``SUPER`` blocks, super-blocks per key, so that no list grows
+with the bars of a block or super-block.
 """
 
 from __future__ import annotations
@@ -22,12 +27,17 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from marketframe.session import materialize
+
+SUPER = 256
+
 
 @dataclass(frozen=True)
 class Recurrence:
-    name: str      # output column
-    rate: float    # r = 1 - alpha
-    u: Column      # input term at each bar
+    name: str                    # output column
+    rate: float                  # r = 1 - alpha
+    u: Column                    # input term at each bar
+    valid: Column | None = None  # bars that count; None: all
 
 
 def chunk_of(index: str, block: str, chunk: int, block_size: int) -> Column:
@@ -37,105 +47,92 @@ def chunk_of(index: str, block: str, chunk: int, block_size: int) -> Column:
 
 
 def linear_scan(df: DataFrame, specs: list[Recurrence], key: str, block: str, index: str,
-                chunk: int, block_size: int, sub_col: str | None = None,
-                materialize_locals: bool = True) -> DataFrame:
+                chunk: int, block_size: int, sub_col: str | None = None) -> DataFrame:
     """Evaluate each recurrence in ``specs``; adds one column per spec.
 
     ``df`` must hold each (key, block) group whole (rows of other blocks,
     e.g. halo copies, removed) with ``index`` the 1-based position in the
-    key's series; ``block_size`` must be a multiple of ``chunk``.  With
-    ``materialize_locals`` the per-row running sums are checkpointed before
-    the plan forks into the carry fold and the final per-row pass.  Pass
-    ``sub_col`` when ``df`` already carries ``chunk_of(...)`` (and is sorted
-    by it), so that the scan reuses the existing sort.
+    key's series; ``block_size`` must be a multiple of ``chunk``.  The per-row
+    running sums are written once, before the plan forks into the carry fold
+    and the final per-row pass.  Pass ``sub_col`` when ``df`` already carries
+    ``chunk_of(...)`` (and is sorted by it), so that the scan reuses the
+    existing sort.
     """
     if block_size % chunk:
         raise ValueError("block_size must be a multiple of the scan chunk")
     for s in specs:
-        # r^-(chunk-1) must stay well inside the double range (~1e308).
-        if not 0.0 < s.rate < 1.0 or -math.log(s.rate) * chunk > 600:
+        # r^-chunk must stay well inside the double range (~1e308).
+        if not 0.0 < s.rate <= 1.0 or -math.log(s.rate) * chunk > 600:
             raise ValueError(f"scan chunk {chunk} too long for rate {s.rate}")
-    pos = F.col(index) - 1
-    j = (pos - F.floor(pos / chunk) * chunk).cast("int")
     if sub_col is None:
         d = df.withColumn("_sub", chunk_of(index, block, chunk, block_size))
     else:
         d = df.withColumnRenamed(sub_col, "_sub")
-    d = d.withColumn("_j", j)
     running = (Window.partitionBy(key, block, "_sub").orderBy(index)
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.select("*", *[
-        (F.pow(F.lit(s.rate), F.col("_j"))
-         * F.sum(s.u * F.pow(F.lit(s.rate), -F.col("_j"))).over(running)).alias(f"_loc_{s.name}")
-        for s in specs
-    ])
-
-    # The chunk summaries and the rows both derive from ``d``: checkpoint it
-    # so the window pass runs once instead of once per branch.
-    if materialize_locals:
-        from marketframe.session import materialize
-        d = materialize(d, force=True)
-
-    # One summary row per chunk: its length and its last local value.
-    summary = d.groupBy(key, block, "_sub").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.max_by(F.struct(*[F.col(f"_loc_{s.name}").alias(s.name) for s in specs]),
-                 F.col(index)).alias("last"),
-    )
-    carries = _fold_carries(summary, specs, key, block)
-    joined = d.join(_broadcast_if_small(carries, len(specs) * (block_size // chunk)), [key, block])
-    out = joined.select("*", *[
-        (F.col(f"_loc_{s.name}")
-         + F.pow(F.lit(s.rate), F.col("_j") + 1)
-         * F.element_at(F.col("_carries"), F.col("_sub") + 1)[s.name]).alias(s.name)
+    every = F.lit(True)
+    d = d.select("*", *[F.count_if(s.valid if s.valid is not None else every).over(running).alias(f"_k_{s.name}")
+                        for s in specs])
+    d = d.select("*", *[_local(s, running).alias(f"_loc_{s.name}") for s in specs])
+    d = materialize(d)
+
+    last = F.max_by(F.struct(*[F.struct(F.col(f"_k_{s.name}").alias("n"), F.col(f"_loc_{s.name}").alias("l")).alias(s.name)
+                               for s in specs]), F.col(index))
+    summary = d.groupBy(key, block, "_sub").agg(last.alias("x"))
+    # A few rows per block; written so that its size is known when the join is planned.
+    carries = materialize(_carries(summary, specs, key, block))
+    out = d.join(carries, [key, block, "_sub"]).select("*", *[
+        (F.col(f"_loc_{s.name}") + F.pow(F.lit(s.rate), F.col(f"_k_{s.name}")) * F.col(f"_c.{s.name}")).alias(s.name)
         for s in specs
     ])
-    return out.drop("_carries", "_sub", "_j", *[f"_loc_{s.name}" for s in specs])
-
-
-# Largest carry table shipped to every executor (one row per symbol-block).
-BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-
-
-def _broadcast_if_small(carries: DataFrame, doubles_per_row: int) -> DataFrame:
-    """Broadcast the carry table when its measured size is under the limit.
-
-    The table is written once (it is tiny next to the bars) and counted; each
-    row holds a key, a block number and ``doubles_per_row`` doubles, so the
-    count bounds its size.  Above the limit the join shuffles instead."""
-    from marketframe.session import materialize
-    carries = materialize(carries, force=True)
-    row_bytes = 64 + 8 * doubles_per_row
-    if carries.count() * row_bytes <= BROADCAST_LIMIT_BYTES:
-        return F.broadcast(carries)
-    return carries
-
-
-def _fold_carries(summary: DataFrame, specs: list[Recurrence], key: str, block: str) -> DataFrame:
-    """Per key, fold chunk summaries in order into the carry entering each
-    chunk; returns (key, block, _carries) with ``_carries`` indexed by chunk."""
-    names = [s.name for s in specs]
-    carry_t = ", ".join(f"{n}: double" for n in names)
-    out_t = f"array<struct<blk: bigint, sub: int, c: struct<{carry_t}>>>"
-    init = F.struct(
-        F.struct(*[F.lit(0.0).alias(n) for n in names]).alias("c"),
-        F.expr(f"cast(array() as {out_t})").alias("out"),
-    )
-
-    def step(acc, x):
-        entry = F.struct(x["blk"].alias("blk"), x["sub"].alias("sub"), acc["c"].alias("c"))
-        nxt = F.struct(*[
-            (F.pow(F.lit(s.rate), x["n"]) * acc["c"][s.name] + x["last"][s.name]).alias(s.name)
-            for s in specs
-        ])
-        return F.struct(nxt.alias("c"), F.concat(acc["out"], F.array(entry)).alias("out"))
-
-    per_key = summary.groupBy(key).agg(
-        F.array_sort(F.collect_list(F.struct(
-            F.col(block).cast("long").alias("blk"), F.col("_sub").alias("sub"),
-            F.col("n"), F.col("last")))).alias("chunks"))
-    folded = per_key.select(
-        key, F.explode(F.aggregate("chunks", init, step)["out"]).alias("e"))
-    return folded.groupBy(key, F.col("e.blk").alias(block)).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct(F.col("e.sub"), F.col("e.c")))),
-                    lambda x: x["c"]).alias("_carries"))
+    return out.drop("_c", "_sub", *[f"{p}{s.name}" for s in specs for p in ("_k_", "_loc_")])
+
+
+def _local(s: Recurrence, running) -> Column:
+    k = F.col(f"_k_{s.name}")
+    u = s.u if s.valid is None else F.when(s.valid, s.u)
+    if s.rate == 1.0:
+        return F.coalesce(F.sum(u).over(running), F.lit(0.0))
+    total = F.sum(u * F.pow(F.lit(s.rate), -k)).over(running)
+    return F.coalesce(F.pow(F.lit(s.rate), k) * total, F.lit(0.0))
+
+
+def _carries(summary: DataFrame, specs: list[Recurrence], key: str, block: str) -> DataFrame:
+    """(key, block, _sub, _c): the state that enters each chunk."""
+    chunks, blocks = _compose(summary, specs, [key, block], "_sub")
+    blocks = blocks.withColumn("_super", F.floor(F.col(block) / SUPER))
+    within, supers = _compose(blocks, specs, [key, "_super"], block)
+    over, _ = _compose(supers, specs, [key], "_super")
+    state = within.withColumnRenamed("before", "b").join(over.withColumnRenamed("before", "s"), [key, "_super"])
+    state = chunks.join(state, [key, block])
+
+    def enter(s: Recurrence) -> Column:
+        def step(name: str, c: Column) -> Column:
+            at = f"{name}.{s.name}"
+            return F.col(f"{at}.l") + F.pow(F.lit(s.rate), F.col(f"{at}.n")) * c
+        return step("before", step("b", F.col(f"s.{s.name}.l"))).alias(s.name)
+
+    return state.select(key, block, "_sub", F.struct(*[enter(s) for s in specs]).alias("_c"))
+
+
+def _compose(runs: DataFrame, specs: list[Recurrence], group: list[str], order: str) -> tuple[DataFrame, DataFrame]:
+    """Compose the runs ``x`` of each group in order: what stands before each
+    run (columns of ``group``, ``order``, ``before``), and each group's whole (``x``)."""
+    kind = "struct<" + ", ".join(f"`{s.name}`: struct<n: bigint, l: double>" for s in specs) + ">"
+    at = dict(runs.dtypes)[order]
+    zero = F.struct(*[F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("l")).alias(s.name) for s in specs])
+    init = F.struct(zero.alias("x"), F.expr(f"cast(array() as array<struct<at: {at}, before: {kind}>>)").alias("out"))
+
+    def step(acc, run):
+        then = F.struct(*[F.struct(
+            (acc["x"][s.name]["n"] + run["x"][s.name]["n"]).alias("n"),
+            (F.pow(F.lit(s.rate), run["x"][s.name]["n"]) * acc["x"][s.name]["l"] + run["x"][s.name]["l"]).alias("l"),
+        ).alias(s.name) for s in specs])
+        entry = F.struct(run["at"].alias("at"), acc["x"].alias("before"))
+        return F.struct(then.alias("x"), F.concat(acc["out"], F.array(entry)).alias("out"))
+
+    listed = runs.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), "x"))).alias("runs"))
+    folded = listed.select(*group, F.aggregate("runs", init, step).alias("f"))
+    before = folded.select(*group, F.explode("f.out").alias("e")).select(
+        *group, F.col("e.at").alias(order), F.col("e.before").alias("before"))
+    return before, folded.select(*group, F.col("f.x").alias("x"))

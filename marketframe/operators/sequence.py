@@ -40,8 +40,11 @@ def running_count(df: DataFrame, key: str, order: str, chunk: Column, flag: Colu
     offsets = counts.select(*cols)
     in_chunk = (Window.partitionBy(key, "_chunk").orderBy(order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    # Null-safe, so that rows without a key or order value are numbered too.
+    offsets = offsets.select(F.col(key).alias("_key"), F.col("_chunk").alias("_at"),
+                             *[c for c in offsets.columns if c not in (key, "_chunk")])
     return (
-        d.join(offsets, [key, "_chunk"])
+        d.join(offsets, F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_at"))).drop("_key", "_at")
         .withColumn(out, F.col("_off") + F.sum("_flag").over(in_chunk))
         .drop("_off", "_chunk", "_flag")
     )

@@ -9,7 +9,7 @@ Spark does, so that rounding sees the same doubles.
 from __future__ import annotations
 
 from marketframe.schema import FEATURE_COLUMNS, FeatureParams, ReportParams, StudyParams
-from marketframe.sources.testdata import BASKET_MAX_BRAND, REPORT_PARAMS, STUDY_PARAMS
+from marketframe.sources.testdata import BASKET_MAX_BRAND, BASKET_TYPES, REPORT_PARAMS, STUDY_PARAMS
 
 FP = FeatureParams()
 
@@ -31,7 +31,18 @@ def _sum_last(col: str, n: int) -> str:
             f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), lambda a, b: a + b)")
 
 
+BASKET_TYPES_SQL = f"(SELECT DISTINCT p_type FROM part ORDER BY p_type LIMIT {BASKET_TYPES})"
+BASKET_BRANDS_SQL = (f"(SELECT p_brand FROM part WHERE "
+                     f"TRY_CAST(split_part(p_brand, '#', 2) AS INTEGER) BETWEEN 1 AND {BASKET_MAX_BRAND})")
+
+
 def bars_ctes(pre: str, by: str) -> list[str]:
+    if by == "basket":
+        one, two = (bars_ctes(f"{pre}{c}_", c)[0].replace(f"{pre}{c}_ticks AS", f"{pre}{c}_ticks AS MATERIALIZED")
+                    for c in ("p_brand", "p_type"))
+        return [one, two, f"""{pre}ticks AS (
+  SELECT * FROM {pre}p_brand_ticks WHERE symbol IN {BASKET_BRANDS_SQL}
+  UNION ALL SELECT * FROM {pre}p_type_ticks WHERE symbol IN {BASKET_TYPES_SQL})""", bars_ctes(pre, "p_brand")[1]]
     return [
         f"""{pre}ticks AS (
   SELECT {by} AS symbol, CAST(l_shipdate AS DATE) AS date,
@@ -45,40 +56,60 @@ def bars_ctes(pre: str, by: str) -> list[str]:
     ]
 
 
-def features_ctes(pre: str, by: str, p: FeatureParams = FP) -> list[str]:
-    """CTEs ending in ``{pre}feat`` (the 22 feature columns)."""
+GAPS = """SELECT symbol, date, open,
+    CASE WHEN d % 23 <> 5 THEN high END AS high, CASE WHEN d % 46 <> 5 THEN low END AS low,
+    CASE WHEN d % 17 <> 3 THEN close END AS close, CASE WHEN d % 101 <> 7 THEN volume END AS volume
+  FROM (SELECT *, date - DATE '1970-01-01' AS d FROM {bars})"""
+
+
+def features_ctes(pre: str, by: str, p: FeatureParams = FP, gaps: bool = False) -> list[str]:
+    """CTEs ending in ``{pre}feat`` (the 22 feature columns); with ``gaps``,
+    from bars in which some values are missing."""
     a9, a21 = 2.0 / (p.ema_fast + 1), 2.0 / (p.ema_slow + 1)
     a14 = 1.0 / p.rsi_window
     w = p.atr_window
     ctes = bars_ctes(pre, by)
+    source = f"{pre}bars"
+    if gaps:
+        ctes.append(f"{pre}gaps AS MATERIALIZED (" + GAPS.format(bars=source) + ")")
+        source = f"{pre}gaps"
     ctes.append(f"""{pre}f1 AS (
   SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS n,
          lag(close) OVER (PARTITION BY symbol ORDER BY date) AS pc
-  FROM {pre}bars)""")
+  FROM {source})""")
     ctes.append(f"""{pre}f2 AS (
   SELECT *, greatest(high - low, abs(high - pc), abs(low - pc)) AS tr,
          CASE WHEN close - pc > 0 THEN close - pc ELSE CAST(0 AS DOUBLE) END AS gain,
          CASE WHEN close - pc < 0 THEN -(close - pc) ELSE CAST(0 AS DOUBLE) END AS loss
   FROM {pre}f1)""")
+    def mean(col: str, n: int) -> str:
+        full = (f"count({col}) OVER (PARTITION BY symbol ORDER BY date "
+                f"ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW) = {n}")
+        return f"CASE WHEN {full} THEN {_sum_last(col, n)} / {n} END"
+
+    count = "count({}) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     ctes.append(f"""{pre}f3 AS MATERIALIZED (
-  SELECT *,
-    CASE WHEN n >= {p.adv_window} THEN {R(_sum_last('volume', p.adv_window) + f' / {p.adv_window}', 0)} END AS adv,
-    CASE WHEN n >= {p.sma_fast} THEN {_sum_last('close', p.sma_fast)} / {p.sma_fast} END AS sma_f,
-    CASE WHEN n >= {p.sma_slow} THEN {_sum_last('close', p.sma_slow)} / {p.sma_slow} END AS sma_s,
-    CASE WHEN n = {w} THEN {_sum_last('tr', w)} / {w} END AS atr_seed
+  SELECT *, {R('(' + mean('volume', p.adv_window) + ')', 0)} AS adv,
+    {mean('close', p.sma_fast)} AS sma_f, {mean('close', p.sma_slow)} AS sma_s,
+    {count.format('close')} AS nc, {count.format('tr')} AS nt,
+    sum(tr) OVER (PARTITION BY symbol ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS tr_sum
   FROM {pre}f2)""")
+
+    def ema(state: str, a: float) -> str:
+        return (f"CASE WHEN f.close IS NULL THEN r.{state} WHEN f.nc = 1 THEN f.close "
+                f"ELSE {D(1 - a)} * r.{state} + {D(a)} * f.close END")
+
     ctes.append(f"""{pre}rec AS (
   SELECT symbol, n, close AS e9, close AS e21, gain AS up, loss AS dn,
          CAST(NULL AS DOUBLE) AS atr
   FROM {pre}f3 WHERE n = 1
   UNION ALL
-  SELECT f.symbol, f.n,
-         {D(1 - a9)} * r.e9 + {D(a9)} * f.close,
-         {D(1 - a21)} * r.e21 + {D(a21)} * f.close,
+  SELECT f.symbol, f.n, {ema('e9', a9)}, {ema('e21', a21)},
          {D(1 - a14)} * r.up + {D(a14)} * f.gain,
          {D(1 - a14)} * r.dn + {D(a14)} * f.loss,
-         CASE WHEN f.n = {w} THEN f.atr_seed
-              WHEN f.n > {w} THEN (r.atr * {w - 1} + f.tr) / {w} END
+         CASE WHEN f.nt = {w} AND r.atr IS NULL THEN f.tr_sum / {w}
+              WHEN f.tr IS NULL THEN r.atr
+              WHEN f.nt > {w} THEN (r.atr * {w - 1} + f.tr) / {w} END
   FROM {pre}rec r JOIN {pre}f3 f ON f.symbol = r.symbol AND f.n = r.n + 1)""")
     atr_r = R("r.atr", 2)
     atr = f"(CASE WHEN {atr_r} <> 0 THEN {atr_r} END)"
@@ -93,8 +124,8 @@ def features_ctes(pre: str, by: str, p: FeatureParams = FP) -> list[str]:
     {atr} AS atr,
     {dtr} AS dtr,
     {R(f'{dtr} / NULLIF({atr}, 0)', 2)} AS tr_comp,
-    CASE WHEN f.n >= {p.ema_fast} THEN {R('r.e9', 2)} END AS ema_9,
-    CASE WHEN f.n >= {p.ema_slow} THEN {R('r.e21', 2)} END AS ema_21,
+    CASE WHEN f.nc >= {p.ema_fast} THEN {R('r.e9', 2)} END AS ema_9,
+    CASE WHEN f.nc >= {p.ema_slow} THEN {R('r.e21', 2)} END AS ema_21,
     {R('f.sma_f', 2)} AS sma_50,
     {R('f.sma_s', 2)} AS sma_200,
     CASE WHEN f.n >= {p.rsi_window} THEN
@@ -111,8 +142,8 @@ def with_(ctes: list[str], body: str) -> str:
 
 STOCKS = features_ctes("s_", "p_brand")
 ETFS = features_ctes("e_", "p_type")
-BASKET_FILTER = (f"symbol IN (SELECT p_brand FROM part WHERE "
-                 f"TRY_CAST(split_part(p_brand, '#', 2) AS INTEGER) BETWEEN 1 AND {BASKET_MAX_BRAND})")
+BASKET = features_ctes("b_", "basket")
+BASKET_FILTER = f"symbol IN {BASKET_BRANDS_SQL}"
 LATEST = "date = (SELECT max(date) FROM s_feat)"
 
 
@@ -154,27 +185,27 @@ def report_sql(rp: ReportParams = REPORT_PARAMS) -> dict[str, str]:
     for key, (sel, order) in top.items():
         out[key] = with_(STOCKS, f"SELECT {sel} FROM s_feat WHERE {LATEST} "
                                  f"ORDER BY {order}, symbol LIMIT {rp.top_n}")
-    for prefix, where in [("", "TRUE"), ("basket_", BASKET_FILTER)]:
+    for prefix, ctes, table in [("", STOCKS, "s_feat"), ("basket_", BASKET, "b_feat")]:
         for name, k, thr, up in [("up_20_in_5", 5, 0.20, True), ("down_20_in_5", 5, 0.20, False),
                                  ("up_50_in_40", 40, 0.50, True), ("down_50_in_40", 40, 0.50, False)]:
-            out[prefix + name] = with_(STOCKS, movers_sql(k, thr, up, where))
+            out[prefix + name] = with_(ctes, movers_sql(k, thr, up, table))
     exported = ["top_rvol", "top_tr_comp", "gainers", "losers", "up_20_in_5", "down_20_in_5",
                 "up_50_in_40", "down_50_in_40", "closers_with_rvol", "etf_closers_with_rvol",
                 "basket_up_20_in_5", "basket_down_20_in_5", "basket_up_50_in_40",
-                "basket_down_50_in_40"]
+                "basket_down_50_in_40", "advance_vs_decline", "above_below_ma"]
     parts = []
     for key in exported:
         body = out[key].split("\nSELECT ", 1)[1] if key not in ("closers_with_rvol", "etf_closers_with_rvol") \
             else out[key].rsplit("\nSELECT ", 1)[1]
         parts.append(f"SELECT '{key}' AS report_id, count(*) AS row_count FROM (SELECT {body})")
-    out["report_manifest"] = with_(STOCKS + ETFS, "\nUNION ALL\n".join(parts))
+    out["report_manifest"] = with_(STOCKS + ETFS + BASKET, "\nUNION ALL\n".join(parts))
     out["recent_rank"] = with_(STOCKS, "SELECT symbol, date, row_number() OVER "
                                        "(PARTITION BY symbol ORDER BY date DESC) AS row_num FROM s_feat")
     return out
 
 
-def movers_sql(k: int, thr: float, up: bool, where: str) -> str:
-    """A SELECT (no WITH) over ``s_feat``: each symbol's newest row with the
+def movers_sql(k: int, thr: float, up: bool, table: str) -> str:
+    """A SELECT (no WITH) over a feature table: each symbol's newest row with the
     close ``k`` rows older taken by ``lead`` on the newest-first order."""
     ratio = "close / NULLIF(close_then, 0) - 1"
     cond = f"{ratio} > {thr}" if up else f"{ratio} < -{thr}"
@@ -184,7 +215,7 @@ FROM (
   SELECT *, lead(close, {k}) OVER newest_first AS close_then,
          lead(date, {k}) OVER newest_first AS date_then,
          rank() OVER newest_first AS pos
-  FROM s_feat WHERE {where}
+  FROM {table}
   WINDOW newest_first AS (PARTITION BY symbol ORDER BY date DESC))
 WHERE pos = 1 AND date_then IS NOT NULL AND {cond}"""
 
@@ -204,6 +235,9 @@ def study_ctes(sp: StudyParams = STUDY_PARAMS) -> list[str]:
   SELECT symbol, date AS signal_date, n AS signal_bar FROM win
   WHERE range_pct > {sp.min_range_pct} AND rvol > {sp.min_rvol} AND adv > {sp.min_adv}
     AND pct_gap > {sp.min_gap} AND open > ema_9 AND n - 1 >= {sp.warmup_bars})""",
+        f"""sig_custom AS (
+  SELECT symbol, date AS signal_date, n AS signal_bar FROM win
+  WHERE tr_comp > 1.1 AND range_pct > 0.5 AND n - 1 >= {sp.warmup_bars})""",
         """ent AS (
   SELECT s.*, e.date AS entry_date, e.open AS entry_px, e.low AS entry_low, e.n AS e_n
   FROM sig s LEFT JOIN win e ON e.symbol = s.symbol AND e.n = s.signal_bar + 1)""",
@@ -260,11 +294,13 @@ def study_sql(sp: StudyParams = STUDY_PARAMS) -> dict[str, str]:
         "liquid_window": with_(base, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM win"),
         "distinct_symbols": with_(base, "SELECT DISTINCT symbol FROM win"),
         "entry_signals": with_(base, "SELECT symbol, signal_date, signal_bar FROM sig"),
+        "entry_signals_custom": with_(base, "SELECT symbol, signal_date, signal_bar FROM sig_custom"),
         "label_exits": with_(base, "SELECT * FROM lab"),
         "non_overlapping_trades": with_(base, "SELECT ks.* EXCLUDE (k) FROM ks JOIN walk "
                                               "ON ks.symbol = walk.symbol AND ks.k = walk.k WHERE walk.taken"),
         "trades_ranked": with_(base, "SELECT * FROM trades"),
         "trade_summary": with_(base, f"SELECT symbol, {_summary_sql(sp)} FROM trades GROUP BY symbol"),
+        "trade_summary_csv": with_(base, f"SELECT symbol, {_summary_sql(sp)} FROM trades GROUP BY symbol"),
         "trade_summary_all": with_(base, f"SELECT {_summary_sql(sp)} FROM trades"),
     }
 
@@ -280,7 +316,7 @@ IDEAS = f"""ideas AS (
         FROM s_feat WHERE {LATEST}))"""
 
 SIZED = """sized AS (
-  SELECT idea_id, valid, amount AS risk_amount, profit_ps AS profit_per_share,
+  SELECT idea_id, valid AND risk_ps IS DISTINCT FROM 0 AS valid, amount AS risk_amount, profit_ps AS profit_per_share,
          risk_ps AS risk_per_share, by_risk, entry, pf,
          CASE WHEN by_risk * entry > pf THEN pf / NULLIF(entry, 0) ELSE by_risk END AS shares
   FROM (SELECT *, amount / NULLIF(risk_ps, 0) AS by_risk FROM (
@@ -319,6 +355,7 @@ def source_sql() -> dict[str, str]:
     uni = f"""SELECT 'SP_500' AS universe, p_brand AS symbol FROM part
 UNION SELECT 'BASKET', p_brand FROM part
   WHERE TRY_CAST(split_part(p_brand, '#', 2) AS INTEGER) BETWEEN 1 AND {BASKET_MAX_BRAND}
+UNION SELECT 'BASKET', p_type FROM part WHERE p_type IN {BASKET_TYPES_SQL}
 UNION SELECT 'ETF', p_type FROM part"""
     sp = STUDY_PARAMS
     return {
@@ -329,6 +366,16 @@ UNION SELECT 'ETF', p_type FROM part"""
         "scan_bars": with_(bars_ctes("s_", "p_brand"),
                            f"SELECT * FROM s_bars WHERE date >= DATE '{sp.start_exclusive}' "
                            f"AND date <= DATE '{sp.end_exclusive}' AND {BASKET_FILTER}"),
+        "basket_features": with_(BASKET, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM b_feat"),
+        "features_with_gaps": with_(features_ctes("g_", "p_brand", gaps=True),
+                                    f"SELECT {', '.join(FEATURE_COLUMNS)} FROM g_feat"),
+        "sql_report": with_(STOCKS, "SELECT " + ", ".join([
+            _count("pct_change > 0", "advances"), _count("pct_change < 0", "declines"),
+            _count("pct_change = 0", "no_change")]) + f" FROM s_feat WHERE {LATEST}"),
+        "normalise_bars": with_(bars_ctes("s_", "p_brand"), """SELECT symbol,
+  CAST(timezone('America/New_York', to_timestamp(d * 86400 + (d % 24) * 3600)) AS DATE) AS date,
+  open, high, low, CASE WHEN d % 24 <> 5 THEN close END AS close, volume
+FROM (SELECT *, date - DATE '1970-01-01' AS d FROM s_bars)"""),
         "true_range": with_(STOCKS[:3], """SELECT symbol, date,
   greatest(high - low, abs(high - pc), abs(low - pc)) AS true_range FROM s_f1"""),
         "custom_indicator": with_(STOCKS, "SELECT symbol, date, sma_50, sma_200 FROM s_feat"),

@@ -1,21 +1,22 @@
 """The end-of-day job in one call: publish features, run and export reports.
 
-Mirrors the reference's daily flow (reload the feature tables, run the
-report queries, write the two report books) as Spark jobs:
+Mirrors the daily flow of the reference (reload the feature tables, check the
+load, run the report queries, write the report books) as Spark jobs:
 
-1. features of each universe are built and published under a new version;
+1. each universe's bars are restricted to its members; their features are
+   built, published under a new version and checked;
 2. the newest stock session is read once (a single date) and shared by the
    latest-session reports, so they prune to one year folder;
 3. the sixteen reports run on the published tables and are written as files
-   under ``reports/run_date=<yyyy-MM-dd>/book=<stocks|basket>/report=<id>``;
-4. a manifest (report id, row count) is returned.
+   under ``reports/run_date=<yyyy-MM-dd>/book=<stocks|basket|breadth>/report=<id>``;
+4. a manifest (report id, row count) is counted from the written files.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from marketframe.operators.features import build_features
@@ -24,29 +25,28 @@ from marketframe.plans import reports as R
 from marketframe.schema import FeatureParams, ReportParams
 from marketframe.sources.universe import members, restrict_to_universe
 
+BOOKS = {"stocks": R.STOCK_BOOK, "basket": R.BASKET_BOOK, "breadth": R.BREADTH_BOOK}
 
-def run_daily(spark: SparkSession, stock_bars: DataFrame, etf_bars: DataFrame,
+
+def run_daily(spark: SparkSession, stock_bars: DataFrame, etf_bars: DataFrame, basket_bars: DataFrame,
               universes: DataFrame, out_root: str, report_params: ReportParams = ReportParams(),
               feature_params: FeatureParams = FeatureParams(), version: str | None = None,
               fmt: str = "parquet") -> dict:
     version = version or uuid.uuid4().hex[:12]
-    feat_root = f"{out_root}/features"
-    vpath = PB.publish_features(build_features(stock_bars, feature_params), feat_root, "SP_500", version)
-    PB.publish_features(build_features(etf_bars, feature_params), feat_root, "ETF", version)
-    stocks = PB.read_features(spark, vpath, "SP_500")
-    etfs = PB.read_features(spark, vpath, "ETF")
-    basket = restrict_to_universe(stocks, members(universes, "BASKET"))
+    tables, vpath = {}, ""
+    for universe, bars in (("SP_500", stock_bars), ("ETF", etf_bars), ("BASKET", basket_bars)):
+        seen = Observation()
+        features = build_features(restrict_to_universe(bars, members(universes, universe)), feature_params)
+        vpath = PB.publish_features(features, f"{out_root}/features", universe, version, seen)
+        tables[universe] = PB.read_features(spark, vpath, universe)
+        PB.assert_loaded(seen.get["rows"], tables[universe])
 
     # One value to the driver: the run date, also used as a literal filter.
-    run_date = stocks.agg(F.date_format(F.max("date"), "yyyy-MM-dd").alias("d")).first()["d"]
-    reps = R.all_reports(stocks, etfs, basket, report_params, as_of=run_date)
-    books = {"stocks": R.STOCK_BOOK, "basket": R.BASKET_BOOK}
-    exported = {}
-    for book, sheets in books.items():
+    run_date = tables["SP_500"].agg(F.date_format(F.max("date"), "yyyy-MM-dd").alias("d")).first()["d"]
+    reps = R.all_reports(tables["SP_500"], tables["ETF"], tables["BASKET"], report_params, as_of=run_date)
+    paths = {}
+    for book, sheets in BOOKS.items():
         frames = {rid: R.export_frame(rid, reps[rid]) for rid in sheets.values()}
-        PB.write_reports(frames, f"{out_root}/reports", run_date, book, fmt)
-        exported.update(frames)
-    return {"version_path": vpath, "run_date": run_date,
-            "manifest": PB.report_manifest(exported),
-            "advance_vs_decline": reps["advance_vs_decline"],
-            "above_below_ma": reps["above_below_ma"]}
+        paths |= PB.write_reports(frames, f"{out_root}/reports", run_date, book, fmt)
+    return {"version_path": vpath, "run_date": run_date, "paths": paths,
+            "manifest": PB.report_manifest(spark, paths, fmt)}

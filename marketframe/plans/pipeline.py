@@ -10,7 +10,6 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from marketframe.operators.features import build_features
 from marketframe.schema import FeatureParams
@@ -42,15 +41,24 @@ class Inputs:
     def etfs(self) -> DataFrame:
         return build_features(self.etf_bars, self.params)
 
+    @cached_property
+    def basket_bars(self) -> DataFrame:
+        return td.basket_bars(self.spark, self.sf_dir, self.universes)
+
     @cached_property
     def basket(self) -> DataFrame:
-        # A symbol's features depend on its own bars only, so the basket
-        # table is the stock table restricted to the basket.
-        return restrict_to_universe(self.stocks, members(self.universes, "BASKET"))
+        # A load of its own: the basket holds symbols that are not stocks.
+        return build_features(self.basket_bars, self.params)
+
+    @cached_property
+    def basket_stocks(self) -> DataFrame:
+        """Stocks that are in the basket; the bars are restricted first."""
+        return build_features(restrict_to_universe(self.stock_bars, members(self.universes, "BASKET")), self.params)
 
     def table(self, name: str) -> DataFrame:
         return td.table(self.spark, self.sf_dir, name)
 
 
 def feature_column(inputs: Inputs, col: str) -> DataFrame:
-    return inputs.stocks.select("symbol", "date", F.col(col))
+    """One feature of the stocks; only the stages it needs are planned."""
+    return build_features(inputs.stock_bars, inputs.params, columns=["symbol", "date", col])

@@ -12,28 +12,28 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from marketframe.schema import FEATURES_SCHEMA, FEATURE_COLUMNS
 
 
-def publish_features(features: DataFrame, root: str, universe: str,
-                     version: str | None = None, files_per_year: int = 1) -> str:
+def publish_features(features: DataFrame, root: str, universe: str, version: str | None = None,
+                     observation: Observation | None = None) -> str:
     """Write one universe of the feature table; returns the version path.
 
-    Hash-partitioned by year, so each year folder is written by one task
-    (one file of a few MB per year for daily bars of ~500 symbols; pass a
-    larger ``files_per_year`` for finer bars).  A range repartition would run
-    an extra sampling job over the whole feature plan."""
+    Rows of a year come together (one file for daily bars of ~500 symbols);
+    AQE splits a year that is too large for a task.  ``observation`` receives
+    the number of rows computed (``rows``) from the same pass."""
     version = version or uuid.uuid4().hex[:12]
     path = f"{root}/version={version}/universe={universe}"
-    (features.select(*FEATURE_COLUMNS)
-     .withColumn("year", F.year("date"))
-     .repartition("year", *([F.pmod(F.xxhash64("symbol"), F.lit(files_per_year))]
-                             if files_per_year > 1 else []))
-     .sortWithinPartitions("date", "symbol")
+    out = features.select(*FEATURE_COLUMNS)
+    if observation is not None:
+        out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
+    (out.withColumn("year", F.year("date"))
+     .hint("rebalance", "year")
+     .sortWithinPartitions("year", "date", "symbol")
      .write.mode("overwrite").partitionBy("year").parquet(path))
     return f"{root}/version={version}"
 
@@ -58,29 +58,48 @@ def publish_check(computed: DataFrame, written: DataFrame) -> DataFrame:
     ).select(rows_computed.alias("rows_computed"), "rows_written", "distinct_keys")
 
 
+class LoadError(RuntimeError):
+    """A published table differs from what was computed."""
+
+
+def assert_loaded(rows_computed: int, written: DataFrame) -> None:
+    """Every computed row was written, and (symbol, date) is a key."""
+    r = written.agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("symbol", "date").alias("keys")).first()
+    if not rows_computed == r["rows"] == r["keys"]:
+        raise LoadError(f"{rows_computed} rows computed, {r['rows']} written, {r['keys']} distinct keys")
+
+
 def preview(features: DataFrame, n: int = 10) -> DataFrame:
     """First n rows by (symbol, date)."""
     return features.orderBy("symbol", "date").limit(n)
 
 
+def register_tables(tables: dict[str, DataFrame]) -> None:
+    """S3: name tables for SQL text (``spark.sql``) in their session."""
+    for name, df in tables.items():
+        df.createOrReplaceTempView(name)
+
+
+def write_report(df: DataFrame, path: str, fmt: str = "parquet") -> str:
+    """One report as Parquet or CSV with a header; returns ``path``.
+    A sorted report is written in its order, one file per range of rows."""
+    w = df.write.mode("overwrite")
+    w.option("header", True).csv(path) if fmt == "csv" else w.parquet(path)
+    return path
+
+
 def write_reports(reports: dict[str, DataFrame], root: str, run_date: str, book: str,
-                  fmt: str = "parquet") -> DataFrame | None:
-    """Write each report under run_date=/book=/report=; returns nothing."""
-    for rid, df in reports.items():
-        w = df.coalesce(1).write.mode("overwrite")
-        path = f"{root}/run_date={run_date}/book={book}/report={rid}"
-        if fmt == "csv":
-            w.option("header", True).csv(path)
-        else:
-            w.parquet(path)
-    return None
-
-
-def report_manifest(reports: dict[str, DataFrame]) -> DataFrame:
-    """(report_id, row_count) for a set of reports, as one DataFrame."""
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(
-        F.lit(rid).alias("report_id"), "row_count") for rid, df in reports.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+                  fmt: str = "parquet") -> dict[str, str]:
+    """Write each report under run_date=/book=/report=; returns the paths."""
+    return {rid: write_report(df, f"{root}/run_date={run_date}/book={book}/report={rid}", fmt)
+            for rid, df in reports.items()}
+
+
+def report_manifest(spark: SparkSession, paths: dict[str, str], fmt: str = "parquet") -> DataFrame:
+    """(report_id, row_count), counted from the written files."""
+    out = None
+    for rid, path in paths.items():
+        df = spark.read.option("header", True).csv(path) if fmt == "csv" else spark.read.parquet(path)
+        part = df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(rid).alias("report_id"), "row_count")
+        out = part if out is None else out.unionByName(part)
     return out

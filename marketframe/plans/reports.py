@@ -2,8 +2,8 @@
 
 Each report is a function ``features -> DataFrame``.  The "latest session"
 filter is either an uncorrelated scalar subquery (one small aggregate, run
-once per query) or, in ``run_all``, a literal computed once and shared by all
-reports so that it also prunes files.  Top-k reports plan as
+once per query) or, in ``all_reports``, a literal computed once and shared by
+all reports so that it also prunes files.  Top-k reports plan as
 ``TakeOrderedAndProject``: every task keeps k rows, so no full sort happens.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from marketframe.functions.numeric import div, rnd
 from marketframe.operators.sequence import number_rows
 from marketframe.schema import FEATURE_COLUMNS, ReportParams
+from marketframe.session import materialize
 
 P = ReportParams()
 
@@ -84,29 +85,30 @@ TOP_COLUMNS = {
 }
 
 
-def top_k(features: DataFrame, by: str, descending: bool = True, k: int = P.top_n,
-          as_of=None) -> DataFrame:
+def top_k(features: DataFrame, by: str, descending: bool = True, k: int | None = None,
+          as_of=None, params: ReportParams = P) -> DataFrame:
     """K rows of the latest session ranked by ``by`` (nulls last when
     descending, first when ascending), ties broken by symbol."""
     key = F.desc(by) if descending else F.asc(by)
-    return (latest_session(features, as_of).orderBy(key, F.asc("symbol")).limit(k)
+    return (latest_session(features, as_of).orderBy(key, F.asc("symbol")).limit(
+        params.top_n if k is None else k)
             .select(*TOP_COLUMNS[by]))
 
 
-def top_rvol(features, as_of=None):
-    return top_k(features, "rvol", True, as_of=as_of)
+def top_rvol(features, as_of=None, params: ReportParams = P):
+    return top_k(features, "rvol", True, as_of=as_of, params=params)
 
 
-def top_tr_comp(features, as_of=None):
-    return top_k(features, "tr_comp", True, as_of=as_of)
+def top_tr_comp(features, as_of=None, params: ReportParams = P):
+    return top_k(features, "tr_comp", True, as_of=as_of, params=params)
 
 
-def gainers(features, as_of=None):
-    return top_k(features, "pct_open_to_close", True, as_of=as_of)
+def gainers(features, as_of=None, params: ReportParams = P):
+    return top_k(features, "pct_open_to_close", True, as_of=as_of, params=params)
 
 
-def losers(features, as_of=None):
-    return top_k(features, "pct_open_to_close", False, as_of=as_of)
+def losers(features, as_of=None, params: ReportParams = P):
+    return top_k(features, "pct_open_to_close", False, as_of=as_of, params=params)
 
 
 MOVER_COLUMNS = ["close", "rvol", "pct_change", "pct_open_to_close", "ema_9", "atr", "rsi",
@@ -123,21 +125,27 @@ def recent_rank(features: DataFrame) -> DataFrame:
     return numbered.select("symbol", "date", (F.col("_n") - F.col("bar_no") + 1).alias("row_num"))
 
 
+def newest_bars(features: DataFrame, k: int = 41) -> DataFrame:
+    """The newest ``k`` bars of each symbol with their number from the newest.
+
+    The limit runs in every task before the shuffle (WindowGroupLimit), so
+    only k rows per symbol per task move.  All movers can share this table."""
+    w = Window.partitionBy("symbol").orderBy(F.desc("date"))
+    return features.select("symbol", *MOVER_COLUMNS, F.row_number().over(w).alias("row_num")).filter(F.col("row_num") <= k)
+
+
 def movers(features: DataFrame, sessions: int, threshold: float, up: bool) -> DataFrame:
     """Symbols whose newest close moved more than ``threshold``
     (a fraction) against the close ``sessions`` bars earlier.
 
-    Each symbol uses its own newest bar (no date filter).  The filter
-    ``row_num <= K`` lets Spark keep only K rows per symbol in every task
-    before the shuffle (WindowGroupLimit), so only K rows per symbol per task
-    move; the two rows are then paired by a conditional aggregate instead of
-    a self-join.  Symbols with fewer than K+1 bars drop out.
+    Each symbol uses its own newest bar (no date filter).  The two rows are
+    paired by a conditional aggregate instead of a self-join.  Symbols with
+    fewer than K+1 bars drop out.  ``features`` may be a feature table or the
+    result of ``newest_bars``.
     """
     k = sessions + 1
-    w = Window.partitionBy("symbol").orderBy(F.desc("date"))
-    ranked = features.select("symbol", *MOVER_COLUMNS, F.row_number().over(w).alias("row_num")) \
-                     .filter(F.col("row_num") <= k)
-    paired = ranked.groupBy("symbol").agg(
+    newest = features if "row_num" in features.columns else newest_bars(features, k)
+    paired = newest.filter(F.col("row_num").isin(1, k)).groupBy("symbol").agg(
         F.max(F.when(F.col("row_num") == 1, F.struct(*MOVER_COLUMNS))).alias("r1"),
         F.max(F.when(F.col("row_num") == k, F.col("close"))).alias("close_k"),
     ).filter(F.col("close_k").isNotNull() & F.col("r1").isNotNull())
@@ -166,7 +174,7 @@ def down_50_in_40(f):
     return movers(f, 40, 0.50, False)
 
 
-# Report ids of the two exported books (sheet names of the reference).
+# Report ids of the two exported books by sheet name.
 STOCK_BOOK = {
     "Highest RVOL": "top_rvol", "Outlier Moves": "top_tr_comp", "Gainers": "gainers",
     "Losers": "losers", "+20% in 5 sessions": "up_20_in_5", "-20% in 5 sessions": "down_20_in_5",
@@ -179,29 +187,31 @@ BASKET_BOOK = {
 }
 
 
+# Reports that the daily run prints; written as a third book.
+BREADTH_BOOK = {"Advance vs decline": "advance_vs_decline", "Above and below MAs": "above_below_ma"}
+
+
 def all_reports(stocks: DataFrame, etfs: DataFrame, basket: DataFrame,
                 params: ReportParams = P, as_of: str | None = None) -> dict[str, DataFrame]:
     """The sixteen reports.  ``as_of`` (the stocks' newest date as a literal,
-    computed once by the caller) replaces the per-query subquery."""
+    computed once by the caller) replaces the per-query subquery.  The eight
+    movers share two small tables of newest bars, written once."""
     d = as_of if as_of is not None else stocks
-    return {
+    out = {
         "closers_with_rvol": closers_with_rvol(stocks, params, as_of=d),
         "etf_closers_with_rvol": closers_with_rvol(etfs, params, as_of=d),
         "advance_vs_decline": advance_vs_decline(stocks, as_of=d),
         "above_below_ma": above_below_ma(stocks, as_of=d),
-        "top_rvol": top_rvol(stocks, as_of=d),
-        "top_tr_comp": top_tr_comp(stocks, as_of=d),
-        "gainers": gainers(stocks, as_of=d),
-        "losers": losers(stocks, as_of=d),
-        "up_20_in_5": up_20_in_5(stocks),
-        "down_20_in_5": down_20_in_5(stocks),
-        "up_50_in_40": up_50_in_40(stocks),
-        "down_50_in_40": down_50_in_40(stocks),
-        "basket_up_20_in_5": up_20_in_5(basket),
-        "basket_down_20_in_5": down_20_in_5(basket),
-        "basket_up_50_in_40": up_50_in_40(basket),
-        "basket_down_50_in_40": down_50_in_40(basket),
+        "top_rvol": top_rvol(stocks, as_of=d, params=params),
+        "top_tr_comp": top_tr_comp(stocks, as_of=d, params=params),
+        "gainers": gainers(stocks, as_of=d, params=params),
+        "losers": losers(stocks, as_of=d, params=params),
     }
+    for prefix, table in (("", stocks), ("basket_", basket)):
+        newest = materialize(newest_bars(table))
+        out |= {f"{prefix}up_20_in_5": up_20_in_5(newest), f"{prefix}down_20_in_5": down_20_in_5(newest),
+                f"{prefix}up_50_in_40": up_50_in_40(newest), f"{prefix}down_50_in_40": down_50_in_40(newest)}
+    return out
 
 
 def export_frame(report_id: str, df: DataFrame) -> DataFrame:

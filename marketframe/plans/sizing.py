@@ -4,8 +4,8 @@ The reference is a desktop form for one idea at a time; the arithmetic is a
 narrow projection, so a whole table of ideas is sized in one pass.  Inputs
 ``portfolio`` and ``risk`` are text, as typed into the form: text that does
 not parse gives ``valid = false`` and null results ("Invalid input.").
-A stop equal to the entry (zero risk per share) gives nulls instead of a
-division error.
+A stop equal to the entry (zero risk per share) gives ``valid = false`` and
+null results instead of a division error.
 """
 
 from __future__ import annotations
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from marketframe.functions.numeric import div, rnd
 from marketframe.operators.sequence import number_rows
+from marketframe.session import materialize
 
 INVALID = "Invalid input."
 DEFAULT_PORTFOLIO = "100000"
@@ -41,12 +42,13 @@ def size_positions(ideas: DataFrame) -> DataFrame:
     the portfolio, and the trade's cost, profit and risk."""
     pf = F.col("portfolio").try_cast("double")
     rk = F.col("risk").try_cast("double")
-    valid = pf.isNotNull() & rk.isNotNull()
-    amount = F.when(valid, pf * rk)
+    parsed = pf.isNotNull() & rk.isNotNull()
+    amount = F.when(parsed, pf * rk)
     entry, stop, target = F.col("entry"), F.col("stop"), F.col("target")
     profit_ps = F.abs(entry - target)
     risk_ps = F.abs(entry - stop)
     by_risk = div(amount, risk_ps)
+    valid = parsed & F.coalesce(risk_ps != 0, F.lit(True))
     shares = F.when(by_risk * entry > pf, div(pf, entry)).otherwise(by_risk)
     return ideas.select(
         "idea_id", valid.alias("valid"), amount.alias("risk_amount"),
@@ -76,11 +78,11 @@ def position_labels(ideas: DataFrame) -> DataFrame:
 def ideas_from_session(session: DataFrame, bad_every: int = 10) -> DataFrame:
     """Test input: one idea per bar of a session (entry = close, stop = low,
     target = high, default portfolio and risk); every ``bad_every``-th idea
-    gets an unparsable portfolio.  Ideas are numbered in symbol order without
-    a single-partition window: the first character of a symbol is monotone
-    in that order, so it serves as the numbering chunk."""
-    numbered = number_rows(session.select("symbol", "close", "low", "high", F.lit(0).alias("_all")),
-                           "_all", "symbol", F.substring("symbol", 1, 1), out="idea_id")
+    gets an unparsable portfolio.  Ideas are numbered in symbol order: dealt
+    by symbol range, counted per range, offsets added."""
+    ranged = materialize(session.select("symbol", "close", "low", "high", F.lit(0).alias("_all"))
+                         .repartitionByRange("symbol").withColumn("_range", F.spark_partition_id()))
+    numbered = number_rows(ranged, "_all", "symbol", F.col("_range"), out="idea_id")
     return numbered.select(
         F.col("idea_id").cast("long").alias("idea_id"), "close", "low", "high").select(
         "idea_id",

@@ -53,30 +53,33 @@ def numbered_window(features: DataFrame, p: StudyParams = P) -> DataFrame:
     return number_rows(liquid_window(features, p), "symbol", "date", F.year("date"))
 
 
-def entry_signals(features: DataFrame, p: StudyParams = P) -> DataFrame:
-    """(symbol, signal_date, signal_bar).  No signal before the
+def entry_signals(features: DataFrame, p: StudyParams = P, rule: Column | None = None) -> DataFrame:
+    """(symbol, signal_date, signal_bar) where ``rule``, a predicate on
+    the feature columns (default: ``entry_rule``), holds.  No signal before the
     ``warmup_bars``-th bar (0-based), where the strategy starts deciding."""
     bars = numbered_window(features, p)
-    return bars.filter(entry_rule(p) & (F.col("bar_no") - 1 >= p.warmup_bars)).select(
+    return bars.filter((entry_rule(p) if rule is None else rule) & (F.col("bar_no") - 1 >= p.warmup_bars)).select(
         "symbol", F.col("date").alias("signal_date"), F.col("bar_no").alias("signal_bar"))
 
 
-def label_exits(features: DataFrame, p: StudyParams = P, block_size: int = 4096) -> DataFrame:
+def label_exits(features: DataFrame, p: StudyParams = P, block_size: int = 4096,
+                rule: Column | None = None) -> DataFrame:
     """Every signal with its entry, exit decision and exit fill.
 
     Columns: symbol, signal_date, signal_bar, entry_date, entry_px, decision_bar,
     exit_date, exit_px, bars_held, exit_reason (stop / time / open).
     """
-    return _labelled(features, p, block_size).drop("cluster_start")
+    return labelled_signals(features, p, block_size, rule).drop("cluster_start")
 
 
-def _labelled(features: DataFrame, p: StudyParams, block_size: int = 4096) -> DataFrame:
+def labelled_signals(features: DataFrame, p: StudyParams = P, block_size: int = 4096,
+                     rule: Column | None = None) -> DataFrame:
     """label_exits plus ``cluster_start``: no signal fired in the ``span``
     bars before this one (see ``non_overlapping_trades``)."""
     ahead = p.max_hold_bars + 2
     span = p.max_hold_bars + 1
     bars = numbered_window(features, p)
-    fire = entry_rule(p) & (F.col("bar_no") - 1 >= p.warmup_bars)
+    fire = (entry_rule(p) if rule is None else rule) & (F.col("bar_no") - 1 >= p.warmup_bars)
     blocked = halo_blocks(bars.select("symbol", "date", "bar_no", "open", "low", fire.alias("fire")),
                           "bar_no", block_size, before=span, after=ahead)
     w = Window.partitionBy("symbol", "block").orderBy("bar_no")
@@ -121,22 +124,14 @@ def non_overlapping_trades(labelled: DataFrame, p: StudyParams = P) -> DataFrame
     A trade decides at most ``max_hold_bars + 1`` bars after its signal (and
     only stays open when the data ends sooner), so a signal with no other
     signal in the ``max_hold_bars + 1`` bars before it is always free.  Such
-    signals start independent clusters; the ordered fold runs per cluster,
-    never over a whole symbol.  ``labelled`` comes from ``label_exits``; when
-    it carries ``cluster_start`` (internal form) that flag is used directly.
+    signals (``cluster_start``, from the window that labels them) start
+    independent clusters; the ordered fold runs per cluster, never over a
+    whole symbol.  ``labelled`` comes from ``labelled_signals``.
     """
-    span = p.max_hold_bars + 1
     cols = [c for c in labelled.columns if c not in ("symbol", "cluster_start")]
     entered = labelled.filter(F.col("entry_date").isNotNull())
     chunk = F.floor(F.col("signal_bar") / 4096)
-    if "cluster_start" in labelled.columns:
-        flagged, starts = entered, F.col("cluster_start")
-    else:
-        sig = number_rows(entered, "symbol", "signal_bar", chunk, out="_sig_no")
-        prev = sig.select("symbol", (F.col("_sig_no") + 1).alias("_sig_no"),
-                          F.col("signal_bar").alias("_prev_bar"))
-        flagged = sig.join(prev, ["symbol", "_sig_no"], "left")
-        starts = F.col("_prev_bar").isNull() | (F.col("signal_bar") - F.col("_prev_bar") > span)
+    flagged, starts = entered, F.col("cluster_start")
     clustered = running_count(flagged, "symbol", "signal_bar", chunk, starts, out="_cluster")
     per_cluster = clustered.groupBy("symbol", "_cluster").agg(
         F.array_sort(F.collect_list(F.struct(*cols))).alias("sigs"))
@@ -164,8 +159,8 @@ def with_returns(trades: DataFrame, p: StudyParams = P) -> DataFrame:
         F.when(F.col("exit_px").isNotNull(), ret).alias("return_pct"))
 
 
-def trades(features: DataFrame, p: StudyParams = P) -> DataFrame:
-    return with_returns(non_overlapping_trades(_labelled(features, p), p), p)
+def trades(features: DataFrame, p: StudyParams = P, rule: Column | None = None) -> DataFrame:
+    return with_returns(non_overlapping_trades(labelled_signals(features, p, rule=rule), p), p)
 
 
 def trades_ranked(features: DataFrame, p: StudyParams = P) -> DataFrame:
@@ -201,11 +196,11 @@ def trade_summary_all(features: DataFrame, p: StudyParams = P) -> DataFrame:
     return trades(features, p).agg(*_summary_aggs(p))
 
 
-def run(features: DataFrame, p: StudyParams = P) -> dict[str, DataFrame]:
-    """The whole study: trades are written once (a table under the checkpoint
+def run(features: DataFrame, p: StudyParams = P, rule: Column | None = None) -> dict[str, DataFrame]:
+    """The whole study under ``rule`` (default: ``entry_rule``): trades are written once (a table under the checkpoint
     folder) and the ranked list and both summaries read that table."""
     from marketframe.session import materialize
-    t = materialize(trades(features, p), force=True)
+    t = materialize(trades(features, p, rule))
     return {
         "trades_ranked": t.orderBy(F.desc("return_pct"), "symbol", "entry_date"),
         "trade_summary": t.groupBy("symbol").agg(*_summary_aggs(p)),

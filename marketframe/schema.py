@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import types as T
 
-# Output columns of the feature table, in order.
+# Output columns of the feature table, in order.
 FEATURE_COLUMNS = [
     "symbol", "date", "pct_change", "pct_open_to_close", "pct_gap",
     "open", "high", "low", "close",

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -16,11 +15,12 @@ DEFAULTS = {
 }
 
 
-def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str = "marketframe",
+def get_session(master: str = "local[*]", shuffle_partitions: int | None = None, app: str = "marketframe",
                 extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULTS)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    if shuffle_partitions is not None:
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -33,8 +33,8 @@ def get_session(master: str = "local[*]", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
-    On a cluster it is named by ``spark.checkpoint.dir`` (required there);
-    only a local-mode session without it gets a scratch folder.
+    It is named by ``spark.checkpoint.dir``; a session without that setting
+    uses a folder in its warehouse, which executors share as well.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -42,29 +42,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. on the cluster's "
-                               "distributed file system); intermediate tables are written there")
-        configured = tempfile.mkdtemp(prefix="marketframe-ckpt-")
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
 
-_COMPUTED = ("Aggregate", "Join", "Window", "Generate", "Repartition", "Sort", "Union", "Python")
-
-
-def materialize(df, force: bool = False):
+def materialize(df):
     """Cut lineage at a fork: write ``df`` as a Parquet table under the shared
-    checkpoint folder and read it back, unless it is already a plain table
-    scan (re-reading that is cheaper than writing a copy).
+    checkpoint folder and read it back.
 
     One job writes the table (``Dataset.checkpoint`` would run the plan twice
     unless it were cached first); readers then scan columnar files, and the
     copy survives executor loss, unlike a local checkpoint."""
-    if not force:
-        plan = df._jdf.queryExecution().optimizedPlan().toString()
-        if not any(k in plan for k in _COMPUTED):
-            return df
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/tables/{uuid.uuid4().hex}"
     df.write.parquet(path)

@@ -20,13 +20,13 @@ EXCHANGE_TZ = "America/New_York"
 def session_date_column(ts: Column, dtype: T.DataType, tz: str = EXCHANGE_TZ) -> Column:
     """UTC timestamp -> calendar date at the exchange.
 
-    A TIMESTAMP_NTZ holds UTC wall-clock time, so ``convert_timezone`` works
-    without depending on the session time zone.  A TIMESTAMP (instant) is
-    shifted with ``from_utc_timestamp``; the package's sessions run in UTC.
+    A TIMESTAMP_NTZ holds UTC wall-clock time.  A TIMESTAMP (instant) shows as
+    wall-clock time of the session's zone, so that zone is converted from;
+    neither result depends on the session's setting.
     """
     if isinstance(dtype, T.TimestampNTZType):
         return F.to_date(F.convert_timezone(F.lit("UTC"), F.lit(tz), ts))
-    return F.to_date(F.from_utc_timestamp(ts, tz))
+    return F.to_date(F.convert_timezone(F.current_timezone(), F.lit(tz), ts.cast("timestamp_ntz")))
 
 
 def session_date(df: DataFrame, ts_col: str = "timestamp", out_col: str = "date",

@@ -44,8 +44,8 @@ NAMED = {
     "DOW_30": DOW_30, "MAG_7": MAG_7, "SEMIS": SEMIS,
 }
 
-# A literal list this long is still a trivially small broadcast.
-BROADCAST_MAX_SYMBOLS = 100_000
+# Longer lists become a table; shorter ones a filter that reaches the scan.
+IN_FILTER_SYMBOLS = 1_000
 
 
 def universe_table(spark, lists: dict[str, list[str]] | None = None) -> DataFrame:
@@ -66,9 +66,9 @@ def restrict_to_universe(df: DataFrame, symbols, symbol_col: str = "symbol") ->
     broadcasts only when its measured size is under the broadcast threshold."""
     if isinstance(symbols, (list, tuple, set, frozenset)):
         syms = sorted(set(symbols))
-        if len(syms) > BROADCAST_MAX_SYMBOLS:
-            raise ValueError("symbol list too long for an IN filter; pass a table")
-        return df.filter(F.col(symbol_col).isin(syms))
+        if len(syms) <= IN_FILTER_SYMBOLS:
+            return df.filter(F.col(symbol_col).isin(syms))
+        symbols = df.sparkSession.createDataFrame([(x,) for x in syms], "symbol string")
     right = symbols.select(F.col("symbol").alias("_u_symbol")).distinct()
     return df.join(right, F.col(symbol_col) == F.col("_u_symbol"), "left_semi")
 

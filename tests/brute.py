@@ -5,20 +5,26 @@ import numpy as np
 import pandas as pd
 
 
-def ewm_step(x, alpha, seed_index=0, seed=None):
-    out = np.full(len(x), np.nan)
-    y = None
+def ewm_step(x, alpha, seed=None, seed_count=1):
+    """Recursive mean that skips missing values and shows the last one there;
+    starts at the ``seed_count``-th value with ``seed`` (default: that value)."""
+    out, y, k = np.full(len(x), np.nan), np.nan, 0
     for i, v in enumerate(x):
-        if i < seed_index:
-            continue
-        if i == seed_index:
-            y = v if seed is None else seed
-        else:
-            y = (1 - alpha) * y + alpha * v
+        if not np.isnan(v):
+            k += 1
+            if k == seed_count:
+                y = v if seed is None else seed
+            elif k > seed_count:
+                y = (1 - alpha) * y + alpha * v
         out[i] = y
     return out
 
 
+def counted(x, values, least):
+    """``values`` where at least ``least`` values of x have been seen."""
+    return np.where(np.cumsum(~np.isnan(x)) >= least, values, np.nan)
+
+
 def features_one(df: pd.DataFrame) -> pd.DataFrame:
     df = df.sort_values("date").reset_index(drop=True)
     c, o, h, lo, v = (df[k].to_numpy(float) for k in ["close", "open", "high", "low", "volume"])
@@ -33,22 +39,18 @@ def features_one(df: pd.DataFrame) -> pd.DataFrame:
         adv = pd.Series(v).rolling(14).mean().round(0).to_numpy()
         out["adv"] = adv
         out["rvol"] = np.where(adv == 0, np.nan, np.round(v / adv, 2))
-        tr = np.nanmax(np.vstack([h - lo, np.abs(h - pc), np.abs(lo - pc)]), axis=0)
-        atr = np.full(n, np.nan)
-        if n >= 14:
-            atr[13] = tr[:14].mean()
-            for i in range(14, n):
-                atr[i] = (atr[i - 1] * 13 + tr[i]) / 14
+        parts = np.vstack([h - lo, np.abs(h - pc), np.abs(lo - pc)])
+        tr = np.where(np.isnan(parts).all(axis=0), np.nan, np.fmax.reduce(parts))
+        known = tr[~np.isnan(tr)]
+        atr = ewm_step(tr, 1 / 14, known[:14].mean() if len(known) >= 14 else 0.0, 14)
         atr = np.round(atr, 2)
         atr[atr == 0] = np.nan
         out["atr"] = atr
         dtr = np.round(np.abs(h - lo), 2)
         out["dtr"] = dtr
         out["tr_comp"] = np.round(dtr / atr, 2)
-        e9 = ewm_step(c, 0.2)
-        e9[:8] = np.nan
-        e21 = ewm_step(c, 2 / 22)
-        e21[:20] = np.nan
+        e9 = counted(c, ewm_step(c, 0.2), 9)
+        e21 = counted(c, ewm_step(c, 2 / 22), 21)
         out["ema_9"] = np.round(e9, 2)
         out["ema_21"] = np.round(e21, 2)
         out["sma_50"] = pd.Series(c).rolling(50).mean().round(2).to_numpy()

@@ -120,3 +120,49 @@ def test_intraday_bars_with_day_chunks(spark):
     got = build_features(bars, SMALL, chunk=F.to_date("date")).toPandas()
     want = brute.features(bars.toPandas())
     frames_equal(got, want, COLS)
+
+
+@pytest.mark.parametrize("column", ["close", "high", "low", "volume"])
+def test_missing_values_in_a_series(spark, column):
+    rng = np.random.default_rng(31)
+    s = random_series(rng, 300)
+    for at in (3, 40, 41, 150, 255, 256):
+        s[column][at] = np.nan
+    if column == "high":
+        s["low"][40] = np.nan
+    got, want = run(spark, {"G": s, "H": random_series(rng, 60)})
+    frames_equal(got, want, COLS)
+    g = got[got.symbol == "G"].sort_values("date").reset_index(drop=True)
+    ewm = pd.Series(s["close"]).ewm(span=9, adjust=False, ignore_na=True, min_periods=9).mean().round(2)
+    assert np.allclose(g.ema_9, ewm, atol=1e-9, equal_nan=True)
+    assert np.allclose(g.adv, pd.Series(s["volume"]).rolling(14).mean().round(0), atol=1e-9, equal_nan=True)
+
+
+def test_constant_closes_stay_constant_over_a_gap(spark):
+    c = np.full(60, 100.0)
+    c[30] = np.nan
+    got, _ = run(spark, {"C": {"open": np.full(60, 100.0), "high": np.full(60, 101.0), "low": np.full(60, 99.0),
+                               "close": c, "volume": np.full(60, 5.0)}})
+    g = got.sort_values("date")
+    assert (g.ema_9.dropna() == 100.0).all() and g.ema_9.notna().sum() == 52
+    assert (g.ema_21.dropna() == 100.0).all()
+
+
+def test_only_wanted_stages_are_planned(spark):
+    rng = np.random.default_rng(3)
+    bars = make_bars(spark, {"A": random_series(rng, 300), "B": random_series(rng, 30)})
+    full = build_features(bars, SMALL).toPandas()
+
+    def plan(c):
+        df = build_features(bars, SMALL, columns=["symbol", "date", c])
+        frames_equal(df.toPandas(), full, [c])
+        return df._jdf.queryExecution().optimizedPlan().toString()
+
+    for c in ("pct_open_to_close", "dtr", "range_pct", "trend_strength"):
+        p = plan(c)
+        assert "Window" not in p and "Join" not in p and "Aggregate" not in p
+    for c in ("pct_change", "pct_gap", "adv", "rvol", "sma_50", "sma_200"):
+        p = plan(c)
+        assert "Window" in p and "pow(" not in p.lower()
+    for c in ("rsi", "atr", "tr_comp", "ema_9", "ema_21"):
+        plan(c)

@@ -3,6 +3,7 @@
 import datetime
 import math
 import os
+import re
 
 import duckdb
 import pandas as pd
@@ -52,7 +53,7 @@ def test_features_small_blocks_match_oracle(spark, duck):
 
 
 @pytest.mark.parametrize("key", ["closers_with_rvol", "down_20_in_5", "basket_up_50_in_40", "losers",
-                                 "label_exits", "trade_summary", "position_labels", "session_date"])
+                                 "label_exits", "trade_summary", "position_labels", "session_date", "features_with_gaps"])
 def test_registered_queries(spark, duck, key):
     got = E.queries()[key](spark, SF).toPandas()
     want = duck.execute(E.oracle_sql()[key]).df()
@@ -61,10 +62,11 @@ def test_registered_queries(spark, duck, key):
 
 
 def test_every_query_has_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    own = {k for k in E.queries() if not re.match(r"op\d+_|pipeline$", k)}
+    assert own <= set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_smoke(spark):
     df = E.entry(spark)
     assert df.columns[:2] == ["symbol", "pct_change_5"]
-    assert df.count() >= 0
+    assert df.count() == 14

@@ -61,12 +61,14 @@ def test_feature_windows_share_one_shuffle_and_sort(spark, monkeypatch):
     seen = []
     orig = S.materialize
 
-    def spy(df, force=False):
+    def spy(df):
         seen.append(df._jdf.queryExecution().executedPlan().toString())
-        return orig(df, force)
+        return orig(df)
 
+    import marketframe.operators.scan as SC
     monkeypatch.setattr(S, "materialize", spy)
     monkeypatch.setattr(FE, "materialize", spy)
+    monkeypatch.setattr(SC, "materialize", spy)
     build_features(Inputs(spark, SF).stock_bars)
     windowed = next(p for p in seen if "lag(close" in p)
     block_exchanges = re.findall(r"Exchange hashpartitioning\(symbol#\d+, block#\d+L?", windowed)
@@ -76,3 +78,17 @@ def test_feature_windows_share_one_shuffle_and_sort(spark, monkeypatch):
     assert "hashpartitioning(symbol#" in windowed and "Python" not in windowed
     # no exchange on symbol alone feeds the per-bar windows
     assert not re.search(r"Window \[lag.*\n\s*\+- Sort \[symbol#\d+ ASC NULLS FIRST, date", windowed)
+
+
+def test_movers_share_one_scan_per_table(spark, monkeypatch, tmp_path):
+    f = spark.createDataFrame([("a", "2001-01-01")], "symbol string, d string").select(
+        "symbol", F.col("d").cast("date").alias("date"), *[F.lit(1.0).alias(c) for c in dict.fromkeys(
+            R.MOVER_COLUMNS + ["open", "high", "low", "dtr", "ema_21", "sma_50", "sma_200", "range_pct", "trend_strength"])])
+    seen = []
+    orig = R.materialize
+    monkeypatch.setattr(R, "materialize", lambda df: seen.append(df) or orig(df))
+    reps = R.all_reports(f, f, f)
+    assert len(seen) == 2
+    names = [k for k in reps if "_in_" in k]
+    assert len(names) == 8
+    assert all("WindowGroupLimit" not in reps[k]._jdf.queryExecution().optimizedPlan().toString() for k in names)

@@ -33,4 +33,10 @@ def test_breadth_counts_add_up(spark):
     nulls = R.latest_session(f).filter("pct_change is null").count()
     assert a.advances + a.declines + a.no_change + nulls == n
     top = R.top_rvol(f).collect()
-    assert len(top) == 10
+    assert len(top) == 10 and top == sorted(top, key=lambda r: (r.rvol is None, -(r.rvol or 0), r.symbol))
+    from marketframe.schema import ReportParams
+    assert R.top_rvol(f, params=ReportParams(top_n=3)).collect() == top[:3]
+    reps = R.all_reports(f, f, f, ReportParams(top_n=3))
+    assert all(reps[k].count() == 3 for k in ("top_rvol", "top_tr_comp", "gainers", "losers"))
+    rows = R.down_20_in_5(f).collect()
+    assert [r.pct_change_5 for r in rows] == sorted(r.pct_change_5 for r in rows)

@@ -41,3 +41,26 @@ def test_universes(spark):
     df = spark.createDataFrame([("A", 1), ("C", 2), ("D", 3)], "symbol string, v int")
     assert restrict_to_universe(df, ["A", "D"]).count() == 2
     assert restrict_to_universe(df, u.filter("universe = 'Y'")).count() == 1
+
+
+def test_session_date_does_not_depend_on_the_session_zone(spark):
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        for tz in ("UTC", "America/Los_Angeles", "Asia/Tokyo"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            df = spark.range(1).select(F.timestamp_seconds(F.lit(1704175200)).alias("ts"))  # 2024-01-02 06:00 UTC
+            assert session_date(df, "ts", "d").first().d == datetime.date(2024, 1, 2)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_long_symbol_list(spark):
+    df = spark.createDataFrame([("A", 1), ("S7", 2)], "symbol string, v int")
+    assert [r.v for r in restrict_to_universe(df, [f"S{i}" for i in range(5000)]).collect()] == [2]
+
+
+def test_resample_is_hash_aggregated(spark):
+    from marketframe.sources import testdata as td
+    plan = td.bars(spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("HashAggregate") >= 2 and "SortAggregate" not in plan
+    assert plan.count("lineitem.parquet") == 1

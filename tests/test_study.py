@@ -50,7 +50,7 @@ def test_non_overlap(spark):
     # signals on every bar 1..12: first trade (signal bar 2) decides on bar 10,
     # so bars 3..9 are skipped and bar 10 fires again.
     f = feats(spark, 30, set(range(1, 13)))
-    kept = T.non_overlapping_trades(T.label_exits(f, P), P).toPandas().sort_values("signal_bar")
+    kept = T.non_overlapping_trades(T.labelled_signals(f, P), P).toPandas().sort_values("signal_bar")
     assert list(kept.signal_bar) == [2, 10]
     prev_d = 0
     for s, d in zip(kept.signal_bar, kept.decision_bar):
@@ -78,7 +78,7 @@ def test_non_overlap_clusters_match_plain_fold(spark):
         if r.signal_bar >= free:
             want.append(r.signal_bar)
             free = r.decision_bar
-    kept = T.non_overlapping_trades(T.label_exits(f, P), P).toPandas()
+    kept = T.non_overlapping_trades(T.labelled_signals(f, P), P).toPandas()
     assert sorted(kept.signal_bar) == want
 
 
@@ -93,5 +93,21 @@ def test_cluster_flag_path_equals_generic_path(spark):
     fire = {1, 2, 5, 9, 10, 11, 30, 38, 39, 47, 48, 70, 71, 72, 73, 74, 75, 76, 77, 78, 79, 80}
     f = feats(spark, 100, fire)
     a = T.non_overlapping_trades(T._labelled(f, P), P).toPandas()
-    b = T.non_overlapping_trades(T.label_exits(f, P), P).toPandas()
+    b = T.non_overlapping_trades(T.labelled_signals(f, P), P).toPandas()
     assert sorted(a.signal_bar) == sorted(b.signal_bar)
+
+
+def test_user_rule_replaces_the_built_in_one(spark):
+    from pyspark.sql import functions as F
+    f = feats(spark, 30, {5, 9})
+    assert [r.signal_bar for r in T.entry_signals(f, P).orderBy("signal_bar").collect()] == [6, 10]
+    mine = F.col("open") == 22.0
+    assert [r.signal_bar for r in T.entry_signals(f, P, mine).collect()] == [13]
+    assert [r.signal_bar for r in T.label_exits(f, P, rule=mine).collect()] == [13]
+    assert T.run(f, P, mine)["trades_ranked"].count() == 1
+
+
+def test_trades_come_best_first(spark):
+    rows = T.trades_ranked(feats(spark, 60, {2, 20, 40}), P).collect()
+    returns = [r.return_pct for r in rows]
+    assert len(rows) == 3 and returns == sorted(returns, reverse=True)

@@ -15,6 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from pyspark.sql import functions as F  # noqa: E402
 
 import marketframe.operators.features as FE  # noqa: E402
+import marketframe.operators.scan as SC  # noqa: E402
 import marketframe.session as S  # noqa: E402
 from marketframe.plans import publish as PB  # noqa: E402
 from marketframe.plans import reports as R  # noqa: E402
@@ -43,16 +44,17 @@ def main():
     captured = []
     orig = S.materialize
 
-    def spy(df, force=False):
+    def spy(df):
         captured.append(df._jdf.queryExecution().executedPlan().toString())
-        return orig(df, force)
+        return orig(df)
 
     S.materialize = spy
     FE.materialize = spy
+    SC.materialize = spy
     inp = Inputs(spark, sf)
     sections = [("resample_bars (ticks -> bars)", inp.stock_bars._jdf.queryExecution().executedPlan().toString())]
     feats = inp.stocks
-    sections.append(("features: windowed pass, written once (numbering + halo shuffles, one sort)", captured[-2]))
+    sections.append(("features: windowed pass, written once (numbering + halo shuffles, one sort)", captured[0]))
     sections.append(("features: carry fold and final per-row pass", feats._jdf.queryExecution().executedPlan().toString()))
     root = tempfile.mkdtemp(prefix="plans-")
     v = PB.publish_features(feats, root, "SP_500", "p")
