@@ -33,7 +33,7 @@ _NAMES = ["range", "block", "n_ids", "doc_ids", "lengths", "coded"]
 
 
 def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = END_ID,
-          block_ids: int = BLOCK_IDS, per_partition: int = 2) -> str:
+          block_ids: int = BLOCK_IDS, per_partition: int = 4) -> str:
     """Tokenize, code and write all documents; returns ``path``."""
     spark = docs.sparkSession
     tokenizer = tokenizer or default_path("word_bpe_49k.json")
