@@ -12,7 +12,8 @@ propagation spreads their labels; what it labels besides becomes added spans.
 
 Weights are fitted by pseudo-likelihood on a bounded sample: ``SAMPLE_DOCS``
 texts that have such tokens (lowest hash of the id), ``SAMPLE_TOKENS`` tokens
-of each, with the base spans as labels.
+of each, with the base spans as labels (none is learned where a pattern ran
+over several tokens and failed).
 
 Edge cases: a null text is empty; a text without matches has no spans; long
 texts are scanned whole, in time linear in their length; repeated rows get the
@@ -38,8 +39,11 @@ LABELS = ("other", *KINDS)
 SAMPLE_DOCS = 2000
 SAMPLE_TOKENS = 200
 SIMILAR = 7
-SURE = 0.9
+SURE = 0.7
 BUCKETS = 1 << 10
+#: Agreement of repeated tokens that the skip weights start from and are drawn
+#: to; few texts of a sample repeat such tokens.
+AGREEMENT = 2.0
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
@@ -93,6 +97,13 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
+def unclear_spans(text: str) -> list[tuple[int, int]]:
+    """Failed matches that run over several tokens: a number and its neighbour
+    taken together.  They say nothing about either, so no label is learned."""
+    out = [m.span() for m in _CARD.finditer(text) if " " in m[0]]
+    return out + [m.span() for m in _PHONE.finditer(text)]
+
+
 @dataclass
 class Nodes:
     """The tokens of a text that the field decides on."""
@@ -172,11 +183,15 @@ def fit(sample: list[Nodes], steps: int = 150, rate: float = 0.5, ridge: float =
     size = len(LABELS)
     offset = np.cumsum([0] + [len(s.label) for s in sample])
     y = np.concatenate([s.label for s in sample])
+    clear = y >= 0
+    y = np.maximum(y, 0)
     x = np.concatenate([s.features for s in sample])
     chain = np.concatenate([s.chain + o for s, o in zip(sample, offset, strict=False)])
     skip = np.concatenate([s.skip + o for s, o in zip(sample, offset, strict=False)])
+    chain, skip = (e[clear[e].all(1)] for e in (chain, skip))
     one = np.eye(size)[y]
-    params = [np.zeros((BUCKETS, size)), np.zeros((size, size)), np.zeros((size, size))]
+    prior = [np.zeros((BUCKETS, size)), np.zeros((size, size)), AGREEMENT * np.eye(size)]
+    params = [q.copy() for q in prior]
     past = [np.full_like(p, 1e-6) for p in params]
     for _ in range(steps):
         unary, c, k = params
@@ -188,8 +203,8 @@ def fit(sample: list[Nodes], steps: int = 150, rate: float = 0.5, ridge: float =
         score -= score.max(1, keepdims=True)
         p = np.exp(score)
         p /= p.sum(1, keepdims=True)
-        d = (p - one) / len(y)
-        g = [ridge * q / len(y) for q in params]
+        d = (p - one) * clear[:, None] / len(y)
+        g = [ridge * (q - q0) / len(y) for q, q0 in zip(params, prior, strict=True)]
         for f in range(x.shape[1]):
             np.add.at(g[0], x[:, f], d)
         np.add.at(g[1], y[chain[:, 0]], d[chain[:, 1]])
@@ -272,6 +287,17 @@ def digest(spans: list[Span]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for k, s, e in sorted(spans))
 
 
+def training_nodes(text: str) -> Nodes | None:
+    """Nodes with label -1 where the base leaves the label open."""
+    n = nodes(text, base_spans(text), SAMPLE_TOKENS)
+    if n is not None:
+        unclear = unclear_spans(text)
+        for i, (s, e) in enumerate(n.spans):
+            if not n.observed[i] and any(a < e and s < b for a, b in unclear):
+                n.label[i] = -1
+    return n
+
+
 def sample(docs: DataFrame, size: int = SAMPLE_DOCS) -> DataFrame:
     """The texts that the weights are fitted on; at most ``size``."""
     with_signs = docs.where(F.col("text").rlike("[0-9@+]"))
@@ -284,7 +310,7 @@ def train(docs: DataFrame, size: int = SAMPLE_DOCS) -> Model | None:
         for b in slices(batches):
             out = []
             for doc_id, t in zip(*(b.column(c).to_pylist() for c in ("doc_id", "text")), strict=True):
-                n = nodes(t or "", base_spans(t or ""), SAMPLE_TOKENS)
+                n = training_nodes(t or "")
                 if n is not None:
                     out.append((doc_id, n.features.reshape(-1).tolist(), n.label.tolist(),
                                 n.chain.reshape(-1).tolist(), n.skip.reshape(-1).tolist()))

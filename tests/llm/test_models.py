@@ -151,22 +151,37 @@ def test_field_matches_enumeration_on_a_tree():
     assert np.abs(pii.marginals(n, model, rounds=200, damping=0.0) - want).max() < 1e-6
 
 
-def test_skip_edges_spread_a_label():
-    """A number without its country code is found far from its full form."""
+def trained():
     rng = random.Random(5)
     sample = []
     for _ in range(200):
         num = f"({rng.randrange(200, 999)}) 555-{rng.randrange(1000, 9999)}"
-        t = f"call +1 {num} now " + "x " * 5 + f"{rng.randrange(10)} of {rng.randrange(99)}"
-        sample.append(pii.nodes(t, pii.base_spans(t)))
-    model = pii.fit(sample)
-    assert model.skip.shape == (5, 5)
-    base, added = pii.find("nothing here but 7 of 12 things", model)
-    assert base == [] and added == []
+        card = "4111111111111111" if rng.random() < 0.5 else "x"
+        t = f"call +1 {num} now " + "x " * 5 + f"{rng.randrange(10)} of {rng.randrange(99)} and {card}, end"
+        sample.append(pii.training_nodes(t))
+    return pii.fit(sample)
+
+
+def test_field_adds_what_a_pattern_swallowed():
+    model = trained()
+    assert pii.find("nothing here but 7 of 12 things", model) == ([], [])
+    text = "call +1 (415) 555-2671 4111111111111111 now. 12 of 40"
+    base, added = pii.find(text, model)
+    assert base == [] and [(pii.KINDS[k], text[s:e]) for k, s, e in added] == [
+        ("phone", "+1 (415) 555-2671"), ("card", "4111111111111111")]
     base, added = pii.find("call +1 (415) 555-2671 now. 12 of 40", model)
     assert [k for k, *_ in base] == [3] and added == []
 
 
+def test_skip_edges_spread_a_label():
+    """A doubtful number far from its full form takes that one's label."""
+    model = trained()
+    n = pii.nodes("card 4111111111111111 here " + "word " * 50 + "4111-1111-1111-1111x again", [(2, 5, 21)])
+    assert n.skip.tolist() == [[0, 1]] and n.observed.tolist() == [True, False]
+    alone = pii.Nodes(n.spans, n.features, n.label, n.observed, n.chain, n.skip[:0])
+    assert pii.marginals(n, model)[1, 3] > pii.marginals(alone, model)[1, 3]
+
+
 def test_pii_odd_rows(odd_docs, no_docs):
     model = pii.train(odd_docs)
     out = pii.detect(odd_docs, model).collect()
