@@ -13,7 +13,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,10 +21,12 @@ from marketframe.operators.sequence import halo_blocks, number_rows
 
 
 def apply_indicator(bars: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame],
-                    out_schema: T.StructType, lookback: int, block_size: int = 4096) -> DataFrame:
+                    out_schema: T.StructType, lookback: int, block_size: int = 4096,
+                    chunk: Column | None = None) -> DataFrame:
     """Run ``fn`` (bars frame in date order -> frame with the columns of
-    ``out_schema``, one row per input row, ``symbol`` and ``date`` included)."""
-    numbered = number_rows(bars, "symbol", "date", F.year("date"))
+    ``out_schema``, one row per input row, ``symbol`` and ``date`` included).
+    ``chunk``: calendar unit of the numbering, a year unless given."""
+    numbered = number_rows(bars, "symbol", "date", F.year("date") if chunk is None else chunk)
     blocked = halo_blocks(numbered, "bar_no", block_size, before=lookback)
     names = [f.name for f in out_schema.fields]
     _ship_by_value()

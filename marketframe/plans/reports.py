@@ -115,13 +115,13 @@ MOVER_COLUMNS = ["close", "rvol", "pct_change", "pct_open_to_close", "ema_9", "a
                  "volume", "adv", "tr_comp", "pct_gap"]
 
 
-def recent_rank(features: DataFrame) -> DataFrame:
+def recent_rank(features: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Row number of each bar counted from the symbol's newest bar.
 
     Computed as (bars of the symbol) - (position from the oldest) + 1 from
-    per-(symbol, year) counts, so no task holds a whole symbol."""
+    per-(symbol, ``chunk``) counts (default: year), so no task holds a whole symbol."""
     numbered = number_rows(features.select("symbol", "date"), "symbol", "date",
-                           F.year("date"), total="_n")
+                           F.year("date") if chunk is None else chunk, total="_n")
     return numbered.select("symbol", "date", (F.col("_n") - F.col("bar_no") + 1).alias("row_num"))
 
 

@@ -48,9 +48,10 @@ def entry_rule(p: StudyParams = P) -> Column:
             & (F.col("open") > F.col("ema_9")))
 
 
-def numbered_window(features: DataFrame, p: StudyParams = P) -> DataFrame:
-    """Study rows with ``bar_no`` = position in the symbol's filtered series."""
-    return number_rows(liquid_window(features, p), "symbol", "date", F.year("date"))
+def numbered_window(features: DataFrame, p: StudyParams = P, chunk: Column | None = None) -> DataFrame:
+    """Study rows with ``bar_no`` = position in the symbol's filtered series;
+    ``chunk`` is the calendar unit of the numbering (default: year)."""
+    return number_rows(liquid_window(features, p), "symbol", "date", F.year("date") if chunk is None else chunk)
 
 
 def entry_signals(features: DataFrame, p: StudyParams = P, rule: Column | None = None) -> DataFrame:
@@ -83,9 +84,12 @@ def labelled_signals(features: DataFrame, p: StudyParams = P, block_size: int =
     blocked = halo_blocks(bars.select("symbol", "date", "bar_no", "open", "low", fire.alias("fire")),
                           "bar_no", block_size, before=span, after=ahead)
     w = Window.partitionBy("symbol", "block").orderBy("bar_no")
-    nxt = F.collect_list(F.struct("bar_no", "date", "open", "low")).over(w.rowsBetween(1, ahead))
-    fired_before = F.max(F.col("fire").cast("int")).over(w.rowsBetween(-span, -1))
-    sig = (blocked.select("*", nxt.alias("f"), fired_before.alias("fired_before"))
+    fired = F.col("fire").cast("int")
+    flagged = blocked.select("*", F.max(fired).over(w.rowsBetween(-span, -1)).alias("fired_before"),
+                             F.max(fired).over(w.rowsBetween(-ahead, 0)).alias("near"))
+    # Only signals and the bars right after them need to be looked at further.
+    nxt = F.collect_list(F.struct("bar_no", "date", "open", "low")).over(w.rangeBetween(1, ahead))
+    sig = (flagged.filter(F.col("near") == 1).select("*", nxt.alias("f"))
            .filter((F.col("halo") == 0) & F.col("fire")))
 
     f = F.col("f")
