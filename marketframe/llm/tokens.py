@@ -15,18 +15,21 @@ from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 
 import numpy as np
 
-MEMO = 250_000
+MEMO = 400_000
+#: Pieces that one call of the library encodes.
+CALL = 512
 LONG_PIECE = 64
 _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: White space other than space and line feed, and the cutting mark itself.
 _OTHER_SPACE = re.compile(f"[\0{_SPACES}]")
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _RUNS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: A full stop or comma that belongs to a longer run of signs.
-_SIGNS = re.compile(r"(?:[^\w\s]|_)[.,][ \n]")
+#: A full stop or comma that belongs to a longer run of signs, or to the space before it.
+_SIGNS = re.compile(r"(?:\W|_)[.,][ \n]")
 #: Letters whose lower case depends on their place, or is longer.
 _CASED = re.compile("[\u03a3\u0130]")
 
@@ -58,6 +61,25 @@ class PieceEncoder:
             marked = marked.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
         return marked.split("\0")
 
+    def _encode_pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each piece with its ids, all from one call of the library, which
+        tells the word that an id belongs to.  Pieces of a space and letters
+        are one word each, so they are given as one text; others word by word."""
+        words = [p for p in pieces if p[:1] == " " and p[1:].isalpha()]
+        e = self.tokenizer.encode("".join(words), add_special_tokens=False)
+        if e.word_ids and e.word_ids[-1] == len(words) - 1:
+            yield from self._by_word(words, e)
+            known = set(words)
+            pieces = [p for p in pieces if p not in known]
+        yield from self._by_word(pieces, self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False))
+
+    def _by_word(self, pieces: list[str], e) -> Iterator[tuple[str, bytes]]:
+        raw = np.array(e.ids, self.dtype).tobytes()
+        count = np.bincount(np.array(e.word_ids, "int64"), minlength=len(pieces))
+        ends = (np.cumsum(count) * np.dtype(self.dtype).itemsize).tolist()
+        for piece, start, end in zip(pieces, [0, *ends], ends, strict=False):
+            yield piece, raw[start:end]
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
         memo = self.memo
@@ -70,8 +92,8 @@ class PieceEncoder:
                 todo.append(piece)
             else:
                 memo[piece] = known
-        for piece, e in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False), strict=True):
-            memo[piece] = np.array(e.ids, self.dtype).tobytes()
+        for at in range(0, len(todo), CALL):
+            memo.update(self._encode_pieces(todo[at:at + CALL]))
         out = [np.frombuffer(b"".join(map(memo.__getitem__, pieces)), self.dtype) for pieces in cut]
         for piece in todo:
             if len(piece) > LONG_PIECE:
