@@ -43,5 +43,73 @@ FROM n JOIN reach r ON r.node = n.doc_id GROUP BY n.doc_id, n.n
 """
 
 
+MIX = r"""
+WITH d AS (
+  SELECT doc_id, source,
+    CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  FROM documents),
+r AS (
+  SELECT *, length(bin(size)) AS cls,
+    (CAST(CAST('0x' || substr(md5('mix-1:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE)
+     + CAST(0.5 AS DOUBLE)) / CAST(4503599627370496 AS DOUBLE) AS u
+  FROM d),
+st AS (SELECT source, cls, CAST(sum(size) AS BIGINT) AS words FROM r GROUP BY source, cls),
+sz AS (
+  SELECT source, CAST(sum(words) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rk
+  FROM st GROUP BY source),
+t1 AS (
+  SELECT *, CAST([5, 2, 1][rk % 3 + 1] AS DOUBLE) AS w, source_size * 3 AS ceiling,
+    CAST(sum(source_size) OVER () AS DOUBLE) AS total FROM sz),
+t2 AS (SELECT *, ceiling / w AS per_weight FROM t1),
+t3 AS (
+  SELECT *,
+    sum(w) OVER () - coalesce(sum(w) OVER earlier, 0) AS w_left,
+    total - CAST(coalesce(sum(ceiling) OVER earlier, 0) AS DOUBLE) AS rest
+  FROM t2 WINDOW earlier AS (ORDER BY per_weight, rk ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+t4 AS (SELECT *, rest / w_left >= per_weight AS capped FROM t3),
+share AS (SELECT arg_min(rest / w_left, (per_weight, rk)) AS share FROM t4 WHERE NOT capped),
+goal AS (
+  SELECT source, source_size, CASE WHEN capped THEN CAST(ceiling AS DOUBLE) ELSE share * w END AS target
+  FROM t4 LEFT JOIN share ON TRUE),
+s1 AS (
+  SELECT st.source, cls, words, target, CAST(cls + 4 AS DOUBLE) AS g
+  FROM st JOIN goal ON st.source IS NOT DISTINCT FROM goal.source),
+s2 AS (
+  SELECT *, target - 3 * CAST(coalesce(sum(words) OVER (longer ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) AS rest,
+    sum(g * words) OVER (longer ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS mass
+  FROM s1 WINDOW longer AS (PARTITION BY source ORDER BY cls DESC)),
+s3 AS (SELECT *, coalesce(rest / NULLIF(mass, 0) * g >= 3, TRUE) AS capped FROM s2),
+scale AS (SELECT source, arg_max(rest / mass, cls) AS scale FROM s3 WHERE NOT capped GROUP BY source),
+s4 AS (
+  SELECT s3.*, CASE WHEN capped THEN CAST(3 AS DOUBLE) ELSE greatest(scale * g, CAST(0 AS DOUBLE)) END AS m
+  FROM s3 LEFT JOIN scale ON s3.source IS NOT DISTINCT FROM scale.source),
+rate AS (
+  SELECT source, cls, CAST(floor(m) AS BIGINT) AS whole, m - floor(m) AS p,
+    target - CAST(sum(CAST(floor(m) AS BIGINT) * words) OVER (PARTITION BY source) AS DOUBLE) AS open
+  FROM s4),
+x AS (
+  SELECT r.*, whole, open, CASE WHEN p > 0 AND open > 0 AND size > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q
+  FROM r JOIN rate ON r.source IS NOT DISTINCT FROM rate.source AND r.cls = rate.cls),
+y AS (SELECT *, q / (1 + q) AS z FROM x),
+c AS (
+  SELECT *, z IS NOT NULL AND CAST(coalesce(sum(size) OVER (PARTITION BY source, z IS NULL ORDER BY z, doc_id
+      ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS DOUBLE) + size / CAST(2 AS DOUBLE) <= open AS more
+  FROM y),
+off AS (
+  SELECT source, CAST(sum(CASE WHEN more THEN size ELSE 0 END) AS DOUBLE) - first(open) AS off_by FROM c GROUP BY source),
+f AS (
+  SELECT c.source, c.z, c.doc_id, abs(off_by), abs(off_by + CASE WHEN more THEN -size ELSE size END) AS after
+  FROM c JOIN off ON c.source IS NOT DISTINCT FROM off.source
+  WHERE z IS NOT NULL AND abs(off_by + CASE WHEN more THEN -size ELSE size END) < abs(off_by)),
+flip AS (SELECT source, arg_min(row(z, doc_id), row(after, z, doc_id)) AS k FROM f GROUP BY source),
+done AS (
+  SELECT c.*, whole + CAST(more <> coalesce(k[1] = c.z AND k[2] IS NOT DISTINCT FROM c.doc_id, FALSE) AS BIGINT) AS copies
+  FROM c LEFT JOIN flip ON c.source IS NOT DISTINCT FROM flip.source)
+SELECT doc_id, size, source_size, target, CAST(size * copies AS BIGINT) AS taken, done.source, copies
+FROM done JOIN goal ON done.source IS NOT DISTINCT FROM goal.source
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op9_superminhash": NEAR_GROUPS, "op10_topk": TOP_K}
+    return {"op2_mixing": MIX, "op9_superminhash": NEAR_GROUPS, "op10_topk": TOP_K}
