@@ -106,13 +106,12 @@ def _carries(summary: DataFrame, specs: list[Recurrence], key: str, block: str)
     state = within.withColumnRenamed("before", "b").join(over.withColumnRenamed("before", "s"), [key, "_super"])
     state = chunks.join(state, [key, block])
 
-    def enter(s: Recurrence) -> Column:
-        def step(name: str, c: Column) -> Column:
-            at = f"{name}.{s.name}"
-            return F.col(f"{at}.l") + F.pow(F.lit(s.rate), F.col(f"{at}.n")) * c
-        return step("before", step("b", F.col(f"s.{s.name}.l"))).alias(s.name)
+    def enter(s: Recurrence) -> str:
+        def step(name: str, c: str) -> str:
+            return f"({name}.{s.name}.l + pow({s.rate!r}D, {name}.{s.name}.n) * {c})"
+        return f"'{s.name}', " + step("before", step("b", f"s.{s.name}.l"))
 
-    return state.select(key, block, "_sub", F.struct(*[enter(s) for s in specs]).alias("_c"))
+    return state.selectExpr(key, block, "_sub", f"named_struct({', '.join(map(enter, specs))}) AS _c")
 
 
 def _compose(runs: DataFrame, specs: list[Recurrence], group: list[str], order: str) -> tuple[DataFrame, DataFrame]:
@@ -120,19 +119,16 @@ def _compose(runs: DataFrame, specs: list[Recurrence], group: list[str], order:
     run (columns of ``group``, ``order``, ``before``), and each group's whole (``x``)."""
     kind = "struct<" + ", ".join(f"`{s.name}`: struct<n: bigint, l: double>" for s in specs) + ">"
     at = dict(runs.dtypes)[order]
-    zero = F.struct(*[F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("l")).alias(s.name) for s in specs])
-    init = F.struct(zero.alias("x"), F.expr(f"cast(array() as array<struct<at: {at}, before: {kind}>>)").alias("out"))
-
-    def step(acc, run):
-        then = F.struct(*[F.struct(
-            (acc["x"][s.name]["n"] + run["x"][s.name]["n"]).alias("n"),
-            (F.pow(F.lit(s.rate), run["x"][s.name]["n"]) * acc["x"][s.name]["l"] + run["x"][s.name]["l"]).alias("l"),
-        ).alias(s.name) for s in specs])
-        entry = F.struct(run["at"].alias("at"), acc["x"].alias("before"))
-        return F.struct(then.alias("x"), F.concat(acc["out"], F.array(entry)).alias("out"))
+    # SQL text: one parse instead of a call to the JVM per operator.
+    zero = ", ".join(f"'{s.name}', named_struct('n', 0L, 'l', 0.0D)" for s in specs)
+    then = ", ".join(f"'{s.name}', named_struct('n', acc.x.{s.name}.n + run.x.{s.name}.n, 'l', "
+                     f"pow({s.rate!r}D, run.x.{s.name}.n) * acc.x.{s.name}.l + run.x.{s.name}.l)" for s in specs)
+    fold = (f"aggregate(runs, named_struct('x', named_struct({zero}), 'out', "
+            f"cast(array() as array<struct<at: {at}, before: {kind}>>)), (acc, run) -> named_struct("
+            f"'x', named_struct({then}), 'out', concat(acc.out, array(named_struct('at', run.at, 'before', acc.x))))) AS f")
 
     listed = runs.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct(F.col(order).alias("at"), "x"))).alias("runs"))
-    folded = listed.select(*group, F.aggregate("runs", init, step).alias("f"))
+    folded = listed.selectExpr(*group, fold)
     before = folded.select(*group, F.explode("f.out").alias("e")).select(
         *group, F.col("e.at").alias(order), F.col("e.before").alias("before"))
     return before, folded.select(*group, F.col("f.x").alias("x"))
