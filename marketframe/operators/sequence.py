@@ -30,6 +30,7 @@ def running_count(df: DataFrame, key: str, order: str, chunk: Column, flag: Colu
     bounds the rows one window partition holds.  Per-(key, chunk) totals are
     a tiny table whose prefix sums are joined back; the running count itself
     runs per (key, chunk).  With ``total`` set, also add the key's total.
+    A row without key or chunk (no date, say) is an error, not left out.
     """
     d = df.withColumn("_chunk", chunk).withColumn("_flag", F.when(flag, 1).otherwise(0).cast("long"))
     counts = d.groupBy(key, "_chunk").agg(F.sum("_flag").alias("_n"))
@@ -40,12 +41,11 @@ def running_count(df: DataFrame, key: str, order: str, chunk: Column, flag: Colu
     offsets = counts.select(*cols)
     in_chunk = (Window.partitionBy(key, "_chunk").orderBy(order)
                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    # Null-safe, so that rows without a key or order value are numbered too.
-    offsets = offsets.select(F.col(key).alias("_key"), F.col("_chunk").alias("_at"),
-                             *[c for c in offsets.columns if c not in (key, "_chunk")])
+    error = F.raise_error(F.lit(f"a row without {key} or {order} has no place in a series"))
+    offset = F.when(F.col("_off").isNull(), error).otherwise(F.col("_off"))
     return (
-        d.join(offsets, F.col(key).eqNullSafe(F.col("_key")) & F.col("_chunk").eqNullSafe(F.col("_at"))).drop("_key", "_at")
-        .withColumn(out, F.col("_off") + F.sum("_flag").over(in_chunk))
+        d.join(offsets, [key, "_chunk"], "left")
+        .withColumn(out, offset + F.sum("_flag").over(in_chunk))
         .drop("_off", "_chunk", "_flag")
     )
 

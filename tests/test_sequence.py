@@ -28,3 +28,16 @@ def test_halo_blocks(spark):
     assert (back.block == (back.i - 1) // 30 + 1).all()
     ahead = out[out.halo == 1]
     assert sorted(ahead.i) == [31, 32, 61, 62, 91, 92]
+
+
+def test_a_row_without_a_place_is_an_error(spark):
+    import pytest
+    from pyspark.errors import PySparkException
+    from pyspark.sql import functions as F
+
+    from marketframe.operators.sequence import number_rows
+    df = spark.createDataFrame([("A", 1), (None, 2), ("A", None)], "k string, i int")
+    for bad in ("k is null", "i is null"):
+        with pytest.raises(PySparkException):
+            number_rows(df.where(f"{bad} or (k = 'A' and i = 1)"), "k", "i", F.floor(F.col("i") / 10)).collect()
+    assert number_rows(df.where("k = 'A' and i = 1"), "k", "i", F.lit(0)).first().bar_no == 1
