@@ -4,8 +4,8 @@ Features are hashed word unigrams, bigrams and skip-grams (one word left out),
 by presence, over the whole text.  FTRL-proximal keeps a learning rate per
 coordinate and L1 zeroes the rest, so the model that is broadcast holds only
 the features that survived.  It is fitted on a bounded sample: at most
-``PER_LABEL`` rows for each label value (lowest hash of the id) outside the
-held-out fold, so both labels weigh the same.
+``PER_LABEL`` rows for each label value (in ``SLICES`` slices by hash of the id,
+the lowest hashes of each) outside the held-out fold, so both labels weigh the same.
 
 Edge cases: null and empty texts have no features and get the score of the
 bias alone; labels that are null are left out; without labels of both values
@@ -29,6 +29,7 @@ from marketframe.llm.common import fold, slices
 
 BITS = 22
 PER_LABEL = 4000
+SLICES = 8
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
 WORD = re.compile(r"\w+")
@@ -122,8 +123,11 @@ def fit(rows: list[np.ndarray], labels: list[int], epochs: int = EPOCHS) -> Mode
 def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = PER_LABEL) -> DataFrame:
     known = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (fold() != 0)).select(
         "doc_id", F.col(label).cast("int").alias("y"), F.xxhash64("doc_id").alias("h"))
-    rank = F.row_number().over(Window.partitionBy("y").orderBy("h", "doc_id"))
-    ids = known.withColumn("r", rank).where(F.col("r") <= per_label).select("doc_id", "y", "h")
+    # Each label in slices of few enough rows that every task keeps only those before the shuffle.
+    each = -(-per_label // SLICES)
+    rank = F.row_number().over(Window.partitionBy("y", "slice").orderBy("h", "doc_id"))
+    ids = (known.withColumn("slice", F.pmod("h", F.lit(SLICES))).withColumn("r", rank)
+           .where(F.col("r") <= each).select("doc_id", "y", "h"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
