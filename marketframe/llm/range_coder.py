@@ -48,12 +48,13 @@ class _Model:
         self.vocabulary = vocabulary
         self.count = np.zeros(vocabulary, "int64")
         # Predicted id * CONFIDENCE + confidence.
-        self.order1, self.order2 = np.zeros(vocabulary, "int64"), np.zeros(1 << TABLE_BITS, "int64")
+        self.order1, self.order2 = np.zeros(vocabulary, "int32"), np.zeros(1 << TABLE_BITS, "int32")
         self.seen = np.zeros(CONFIDENCE * CONFIDENCE * 2, "int64")
         self.hit2, self.hit1 = np.zeros_like(self.seen), np.zeros_like(self.seen)
         self._tables()
 
     def contexts(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        a, b = a.astype("int64", copy=False), b.astype("int64", copy=False)
         return ((a * 0x9E3779B1 ^ b * 0x85EBCA6B) >> 7) & ((1 << TABLE_BITS) - 1)
 
     def look_up(self, a: np.ndarray, ctx2: np.ndarray) -> tuple:
@@ -70,7 +71,7 @@ class _Model:
         freq = 1 + (self.count * free // total if total else 0) * np.ones(self.vocabulary, "int64")
         freq[int(self.count.argmax())] += (1 << SLOT_BITS) - int(freq.sum())
         self.cum = np.concatenate([[0], np.cumsum(freq)]).astype("int64")
-        self.slot = np.repeat(np.arange(self.vocabulary), freq)
+        self.slot = np.repeat(np.arange(self.vocabulary, dtype="int32"), freq)
         shape = (CONFIDENCE, CONFIDENCE, 2)
         seen = self.seen.reshape(shape)
 
@@ -88,25 +89,23 @@ class _Model:
         w1[1:, :, 1] = 0  # both predict the same id: one interval
         self.widths = (w2 << 32 | w1).reshape(-1)
 
-    def learn(self, a: np.ndarray, ctx2: np.ndarray, ids: np.ndarray) -> None:
-        p1, p2, state, w2, w1 = self.look_up(a, ctx2)
-        is2 = (ids == p2) & (w2 > 0)
-        is1 = ~is2 & (ids == p1) & (w1 > 0)
+    def learn(self, a: np.ndarray, ctx2: np.ndarray, ids: np.ndarray, found: tuple | None = None) -> None:
+        p1, p2, state, w2, w1 = found or self.look_up(a, ctx2)
+        right1, right2 = (ids == p1) & (state >> 1 & _CONF_MASK > 0), (ids == p2) & (w2 > 0)
         n = len(self.seen)
         self.seen += np.bincount(state, minlength=n)
-        self.hit2 += np.bincount(state[is2], minlength=n)
-        self.hit1 += np.bincount(state[is1], minlength=n)
+        self.hit2 += np.bincount(state[right2], minlength=n)
+        self.hit1 += np.bincount(state[right1 & ~right2 & (w1 > 0)], minlength=n)
         self.count += np.bincount(ids, minlength=self.vocabulary)
-        for table, ctx in ((self.order1, a), (self.order2, ctx2)):
+        for table, ctx, right in ((self.order1, a, right1), (self.order2, ctx2, right2)):
             pred, conf = table >> _CONF_BITS, table & _CONF_MASK
-            right = (pred[ctx] == ids) & (conf[ctx] > 0)
-            up = np.bincount(ctx[right], minlength=len(conf))
-            down = np.bincount(ctx[~right], minlength=len(conf))
-            np.clip(conf + up - down, 0, CONFIDENCE - 1, out=conf)
-            fresh = ~right & (conf[ctx] == 0)
-            pred[ctx[fresh]] = ids[fresh]  # the last one wins
-            conf[ctx[fresh]] = 1
+            change = np.bincount(ctx, np.where(right, 1.0, -1.0), len(conf)).astype("int32")
+            np.clip(conf + change, 0, CONFIDENCE - 1, out=conf)
             table[:] = pred << _CONF_BITS | conf
+            fresh = np.flatnonzero(~right)
+            at = ctx[fresh]
+            empty = conf[at] == 0
+            table[at[empty]] = ids[fresh[empty]] << _CONF_BITS | 1  # the last one wins
         self._tables()
 
 
@@ -159,7 +158,7 @@ def encode(ids: np.ndarray, vocabulary: int, start_id: int) -> bytes:
         a[first], b[first] = start_id, start_id
         b[first[first + 1 < size] + 1] = start_id
         ctx2 = model.contexts(a, b)
-        p1, p2, _, w2, w1 = model.look_up(a, ctx2)
+        found = p1, p2, _, w2, w1 = model.look_up(a, ctx2)
         rest = (1 << TOTAL_BITS) - w2 - w1
         lo = model.cum[part] * rest >> SLOT_BITS
         begin, width = w2 + w1 + lo, (model.cum[part + 1] * rest >> SLOT_BITS) - lo
@@ -177,7 +176,7 @@ def encode(ids: np.ndarray, vocabulary: int, start_id: int) -> bytes:
             for who, word in _settle(low, rng, k):
                 words[who, done[who]] = word
                 done[who] += 1
-        model.learn(a, ctx2, part)
+        model.learn(a, ctx2, part, found)
     for shift in (32, 16, 0):
         words[np.arange(lanes), done] = ((low >> _U(shift)) & _U(0xFFFF)).astype("<u2")
         done += 1
