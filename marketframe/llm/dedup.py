@@ -212,9 +212,10 @@ def _left_over(buckets: DataFrame, groups: DataFrame, reps: DataFrame, percent:
     outer_blocks = outer.select("key", F.col("block").alias("bo")).distinct()
     has = rows.join(outer_blocks, "key").select("key", "blocks", "doc_id", "grp", "bo", F.col("block").alias("bm"),
                                                 F.lit(1).alias("side"))
-    # Small buckets share a bin; a block of a large one has its own.
-    place = F.when(F.col("blocks") == 1, F.pmod(F.xxhash64("key"), F.lit(bins))).otherwise(
-        F.greatest(F.xxhash64("key", "bo", "bm"), F.lit(bins)))
+    # Small buckets share a bin; a pair of blocks of a large one is a group of its own.
+    small = F.col("blocks") == 1
+    own = [F.when(~small, F.col(c)).alias(f"own_{c}") for c in ("key", "bo", "bm")]
+    place = F.when(small, F.pmod(F.xxhash64("key"), F.lit(bins)))
     members = asks.union(has).withColumn("bin", place).join(reps.select("doc_id", "n_shingles", "bits"), "doc_id")
 
     def compare(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -225,7 +226,7 @@ def _left_over(buckets: DataFrame, groups: DataFrame, reps: DataFrame, percent:
                 out.append(near_pairs(ask, has, percent, best))
         return pd.concat(out)
 
-    pairs = members.groupBy("bin").applyInPandas(compare, "a long, b long, grp long, off long")
+    pairs = members.groupBy("bin", *own).applyInPandas(compare, "a long, b long, grp long, off long")
     if best:
         pairs = pairs.groupBy("a", "grp").agg(F.min(F.struct("off", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     return pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 
 from marketframe.llm import dedup, fingerprints, knn
@@ -60,6 +61,25 @@ def test_groups_equal_brute_force(spark, words, monkeypatch):
     assert len({c for _, c in want.values()}) > 5
 
 
+def test_blocks_of_large_buckets_are_groups_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "BLOCK", 16)
+    monkeypatch.setattr(dedup, "BIN_ROWS", 32)
+    sizes, apply = [], GroupedData.applyInPandas
+
+    def seen(self, func, schema):
+        sizes.append(self.count().agg(F.max("count")).first()[0] or 0)
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInPandas", seen)
+    rng = random.Random(15)
+    rows = list(enumerate(family(rng, 150, 50) + family(rng, 20, 10)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in dedup.groups(df, 2).collect()}
+    assert got == brute_groups(rows, 2)
+    # Two blocks of 16 rows on average, or small buckets of 32 rows with their askers.
+    assert 0 < max(sizes) <= 150
+
+
 def test_groups_odd_rows(odd_docs, no_docs):
     out = dedup.groups(odd_docs, 2).collect()
     assert len(out) == len(doc_rows())
