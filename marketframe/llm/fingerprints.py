@@ -2,8 +2,9 @@
 
 Rolling hashes of all ``GRAM``-character grams; from each window of ``WINDOW``
 consecutive hashes the smallest is kept, the rightmost one on ties, with its
-position.  Two texts that share ``GRAM + WINDOW - 1`` characters share a
-fingerprint entry; shared passages below ``GRAM`` characters never match.
+position.  Two texts that share ``GRAM + WINDOW - 1`` = 19 characters share a
+fingerprint entry, so a text of 28 or more is always like its edited one;
+shared passages below ``GRAM`` characters never match.
 
 The neighbour job (each document with the next one in descending id) moves
 the texts once, range-partitioned by id, and streams each range in order.  A
@@ -19,6 +20,7 @@ columns are ignored.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 from collections.abc import Iterator
 
@@ -29,8 +31,8 @@ from pyspark.sql import functions as F
 
 from marketframe.llm.common import id_key, id_ranges, slices
 
-GRAM = 24
-WINDOW = 128
+GRAM = 12
+WINDOW = 8
 PIECE = 1 << 20
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 _BACK = np.uint64(pow(int(_BASE), -1, 1 << 64))
@@ -91,8 +93,14 @@ def winnow(text: str | None, gram: int = GRAM, window: int = WINDOW) -> np.ndarr
 
 
 def as_text(entries: np.ndarray) -> str:
-    """16 hex digits per entry: hash, then position."""
-    return entries.astype(">u8").tobytes().hex()
+    """Base64 of 5 bytes per entry: hash, then how far its position lies behind
+    the one before (the first: behind -1), at most ``WINDOW``."""
+    packed = np.empty((len(entries), 5), "u1")
+    packed[:, :4] = (entries >> np.uint64(32)).astype(">u4").view("u1").reshape(-1, 4)
+    steps = np.diff((entries & np.uint64(0xFFFFFFFF)).astype("int64"), prepend=-1)
+    assert not len(steps) or steps.max() < 256
+    packed[:, 4] = steps
+    return base64.b64encode(packed.tobytes()).decode()
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> float:

@@ -152,6 +152,25 @@ def test_shared_passages_share_an_entry():
         assert fingerprints.likeness(a, b) > 0
 
 
+def test_short_texts_are_like_their_edited_ones():
+    rng = random.Random(16)
+    letters = lambda n: "".join(rng.choices("abcdefghijklm ", k=n))
+    for n in [*range(28, 231)] * 2:
+        text, following = letters(n), letters(n)
+        e = fingerprints.edited(text, following)
+        assert fingerprints.likeness(fingerprints.winnow(text), fingerprints.winnow(e)) > 0
+
+
+@pytest.mark.parametrize("n", [0, 5, 40, 3000])
+def test_fingerprint_text_holds_hashes_and_positions(n):
+    import base64
+    entries = fingerprints.winnow("".join(random.Random(n).choices("abcd ", k=n)))
+    raw = np.frombuffer(base64.b64decode(fingerprints.as_text(entries)), "u1").reshape(-1, 5)
+    hashes = raw[:, :4].copy().view(">u4").reshape(-1).astype("<u8")
+    positions = np.cumsum(raw[:, 4], dtype="int64") - 1
+    assert (hashes << np.uint64(32) | positions.astype("<u8")).tolist() == entries.tolist()
+
+
 def test_gram_hash_depends_on_the_gram_only():
     codes = np.array([ord(c) for c in "xyzabcdefgabcdefgq"], "<u4")
     h = fingerprints.gram_hashes(codes, 7)
