@@ -37,6 +37,14 @@ PER_LANG = 500
 LANDMARKS = 256
 RIDGE = 1e-2
 PIECE = 1 << 20
+#: Held-out rows per language that the rejection thresholds come from, the
+#: lengths in characters from which each threshold holds, and the quantile of
+#: the scores; a threshold lies midway between it and the least possible score.
+CALIBRATION = 300
+LENGTHS = (0, 12, 24, 48, 96, 192)
+QUANTILE = 0.01
+#: Least share of a text's distinct letters that training texts have.
+KNOWN_LETTERS = 0.5
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B), np.uint32(0xC2B2AE35))
 
 
@@ -79,6 +87,15 @@ class Model:
     langs: list[str]
     weights: np.ndarray  # WIDTH x languages
     bias: np.ndarray
+    known: np.ndarray | None = None  # characters' entries that training rows have
+
+    def known_letters(self, text: str) -> float:
+        """Share of the text's distinct letters that training rows have."""
+        letters = "".join(sorted({c for c in text.lower() if c.isalpha()}))
+        row = np.zeros(WIDTH, "u1")
+        mark(letters, row)
+        own = row[:SPACES[1]] > 0
+        return 1.0 if self.known is None else float((own & self.known).sum() / max(1, own.sum()))
 
     def predict(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         margin = presence(texts) @ self.weights + self.bias
@@ -94,8 +111,9 @@ def fit(bits: list[bytes], langs: list[str], landmarks: int = LANDMARKS, ridge:
     names = sorted(set(langs))
     if not names:
         return None
+    known = np.unpackbits(np.bitwise_or.reduce([np.frombuffer(b, "u1")[:SPACES[1] // 8] for b in bits])) > 0
     if len(names) == 1:
-        return Model(names, np.zeros((WIDTH, 1), "float32"), np.ones(1))
+        return Model(names, np.zeros((WIDTH, 1), "float32"), np.ones(1), known)
 
     def rows(part: list[bytes]) -> np.ndarray:
         packed = np.frombuffer(b"".join(part), "u1").reshape(len(part), -1)
@@ -116,7 +134,7 @@ def fit(bits: list[bytes], langs: list[str], landmarks: int = LANDMARKS, ridge:
     xc, yc = x - x0, y - y0
     beta = np.linalg.solve((xc * w[:, None]).T @ xc + ridge / len(names) * 1e-1 * np.eye(x.shape[1]),
                            (xc * w[:, None]).T @ yc)
-    return Model(names, (z.T @ (root @ beta)).astype("float32"), y0 - x0 @ beta)
+    return Model(names, (z.T @ (root @ beta)).astype("float32"), y0 - x0 @ beta, known)
 
 
 def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
@@ -172,9 +190,46 @@ def identify(docs: DataFrame, model: Model | None, keep: tuple[str, ...] = ("doc
     return x.mapInArrow(score, f"{fields}, lang_pred string, score double")
 
 
-def accepted(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
+def thresholds(docs: DataFrame, model: Model | None) -> np.ndarray:
+    """The least score that is accepted from each of ``LENGTHS`` on, from
+    labelled rows of the held-out fold, cut to such lengths."""
+    least = np.zeros(len(LENGTHS))
+    if model is None:
+        return least
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold() == 0))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
+    ids = (known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("r", rank)
+           .where(F.col("r") <= CALIBRATION).select("doc_id").distinct())
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches):
+            place, cut = [], []
+            for t in b.column("text").to_pylist():
+                for k, n in enumerate(LENGTHS):
+                    # As long as the shortest texts that the threshold holds for.
+                    part = t[:max(n, 4)]
+                    if len(t) >= n and has_letters(part):
+                        place.append(k)
+                        cut.append(part)
+            found = shared.value.predict(cut)[1] if cut else []
+            yield pa.record_batch([pa.array(place, pa.int64()), pa.array(found, pa.float64())], names=["place", "score"])
+
+    rows = known.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("text").mapInArrow(
+        scores, "place long, score double").collect()
+    floor = 1 / len(model.langs)
+    for k in range(len(LENGTHS)):
+        own = [r.score for r in rows if r.place == k]
+        if own:
+            least[k] = min(1.0, floor + (np.quantile(own, QUANTILE) - floor) / 2)
+    return least
+
+
+def accepted(docs: DataFrame, model: Model | None, least: float | np.ndarray, letters: float = 0.0) -> DataFrame:
     """The rows of ``docs`` whose text has letters and, if there is a model, a
-    language with a score of at least ``least``."""
+    language with a score of at least ``least`` (one number, or one for each
+    of ``LENGTHS``) and at least the share ``letters`` of known letters."""
+    limits = np.broadcast_to(least, len(LENGTHS))
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,7 +237,10 @@ def accepted(docs: DataFrame, model: Model | None, least: float) -> DataFrame:
             texts = b.column("text").to_pylist()
             ok = np.array([has_letters(t) for t in texts])
             if shared.value is not None and ok.any():
-                ok[ok] = shared.value.predict([t for t, x in zip(texts, ok, strict=True) if x])[1] >= least
+                real = [t for t, x in zip(texts, ok, strict=True) if x]
+                own = limits[np.searchsorted(LENGTHS, [len(t) for t in real], "right") - 1]
+                likely = shared.value.predict(real)[1] >= own
+                ok[ok] = likely & np.array([not letters or shared.value.known_letters(t) >= letters for t in real])
             yield b.filter(pa.array(ok))
 
     return docs.mapInArrow(keep, docs.schema)

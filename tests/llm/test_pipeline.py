@@ -121,3 +121,24 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
     for name, stage in cp.STAGES:
         docs = stored(stage(spark, docs, ""), name)
     assert docs.count() == 0
+
+
+def test_language_stage_drops_what_is_no_language(spark, sf_dir):
+    rng = random.Random(17)
+
+    def words(letters, count=40):
+        return " ".join("".join(rng.choices(letters, k=rng.randrange(2, 9))) for _ in range(count))
+
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select(*SCHEMA.replace(",", "").split()[::2])
+    first = docs.where("lang is not null and n_chars > 300").orderBy("doc_id").limit(30).collect()
+    short = [" ".join(r.text.split()[:8]) for r in first if " ".join(r.text.split()[:8]).replace(" ", "").replace(".", "").isalpha()]
+    odd = [words([chr(0x430 + i) for i in range(32)]) for _ in range(10)]
+    odd += [words([chr(0x4E00 + i) for i in range(3000)]) for _ in range(10)]
+    odd += [words("abcdefghijklmnopqrstuvwxyz") for _ in range(10)] + [words("0123456789abcdef") for _ in range(10)]
+    rows = [(10**6 + i, t, None, "s", len(t)) for i, t in enumerate(short + odd)]
+    kept = cp.language(spark, docs.union(spark.createDataFrame(rows, SCHEMA).select(*docs.columns)), "")
+    ids = {r.doc_id for r in kept.select("doc_id").collect()}
+    assert len(short) > 5 and {10**6 + i for i in range(len(short))} <= ids
+    assert not {10**6 + i for i in range(len(short), len(rows))} & ids
+    real = docs.where("lang is not null and text rlike '[a-z]'").count()
+    assert sum(i < 10**6 for i in ids) >= 0.97 * real
