@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from marketframe.llm import licenses
+
 TOP_K = """
 WITH p AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(CAST(x AS DOUBLE) * 256)) AS v
@@ -111,5 +113,101 @@ FROM done JOIN goal ON done.source IS NOT DISTINCT FROM goal.source
 """
 
 
+# CRC-32 bit by bit (its reversed polynomial), from a table per byte.
+RESAMPLE = r"""
+WITH bytes AS MATERIALIZED (
+  SELECT list(list_reduce(list_prepend(i, range(8)),
+                          lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS tab
+  FROM (SELECT unnest(range(256)) AS i)),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS MATERIALIZED (SELECT doc_id, unnest(w) AS word FROM d),
+bw AS MATERIALIZED (SELECT unnest(w) AS word FROM b),
+code AS MATERIALIZED (
+  SELECT word, xor(list_reduce(
+      list_prepend(CAST(4294967295 AS BIGINT), list_transform(range(1, length(hex(word)), 2),
+                   lambda i: CAST('0x' || substr(hex(word), i, 2) AS BIGINT))),
+      lambda c, x: xor(c >> 8, tab[xor(c, x) % 256 + 1])), 4294967295) % 10000 AS bucket
+  FROM (SELECT word FROM dw UNION SELECT word FROM bw), bytes),
+src AS (SELECT bucket, count(*) AS s FROM dw JOIN code USING (word) GROUP BY bucket),
+tgt AS (SELECT bucket, count(*) AS t FROM bw JOIN code USING (word) GROUP BY bucket),
+tot AS (SELECT CAST((SELECT count(*) FROM dw) AS DOUBLE) AS big_s, CAST((SELECT count(*) FROM bw) AS DOUBLE) AS big_t),
+gain AS MATERIALIZED (
+  SELECT src.bucket, CAST(floor(1000 * ln(CAST(coalesce(t, 0) + 1 AS DOUBLE) * (big_s + 10000)
+                     / (CAST(s + 1 AS DOUBLE) * (big_t + 10000)))) AS BIGINT) AS g
+  FROM src LEFT JOIN tgt ON src.bucket = tgt.bucket, tot),
+weight AS (
+  SELECT doc_id, count(*) AS n_features, sum(g) AS total
+  FROM dw JOIN code USING (word) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features,
+    coalesce(CAST(total - (total % n_features + n_features) % n_features AS BIGINT) // n_features, 0) AS weight,
+    CAST('0x' || substr(sha256('2024:' || d.doc_id), 1, 8) AS BIGINT) AS h
+  FROM d LEFT JOIN weight ON d.doc_id = weight.doc_id),
+s2 AS (
+  SELECT doc_id, CAST(n_features AS BIGINT) AS n_features, CAST(weight AS BIGINT) AS weight,
+    CAST(weight + CAST(floor(-1000 * ln(-ln((h + CAST(0.5 AS DOUBLE)) / CAST(4294967296 AS DOUBLE)))) AS BIGINT) AS BIGINT) AS score
+  FROM scored),
+r AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place,
+    count(*) OVER (PARTITION BY n_features >= 20) AS able FROM s2)
+SELECT doc_id, n_features, weight, score,
+  CASE WHEN n_features >= 20 AND place <= able * 10 // 100 THEN CAST(place AS BIGINT) END AS rank
+FROM r
+"""
+
+
+def license_sql() -> str:
+    """The same votes, diagonals and spans over a table of one row per word."""
+    rows = ", ".join("({}, '{}', '{}', '{}')".format(i, t.label, t.kind, t.text.replace("'", "''"))
+                     for i, t in enumerate(licenses.TEMPLATES))
+    words = ("regexp_extract_all(translate(coalesce(text, ''), '" + licenses.UPPER + "', '" + licenses.LOWER
+             + r"'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')")
+    more = licenses.NOTICE_WORDS - 1
+    return f"""
+WITH tpl(template, label, kind, text) AS (VALUES {rows}),
+d AS (SELECT doc_id, {words} AS w FROM documents),
+t AS (SELECT template, label, kind, {words} AS w FROM tpl),
+tg AS (
+  SELECT template, label, kind, len(w) AS t_len, i AS t_pos, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c
+  FROM (SELECT *, unnest(range(len(w))) AS i FROM t) WHERE i + CASE kind WHEN 'notice' THEN 3 ELSE 2 END <= len(w)),
+dg AS MATERIALIZED (
+  SELECT doc_id, i AS pos, w[i + 1] AS a, w[i + 2] AS b, w[i + 3] AS c
+  FROM (SELECT *, unnest(range(len(w))) AS i FROM d)),
+diag AS MATERIALIZED (
+  SELECT doc_id, template, label, kind, t_len, pos - t_pos AS diagonal, list(t_pos) AS places
+  FROM dg JOIN tg ON dg.a = tg.a AND dg.b = tg.b AND (kind <> 'notice' OR dg.c = tg.c) GROUP BY ALL),
+numbered AS (
+  SELECT *, sum(new) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS span
+  FROM (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) <= {licenses.SHIFT}
+                       THEN 0 ELSE 1 END AS new FROM diag WHERE kind = 'notice')),
+covered AS (
+  SELECT doc_id, template, label, kind, t_len, span, count(DISTINCT word) AS words
+  FROM (SELECT *, unnest(range(p, p + {more + 1})) AS word FROM (SELECT *, unnest(places) AS p FROM numbered)) GROUP BY ALL),
+hit AS (
+  SELECT doc_id, label, kind, diagonal AS first_word, CAST(1 AS DOUBLE) AS cover
+  FROM diag WHERE kind <> 'notice' AND len(places) = t_len - 1
+  UNION ALL SELECT doc_id, label, kind, NULL, CAST(words AS DOUBLE) / t_len FROM covered
+  WHERE CAST(words AS DOUBLE) / t_len >= CAST({licenses.LEAST_COVER} AS DOUBLE)),
+found AS (
+  SELECT doc_id, count(*) AS spans, count_if(kind = 'base') AS n_base,
+    min(CASE WHEN kind = 'base' THEN first_word END) AS first_word,
+    max(CASE WHEN kind = 'base' THEN first_word END) AS last_word,
+    string_agg(DISTINCT CASE WHEN kind = 'base' THEN label END, ',' ORDER BY CASE WHEN kind = 'base' THEN label END) AS base_labels,
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(cover) AS score
+  FROM hit GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_base, 0) AS BIGINT) AS n_base,
+  CAST(first_word AS BIGINT) AS first_word, CAST(last_word AS BIGINT) AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, CAST(0 AS DOUBLE)) AS score,
+  CAST(coalesce(spans, 0) AS BIGINT) AS spans
+FROM d LEFT JOIN found ON d.doc_id = found.doc_id
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mixing": MIX, "op9_superminhash": NEAR_GROUPS, "op10_topk": TOP_K}
+    return {"op2_mixing": MIX, "op9_superminhash": NEAR_GROUPS, "op10_topk": TOP_K,
+            "op11_resampling": RESAMPLE, "op12_licenses": license_sql()}

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from marketframe.llm import dedup, fingerprints, knn, langid, mixing, packing, pii, sharding, token_output, toxicity
+from marketframe.llm import (dedup, fingerprints, knn, langid, licenses, mixing, packing, pii, resampling, sharding,
+                             token_output, toxicity, whitening)
 from marketframe.llm.common import documents, fold, scratch_path
 
 
@@ -61,6 +62,24 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(table, F.col("vec_id") % 50 == 0)
 
 
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    target = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return resampling.resample(documents(spark, sf_dir), target).select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op12_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    wide = whitening.whitened(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    rows = wide.select("vec_id", "n", F.col("deviation").cast("long").alias("deviation"), "identity_error", "explained",
+                       F.posexplode("whitened").alias("at", "whitened"))
+    return rows.select("vec_id", (F.col("at") + 1).alias("component"), "n", "deviation", "whitened",
+                       F.get("explained", "at").alias("explained"), "identity_error")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_sharding, op2_mixing, op3_pii, op4_langid, op5_toxicity, op6_winnowing, op7_packing,
-                                        op8_range_coder, op9_superminhash, op10_topk)}
+                                        op8_range_coder, op9_superminhash, op10_topk, op11_resampling,
+                                        op12_licenses, op13_whitening)}
