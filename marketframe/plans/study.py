@@ -8,8 +8,9 @@ exits, and the per-symbol outcome.  Here every step is a DataFrame plan:
 * T2 entry predicate as a Column;
 * T3 exits from a bounded look-ahead frame (the next ``max_hold + 2`` bars),
   evaluated in (symbol, block) partitions with look-ahead and look-back halos;
-* T4 one open trade per symbol: an ordered fold over signals (not bars), run
-  per cluster of signals that lie close enough to interact;
+* T4 one open trade per symbol: blocks of bars as maps from the state before
+  them (how many more bars a trade stays open) to the state after them, which
+  compose, so every block is folded alone from its entry state;
 * T5-T7 returns and grouped aggregates.
 
 Fills follow the market-order convention: a signal on bar s enters at the
@@ -24,8 +25,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.functions.numeric import rnd
-from marketframe.operators.sequence import halo_blocks, number_rows, running_count
+from marketframe.operators.finite import entry_states
+from marketframe.operators.sequence import halo_blocks, number_rows
 from marketframe.schema import FEATURE_COLUMNS, StudyParams
+from marketframe.session import materialize
 
 P = StudyParams()
 OPEN_FOREVER = 2 ** 62  # decision bar of a trade that never exits
@@ -70,23 +73,20 @@ def label_exits(features: DataFrame, p: StudyParams = P, block_size: int = 4096,
     Columns: symbol, signal_date, signal_bar, entry_date, entry_px, decision_bar,
     exit_date, exit_px, bars_held, exit_reason (stop / time / open).
     """
-    return labelled_signals(features, p, block_size, rule).drop("cluster_start")
+    return labelled_signals(features, p, block_size, rule)
 
 
 def labelled_signals(features: DataFrame, p: StudyParams = P, block_size: int = 4096,
                      rule: Column | None = None) -> DataFrame:
-    """label_exits plus ``cluster_start``: no signal fired in the ``span``
-    bars before this one (see ``non_overlapping_trades``)."""
+    """label_exits; the input of ``non_overlapping_trades``."""
     ahead = p.max_hold_bars + 2
-    span = p.max_hold_bars + 1
     bars = numbered_window(features, p)
     fire = (entry_rule(p) if rule is None else rule) & (F.col("bar_no") - 1 >= p.warmup_bars)
     blocked = halo_blocks(bars.select("symbol", "date", "bar_no", "open", "low", fire.alias("fire")),
-                          "bar_no", block_size, before=span, after=ahead)
+                          "bar_no", block_size, before=0, after=ahead)
     w = Window.partitionBy("symbol", "block").orderBy("bar_no")
     fired = F.col("fire").cast("int")
-    flagged = blocked.select("*", F.max(fired).over(w.rowsBetween(-span, -1)).alias("fired_before"),
-                             F.max(fired).over(w.rowsBetween(-ahead, 0)).alias("near"))
+    flagged = blocked.select("*", F.max(fired).over(w.rowsBetween(-ahead, 0)).alias("near"))
     # Only signals and the bars right after them need to be looked at further.
     nxt = F.collect_list(F.struct("bar_no", "date", "open", "low")).over(w.rangeBetween(1, ahead))
     sig = (flagged.filter(F.col("near") == 1).select("*", nxt.alias("f"))
@@ -116,41 +116,46 @@ def labelled_signals(features: DataFrame, p: StudyParams = P, block_size: int =
         F.when(filled, exit_bar["open"]).alias("exit_px"),
         F.when(filled, dj + 1).alias("bars_held"),
         reason.alias("exit_reason"),
-        F.coalesce(F.col("fired_before") == 0, F.lit(True)).alias("cluster_start"),
     )
 
 
-def non_overlapping_trades(labelled: DataFrame, p: StudyParams = P) -> DataFrame:
+def non_overlapping_trades(labelled: DataFrame, p: StudyParams = P, block_bars: int = 256) -> DataFrame:
     """T4: keep a signal only when no earlier kept trade is still open at it
     (signal_bar >= decision_bar of the last kept trade); a signal on the last
     bar opens nothing.
 
-    A trade decides at most ``max_hold_bars + 1`` bars after its signal (and
-    only stays open when the data ends sooner), so a signal with no other
-    signal in the ``max_hold_bars + 1`` bars before it is always free.  Such
-    signals (``cluster_start``, from the window that labels them) start
-    independent clusters; the ordered fold runs per cluster, never over a
-    whole symbol.  ``labelled`` comes from ``labelled_signals``.
+    A trade decides at most ``max_hold_bars + 1`` bars after its signal, or
+    never (the data ends), so the state before a bar is one of a few: how many
+    more bars are closed, or closed for good.  Each block of ``block_bars``
+    bars is the map from its entry state to its exit state; composed maps give
+    every block its entry state, and the block's own signals are then walked
+    from there.  A list holds the signals of one block at most.
+    ``labelled`` comes from ``labelled_signals``.
     """
-    cols = [c for c in labelled.columns if c not in ("symbol", "cluster_start")]
-    entered = labelled.filter(F.col("entry_date").isNotNull())
-    chunk = F.floor(F.col("signal_bar") / 4096)
-    flagged, starts = entered, F.col("cluster_start")
-    clustered = running_count(flagged, "symbol", "signal_bar", chunk, starts, out="_cluster")
-    per_cluster = clustered.groupBy("symbol", "_cluster").agg(
-        F.array_sort(F.collect_list(F.struct(*cols))).alias("sigs"))
-    elem_t = entered.select(F.struct(*cols).alias("s")).schema["s"].dataType.simpleString()
-    init = F.struct(F.lit(0).cast("long").alias("free_from"),
-                    F.expr(f"cast(array() as array<{elem_t}>)").alias("kept"))
-
-    def step(acc, s):
-        take = s["signal_bar"] >= acc["free_from"]
-        return F.struct(
-            F.when(take, s["decision_bar"]).otherwise(acc["free_from"]).alias("free_from"),
-            F.when(take, F.concat(acc["kept"], F.array(s))).otherwise(acc["kept"]).alias("kept"))
-
-    kept = per_cluster.select("symbol", F.explode(F.aggregate("sigs", init, step)["kept"]).alias("t"))
-    return kept.select("symbol", *[F.col(f"t.{c}").alias(c) for c in cols])
+    span = p.max_hold_bars + 1
+    if block_bars < span:
+        raise ValueError("a block must be as long as the longest trade")
+    cols = [c for c in labelled.columns if c != "symbol"]
+    # The order key first: signals of a block are walked by bar.
+    cols.sort(key=lambda c: c != "signal_bar")
+    sig = labelled.select(F.struct(*cols).alias("s")).dtypes[0][1]
+    blocks = materialize(
+        labelled.filter(F.col("entry_date").isNotNull())
+        .groupBy("symbol", F.floor((F.col("signal_bar") - 1) / block_bars).alias("block"))
+        .agg(F.array_sort(F.collect_list(F.struct(*cols))).alias("sigs")))
+    # free_from: the first bar at which a signal is taken again.
+    first, size = f"(block * {block_bars} + 1)", span + 2
+    free_from = f"IF({{0}} = {size - 1}, {OPEN_FOREVER}L, {first} + {{0}})"
+    ends = (f"aggregate(sigs, transform(sequence(0, {size - 1}), r -> {free_from.format('r')}), (acc, s) -> "
+            "transform(acc, f -> IF(s.signal_bar >= f, s.decision_bar, f)))")
+    state = f"IF(f = {OPEN_FOREVER}L, {size - 1}, CAST(greatest(0L, f - ({first} + {block_bars})) AS int))"
+    maps = blocks.selectExpr("symbol", "block", f"transform({ends}, f -> {state}) AS map")
+    entered = blocks.join(entry_states(maps, "symbol", "block", size, absorbing=True), ["symbol", "block"])
+    walk = (f"aggregate(sigs, named_struct('f', {free_from.format('state')}, 'kept', CAST(array() AS array<{sig}>)), "
+            "(acc, s) -> IF(s.signal_bar >= acc.f, "
+            "named_struct('f', s.decision_bar, 'kept', concat(acc.kept, array(s))), acc)).kept")
+    kept = entered.selectExpr("symbol", f"explode({walk}) AS t")
+    return kept.select("symbol", *[F.col(f"t.{c}").alias(c) for c in labelled.columns if c != "symbol"])
 
 
 def with_returns(trades: DataFrame, p: StudyParams = P) -> DataFrame:
@@ -203,7 +208,6 @@ def trade_summary_all(features: DataFrame, p: StudyParams = P) -> DataFrame:
 def run(features: DataFrame, p: StudyParams = P, rule: Column | None = None) -> dict[str, DataFrame]:
     """The whole study under ``rule`` (default: ``entry_rule``): trades are written once (a table under the checkpoint
     folder) and the ranked list and both summaries read that table."""
-    from marketframe.session import materialize
     t = materialize(trades(features, p, rule))
     return {
         "trades_ranked": t.orderBy(F.desc("return_pct"), "symbol", "entry_date"),

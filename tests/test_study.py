@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 
 from marketframe.plans import study as T
 from marketframe.schema import FEATURES_SCHEMA, StudyParams
@@ -115,3 +116,20 @@ def test_trades_come_best_first(spark):
     rows = T.trades_ranked(feats(spark, 60, {2, 20, 40}), P).collect()
     returns = [r.return_pct for r in rows]
     assert len(rows) == 3 and returns == sorted(returns, reverse=True)
+
+
+def test_symbol_that_fires_every_bar_is_many_blocks(spark):
+    rng = np.random.default_rng(8)
+    n = 600
+    f = feats(spark, n, set(range(n)), lows=[9.0 if u < 0.3 else 10.0 for u in rng.uniform(size=n)])
+    labelled = T.labelled_signals(f, P)
+    want, free = [], 0
+    for r in sorted(labelled.collect(), key=lambda r: r.signal_bar):
+        if r.entry_date is not None and r.signal_bar >= free:
+            want.append(r.signal_bar)
+            free = r.decision_bar
+    for size in (8, 50, 256):
+        kept = T.non_overlapping_trades(labelled, P, block_bars=size)
+        assert sorted(r.signal_bar for r in kept.select("signal_bar").collect()) == want
+    with pytest.raises(ValueError):
+        T.non_overlapping_trades(labelled, P, block_bars=7)
