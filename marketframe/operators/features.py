@@ -8,6 +8,8 @@ sorted once.  The carry table of the scan is tiny (one row per block).
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,10 +26,39 @@ RECURSIVE = {"atr", "tr_comp", "ema_9", "ema_21", "rsi"}
 MEANS = {"adv", "rvol", "sma_50", "sma_200"}
 
 
-def _mean_of_last(col: str, n: int, w: Window) -> Column:
-    """Mean of the last n rows; null unless all n have a value (pandas rolling)."""
-    frame = w.rowsBetween(-(n - 1), 0)
-    return F.when(F.count(col).over(frame) == n, F.avg(col).over(frame))
+def _sliding_means(d: DataFrame, means: dict[str, tuple[str, int]], w: Window, rows: int) -> DataFrame:
+    """Add ``name`` = mean of the last n rows of ``col`` for every
+    ``name: (col, n)``; null unless all n have a value (pandas rolling).
+
+    The work per row does not depend on n: a window's sum is the difference of
+    two running sums of its partition.  To keep that free of cancellation, a
+    value is split into a multiple of a power of two, coarse enough for the
+    sums of the partition's ``rows`` rows to be exact in a double, and the
+    small rest; only the rests' sums are rounded, by less than the value's own
+    last digit.  Every partition starts with the rows that its first windows need.
+    """
+    cols = sorted({c for c, _ in means.values()})
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    running = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    bits = 52 - math.ceil(math.log2(rows + 1))
+    top = {c: F.max(F.abs(c)).over(whole) for c in cols}
+    d = d.select("*", *[F.when(top[c] > 0, F.pow(F.lit(2.0), F.least(bits - 1 - F.ceil(F.log2(top[c])), F.lit(1000))))
+                        .otherwise(F.lit(1.0)).alias(f"_unit_{c}") for c in cols])
+    d = d.select("*", *[(F.rint(F.col(c) * F.col(f"_unit_{c}")) / F.col(f"_unit_{c}")).alias(f"_coarse_{c}") for c in cols])
+
+    def total(x: Column) -> Column:
+        return F.coalesce(F.sum(x).over(running), F.lit(0.0))
+
+    d = d.select("*", *[a for c in cols for a in (
+        total(F.col(f"_coarse_{c}")).alias(f"_s_{c}"), total(F.col(c) - F.col(f"_coarse_{c}")).alias(f"_r_{c}"),
+        F.count(c).over(running).alias(f"_n_{c}"))])
+
+    def since(name: str, n: int) -> Column:
+        return F.col(name) - F.coalesce(F.lag(name, n).over(w), F.lit(0))
+
+    made = [F.when(since(f"_n_{c}", n) == n, (since(f"_s_{c}", n) + since(f"_r_{c}", n)) / n).alias(name)
+            for name, (c, n) in means.items()]
+    return d.select("*", *made).drop(*[f"{p}{c}" for c in cols for p in ("_unit_", "_coarse_", "_s_", "_r_", "_n_")])
 
 
 def with_sequence_columns(bars: DataFrame, params: FeatureParams, chunk: Column | None = None):
@@ -71,9 +102,11 @@ def build_features(bars: DataFrame, params: FeatureParams = FeatureParams(),
     diff = F.col("close") - prev
     # Pass 2: sliding means, null until the window is full.
     if MEANS & set(want):
-        d = d.select("*", rnd(_mean_of_last("volume", p.adv_window, w), 0).alias("adv"),
-                     _mean_of_last("close", p.sma_fast, w).alias("sma_f"),
-                     _mean_of_last("close", p.sma_slow, w).alias("sma_s"))
+        means = {"adv": ("volume", p.adv_window), "sma_f": ("close", p.sma_fast), "sma_s": ("close", p.sma_slow)}
+        needed = {"adv": "adv", "rvol": "adv", "sma_50": "sma_f", "sma_200": "sma_s"}
+        used = {needed[c] for c in want if c in needed}
+        d = _sliding_means(d, {k: v for k, v in means.items() if k in used}, w, p.block_size + p.lookback)
+        d = d.withColumn("adv", rnd("adv", 0)) if "adv" in used else d
     d = d.filter(F.col("halo") == 0)
     if not RECURSIVE & set(want):
         return _project(d, p, want)

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 import brute
 from helpers import frames_equal, make_bars, random_series
@@ -166,3 +167,37 @@ def test_only_wanted_stages_are_planned(spark):
         assert "Window" in p and "pow(" not in p.lower()
     for c in ("rsi", "atr", "tr_comp", "ema_9", "ema_21"):
         plan(c)
+
+
+def test_sliding_means_are_exact_and_their_work_does_not_grow_with_the_window(spark):
+    """Sums equal the exactly rounded ones, whatever the values' sizes."""
+    import math
+
+    from pyspark.sql import Window
+
+    from marketframe.operators.features import _sliding_means
+    rng = np.random.default_rng(2)
+    n = 700
+    x = rng.uniform(0, 1, n) * 10.0 ** rng.integers(-9, 9, n)
+    x[::31] = np.nan
+    x[300:320] = 0.0
+    rows = [(i, None if np.isnan(v) else float(v)) for i, v in enumerate(x)]
+    w = Window.partitionBy(F.lit(1)).orderBy("i")
+    out = _sliding_means(spark.createDataFrame(rows, "i int, x double"), {"a": ("x", 14), "b": ("x", 200)}, w, n)
+    assert "-199" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = out.orderBy("i").collect()
+    for name, k in (("a", 14), ("b", 200)):
+        for i, r in enumerate(got):
+            part = x[max(0, i - k + 1):i + 1]
+            full = len(part) == k and not np.isnan(part).any()
+            assert (r[name] is not None) == full
+            if full:
+                want = math.fsum(part) / k
+                assert abs(r[name] - want) <= 4e-16 * max(want, np.nanmax(x) * 2.0 ** -30)
+
+
+def test_feature_plan_has_no_sliding_frame(spark):
+    from marketframe.sources import testdata as td
+    bars = td.bars(spark, "/root/testdata/sf0.001")
+    plan = build_features(bars, columns=["symbol", "date", "sma_200", "adv"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "-199" not in plan and "-13" not in plan and "RowFrame, unboundedpreceding" in plan.lower().replace("rowframe", "RowFrame")
