@@ -379,6 +379,7 @@ FROM (SELECT *, date - DATE '1970-01-01' AS d FROM s_bars)"""),
         "true_range": with_(STOCKS[:3], """SELECT symbol, date,
   greatest(high - low, abs(high - pc), abs(low - pc)) AS true_range FROM s_f1"""),
         "custom_indicator": with_(STOCKS, "SELECT symbol, date, sma_50, sma_200 FROM s_feat"),
+        "custom_recursive": with_(STOCKS, "SELECT symbol, date, ema_9, ema_21, rsi FROM s_feat"),
         "publish_roundtrip": with_(STOCKS, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM s_feat"),
         "publish_check": with_(STOCKS, """SELECT count(*) AS rows_computed, count(*) AS rows_written,
   count(DISTINCT (symbol, date)) AS distinct_keys FROM s_feat"""),
