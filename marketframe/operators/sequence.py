@@ -50,6 +50,26 @@ def running_count(df: DataFrame, key: str, order: str, chunk: Column, flag: Colu
     )
 
 
+def prefix(df: DataFrame, key: str, order: str, chunk: Column, values: dict[str, tuple[str, Column]],
+           current: bool = True) -> DataFrame:
+    """Add running aggregates of each key's series in ``order``: for every
+    ``name: (kind, column)`` the ``sum`` or ``max`` of the column over the rows
+    up to this one (without it, unless ``current``); null before any value.
+
+    As in ``running_count``, ``chunk`` bounds a window partition, and the
+    totals per (key, chunk), a small table, give what stands before a chunk."""
+    kinds = {"sum": (F.sum, lambda a, b: F.coalesce(a + b, a, b)), "max": (F.max, lambda a, b: F.greatest(a, b))}
+    d = df.withColumn("_chunk", chunk).withColumns({f"_v_{n}": c for n, (_, c) in values.items()})
+    totals = d.groupBy(key, "_chunk").agg(*[kinds[k][0](f"_v_{n}").alias(f"_t_{n}") for n, (k, _) in values.items()])
+    earlier = Window.partitionBy(key).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = totals.select(key, "_chunk", *[kinds[k][0](f"_t_{n}").over(earlier).alias(f"_b_{n}") for n, (k, _) in values.items()])
+    frame = Window.partitionBy(key, "_chunk").orderBy(order).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow if current else -1)
+    out = d.join(before, [key, "_chunk"]).select(
+        *df.columns, *[kinds[k][1](F.col(f"_b_{n}"), kinds[k][0](f"_v_{n}").over(frame)).alias(n) for n, (k, _) in values.items()])
+    return out
+
+
 def number_rows(df: DataFrame, key: str, order: str, chunk: Column,
                 out: str = "bar_no", total: str | None = None) -> DataFrame:
     """Add ``out`` = position (1-based) of each row within ``key`` by ``order``

@@ -288,9 +288,66 @@ def _summary_sql(sp: StudyParams) -> str:
     ])
 
 
+def _exits_sql(decide: str, signals: str) -> str:
+    """label_exits with a decision bar that a correlated search gives."""
+    return f""", ent2 AS (
+  SELECT s.*, e.date AS entry_date, e.open AS entry_px, e.low AS entry_low, s.signal_bar + 1 AS e_n
+  FROM {signals} s LEFT JOIN win e ON e.symbol = s.symbol AND e.n = s.signal_bar + 1),
+dec2 AS ({decide})
+SELECT t.symbol, t.signal_date, t.signal_bar, t.entry_date, t.entry_px,
+  CAST(coalesce(d.d_n, {OPEN_FOREVER}) AS BIGINT) AS decision_bar, x.date AS exit_date, x.open AS exit_px,
+  CAST(x.n - t.e_n AS INTEGER) AS bars_held, CASE WHEN x.n IS NULL THEN 'open' ELSE 'stop' END AS exit_reason
+FROM ent2 t LEFT JOIN dec2 d ON d.symbol = t.symbol AND d.signal_bar = t.signal_bar
+LEFT JOIN win x ON x.symbol = t.symbol AND x.n = d.d_n + 1"""
+
+
+STOP_SQL = f"""SELECT t.symbol, t.signal_bar, min(b.n) AS d_n FROM ent2 t JOIN win b ON b.symbol = t.symbol
+  WHERE b.n > t.e_n AND b.low < t.entry_low * {D(0.9)} GROUP BY ALL"""
+TRAILING_SQL = f"""SELECT symbol, signal_bar, min(n) AS d_n FROM (
+  SELECT t.symbol, t.signal_bar, b.n, b.low, max(b.high) OVER (PARTITION BY t.symbol, t.signal_bar ORDER BY b.n
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS top
+  FROM ent2 t JOIN win b ON b.symbol = t.symbol AND b.n >= t.e_n) WHERE low < top * {D(1 - 0.3)} GROUP BY ALL"""
+
+
+def _statistics_sql(sp: StudyParams) -> str:
+    return f""", n AS (
+  SELECT symbol, count(*) AS bars, arg_min(close, n) AS first_close, arg_max(close, n) AS last_close FROM win GROUP BY symbol),
+tk AS (SELECT ks.* FROM ks JOIN walk ON ks.symbol = walk.symbol AND ks.k = walk.k WHERE walk.taken),
+pt AS (
+  SELECT symbol, decision_bar + 1 AS bar, exit_px * {D(1 - sp.commission)} / (entry_px * {D(1 + sp.commission)}) - 1 AS r
+  FROM tk WHERE exit_px IS NOT NULL),
+curve AS (
+  SELECT symbol, bar, ln(1 + r) AS g FROM pt UNION ALL SELECT symbol, 1, CAST(0 AS DOUBLE) FROM n),
+grown AS (SELECT *, sum(g) OVER (PARTITION BY symbol ORDER BY bar) AS growth FROM curve),
+peaks AS (SELECT *, max(growth) OVER (PARTITION BY symbol ORDER BY bar) AS top FROM grown),
+ages AS (
+  SELECT *, max(CASE WHEN growth >= top THEN bar END) OVER past AS since, lag(growth < top) OVER (PARTITION BY symbol ORDER BY bar) AS was_below
+  FROM peaks WINDOW past AS (PARTITION BY symbol ORDER BY bar ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+per_curve AS (
+  SELECT symbol, max(top) AS top, max(1 - exp(growth - top)) AS drawdown,
+    max(CASE WHEN growth < top OR was_below THEN bar - since ELSE 0 END) AS longest,
+    arg_max(CASE WHEN growth < top THEN since ELSE -1 END, bar) AS open_since FROM ages GROUP BY symbol),
+per_r AS (
+  SELECT symbol, sum(CASE WHEN r > 0 THEN r END) AS gains, sum(CASE WHEN r < 0 THEN -r END) AS losses,
+    sqrt(count(*)) * avg(r) / NULLIF(stddev_samp(r), 0) AS sqn FROM pt GROUP BY symbol),
+per_trade AS (
+  SELECT tk.symbol, count(*) AS trades, sum(coalesce(bars_held, bars - signal_bar)) AS held, avg(bars_held) AS mean_held,
+    max(bars_held) AS max_bars_held FROM tk JOIN n ON n.symbol = tk.symbol GROUP BY tk.symbol)
+SELECT n.symbol, CAST(coalesce(trades, 0) AS BIGINT) AS trades, {R('CAST(coalesce(held, 0) AS DOUBLE) / bars', 6)} AS exposure,
+  {R('mean_held', 6)} AS avg_bars_held, max_bars_held, {R('gains / NULLIF(losses, 0)', 6)} AS profit_factor, {R('sqn', 6)} AS sqn,
+  {R('last_close / NULLIF(first_close, 0) - 1', 6)} AS buy_and_hold, {R(f'{D(sp.cash)} * exp(top)', 2)} AS peak_value,
+  {R('drawdown', 6)} AS max_drawdown,
+  CAST(greatest(longest, CASE WHEN open_since >= 0 THEN bars - open_since ELSE 0 END) AS BIGINT) AS max_drawdown_bars
+FROM n LEFT JOIN per_trade ON per_trade.symbol = n.symbol LEFT JOIN per_curve ON per_curve.symbol = n.symbol
+LEFT JOIN per_r ON per_r.symbol = n.symbol"""
+
+
 def study_sql(sp: StudyParams = STUDY_PARAMS) -> dict[str, str]:
     base = STOCKS + study_ctes(sp)
     return {
+        "label_exits_custom": with_(base, _exits_sql(STOP_SQL, "sig")),
+        "label_exits_trailing": with_(base, _exits_sql(TRAILING_SQL, "sig_custom")),
+        "trade_statistics": with_(base, _statistics_sql(sp)),
         "liquid_window": with_(base, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM win"),
         "distinct_symbols": with_(base, "SELECT DISTINCT symbol FROM win"),
         "entry_signals": with_(base, "SELECT symbol, signal_date, signal_bar FROM sig"),

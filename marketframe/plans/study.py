@@ -21,12 +21,15 @@ leaves at the open of bar d+1.  A new signal is taken from bar d on.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from marketframe.functions.numeric import rnd
 from marketframe.operators.finite import entry_states
-from marketframe.operators.sequence import halo_blocks, number_rows
+from marketframe.operators.search import next_below
+from marketframe.operators.sequence import halo_blocks, number_rows, prefix
 from marketframe.schema import FEATURE_COLUMNS, StudyParams
 from marketframe.session import materialize
 
@@ -119,6 +122,75 @@ def labelled_signals(features: DataFrame, p: StudyParams = P, block_size: int =
     )
 
 
+@dataclass(frozen=True)
+class ExitRule:
+    """U4: a user's way out.  A trade is decided on the first bar after its
+    entry bar whose ``watched`` price is under the stop, and, with
+    ``max_hold_bars``, on that many bars after entry at the latest.
+
+    The stop is ``level``, a column over the entry bar's features (default:
+    the entry low).  With ``trailing`` it follows the price instead: that
+    fraction under the highest high from the entry bar to the bar before."""
+
+    level: Column | None = None
+    watched: str = "low"
+    trailing: float | None = None
+    max_hold_bars: int | None = None
+
+
+def label_exits_custom(features: DataFrame, exits: ExitRule, p: StudyParams = P, rule: Column | None = None,
+                       block: int = 256, group: int = 256) -> DataFrame:
+    """Every signal of ``rule`` with the exit that ``exits`` gives,
+    however far away; columns as in ``label_exits``.
+
+    The decision bar is a next-smaller-element search over blocks of bars
+    (``operators.search``).  A trailing stop is hit from bar k at the first
+    bar under k's own level, and from the entry at the earliest such bar of
+    any k from the entry on: a running minimum from the series' end."""
+    bars = numbered_window(features, p)
+    fire = (entry_rule(p) if rule is None else rule) & (F.col("bar_no") - 1 >= p.warmup_bars)
+    level = F.col("low") if exits.level is None else exits.level
+    if exits.trailing is not None:
+        level = F.col("high") * (1 - exits.trailing)
+    keep = bars.select("symbol", "date", "bar_no", "open", F.col(exits.watched).alias("watched"), level.alias("level"),
+                       fire.alias("fire"))
+    bars = materialize(keep)
+
+    w = Window.partitionBy("symbol", "block").orderBy("bar_no")
+    nxt = F.lead(F.struct("date", "open", "bar_no", "level")).over(w)
+    placed = halo_blocks(bars, "bar_no", 4096, before=0, after=1).withColumn("e", nxt)
+    signals = placed.filter((F.col("halo") == 0) & F.col("fire")).select(
+        "symbol", F.col("date").alias("signal_date"), F.col("bar_no").alias("signal_bar"), F.col("e.date").alias("entry_date"),
+        F.col("e.open").alias("entry_px"), (F.col("bar_no") + 1).alias("entry_bar"), F.col("e.level").alias("level"))
+    series = bars.select("symbol", "bar_no", "watched")
+    if exits.trailing is None:
+        found = next_below(signals, series, "symbol", "entry_bar", "level", "bar_no", "watched", "stop_bar", block, group)
+    else:
+        every = next_below(bars.select("symbol", "bar_no", "level"), series, "symbol", "bar_no", "level", "bar_no", "watched",
+                           "hit", block, group)
+        back = prefix(materialize(every.withColumn("_back", -F.col("bar_no"))), "symbol", "_back",
+                      F.floor(F.col("_back") / 4096), {"neg": ("max", -F.col("hit"))})
+        first_hit = back.select("symbol", F.col("bar_no").alias("entry_bar"), (-F.col("neg")).alias("stop_bar"))
+        found = signals.join(first_hit, ["symbol", "entry_bar"], "left")
+
+    last = bars.groupBy("symbol").agg(F.max("bar_no").alias("last_bar"))
+    found = found.join(last, "symbol")
+    limit = F.lit(None).cast("long")
+    if exits.max_hold_bars is not None:
+        limit = F.col("entry_bar") + exits.max_hold_bars
+        limit = F.when(limit <= F.col("last_bar"), limit)
+    found = found.withColumn("decided", F.least("stop_bar", limit)).withColumn(
+        "exit_bar", F.coalesce(F.col("decided"), F.col("last_bar")) + 1)
+    out = found.join(bars.select("symbol", F.col("bar_no").alias("exit_bar"), F.col("date").alias("exit_date"),
+                                 F.col("open").alias("exit_px")), ["symbol", "exit_bar"], "left")
+    filled = F.col("decided").isNotNull() & F.col("exit_date").isNotNull()
+    return out.select(
+        "symbol", "signal_date", "signal_bar", "entry_date", "entry_px",
+        F.coalesce("decided", F.lit(OPEN_FOREVER)).alias("decision_bar"), "exit_date", "exit_px",
+        F.when(filled, (F.col("exit_bar") - F.col("entry_bar")).cast("int")).alias("bars_held"),
+        F.when(~filled, "open").when(F.col("decided") == F.col("stop_bar"), "stop").otherwise("time").alias("exit_reason"))
+
+
 def non_overlapping_trades(labelled: DataFrame, p: StudyParams = P, block_bars: int = 256) -> DataFrame:
     """T4: keep a signal only when no earlier kept trade is still open at it
     (signal_bar >= decision_bar of the last kept trade); a signal on the last
@@ -205,6 +277,54 @@ def trade_summary_all(features: DataFrame, p: StudyParams = P) -> DataFrame:
     return trades(features, p).agg(*_summary_aggs(p))
 
 
+def trade_statistics(features: DataFrame, p: StudyParams = P, rule: Column | None = None,
+                     chunk_bars: int = 4096) -> DataFrame:
+    """Per symbol of the study window, the figures of its equity curve
+    and trades: exposure (share of bars with an open trade), mean and longest
+    holding, profit factor, system quality number, return of buying and
+    holding, the curve's peak value, largest drawdown from a peak, and the
+    most bars between a peak and its recovery (or the window's end).
+
+    The curve starts with ``cash`` on bar 1 and has a point at each exit; its
+    growth is a running sum, its peaks running maxima, all in chunks of bars."""
+    kept = materialize(non_overlapping_trades(labelled_signals(features, p, rule=rule), p))
+    bars = numbered_window(features, p).groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("bars"), F.min_by("close", "bar_no").alias("first_close"),
+        F.max_by("close", "bar_no").alias("last_close"))
+    c = p.commission
+    ret = F.col("exit_px") * (1 - c) / (F.col("entry_px") * (1 + c)) - 1
+    points = kept.filter(F.col("exit_px").isNotNull()).select("symbol", (F.col("decision_bar") + 1).alias("bar"), ret.alias("r"))
+    chunk = F.floor(F.col("bar") / chunk_bars)
+    growth = materialize(prefix(points, "symbol", "bar", chunk, {"growth": ("sum", F.log1p("r"))}))
+    tops = materialize(prefix(growth, "symbol", "bar", chunk, {"top": ("max", F.col("growth"))}))
+    peak = F.greatest("top", F.lit(0.0))
+    at_peak = F.col("growth") >= peak
+    curve = prefix(tops, "symbol", "bar", chunk, {"seen": ("max", F.col("bar")), "peak_bar": ("max", F.when(at_peak, F.col("bar")))},
+                   current=False)
+    since = F.coalesce("peak_bar", F.lit(1))  # the start is the first peak
+    below = ~at_peak | (F.coalesce("seen", F.lit(1)) > since)
+    per_curve = curve.groupBy("symbol").agg(
+        F.max("growth").alias("top"), F.max(1 - F.exp(F.col("growth") - peak)).alias("drawdown"),
+        F.max(F.when(below, F.col("bar") - since)).alias("longest"),
+        F.max_by(F.when(~at_peak, since), "bar").alias("open_since"),
+        F.sum(F.when(F.col("r") > 0, F.col("r"))).alias("gains"), F.sum(F.when(F.col("r") < 0, -F.col("r"))).alias("losses"),
+        (F.sqrt(F.count("r")) * F.try_divide(F.avg("r"), F.stddev_samp("r"))).alias("sqn"))
+    held = F.coalesce(F.col("bars_held").cast("long"), F.col("bars") - F.col("signal_bar"))
+    per_trade = kept.join(bars.select("symbol", "bars"), "symbol").groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("trades"), F.sum(held).alias("held"), F.avg("bars_held").alias("mean_held"),
+        F.max("bars_held").alias("max_bars_held"))
+    out = bars.join(per_trade, "symbol", "left").join(per_curve, "symbol", "left")
+    return out.select(
+        "symbol", F.coalesce("trades", F.lit(0).cast("long")).alias("trades"),
+        rnd(F.coalesce("held", F.lit(0)) / F.col("bars"), 6).alias("exposure"),
+        rnd("mean_held", 6).alias("avg_bars_held"), "max_bars_held",
+        rnd(F.try_divide("gains", "losses"), 6).alias("profit_factor"), rnd("sqn", 6).alias("sqn"),
+        rnd(F.try_divide("last_close", "first_close") - 1, 6).alias("buy_and_hold"),
+        rnd(F.lit(p.cash) * F.exp(F.greatest(F.coalesce("top", F.lit(0.0)), F.lit(0.0))), 2).alias("peak_value"),
+        rnd(F.coalesce("drawdown", F.lit(0.0)), 6).alias("max_drawdown"),
+        F.greatest(F.coalesce("longest", F.lit(0).cast("long")), F.col("bars") - F.col("open_since")).alias("max_drawdown_bars"))
+
+
 def run(features: DataFrame, p: StudyParams = P, rule: Column | None = None) -> dict[str, DataFrame]:
     """The whole study under ``rule`` (default: ``entry_rule``): trades are written once (a table under the checkpoint
     folder) and the ranked list and both summaries read that table."""
