@@ -287,15 +287,31 @@ def whitened(table: DataFrame, components: int = COMPONENTS, scale: int = SCALE,
 
     wide = points.mapInArrow(project, f"vec_id {id_type}, deviation string, whitened array<double>")
     wide = stored(wide, "whitened")
-    live = [k for k in range(take) if alive[k]]
-    # covar_pop centres as it goes; the values are centred already.
-    pairs = [(i, j) for i in live for j in live if i <= j]
-    error = None
-    if pairs:
-        w = F.col("whitened")
-        row = wide.agg(*[F.covar_pop(w[i], w[j]).alias(f"c{i}_{j}") for i, j in pairs]).first()
-        error = max(abs(c - (1.0 if i == j else 0.0)) for c, (i, j) in zip(row, pairs))
+    error = _identity_error(wide, alive, n) if any(alive) else None
     return wide.select(
         "vec_id", F.lit(n).cast("long").alias("n"), F.expr("try_cast(deviation AS decimal(38,0))").alias("deviation"),
         "whitened", F.array(*[F.lit(e).cast("double") for e in explained]).alias("explained"),
         F.lit(error).cast("double").alias("identity_error"))
+
+
+def _identity_error(wide: DataFrame, alive: list[bool], n: int) -> float:
+    """Largest entry of the whitened values' covariance less the identity.
+    The values are centred; what rounding left of their means is taken off."""
+    live = np.flatnonzero(alive)
+    take, m = len(alive), len(live)
+
+    def products(batches):
+        total = np.zeros((m + 1, m))
+        for b in _chunks(batches):
+            w = b.column("whitened").flatten().to_numpy(zero_copy_only=False).reshape(-1, take)[:, live]
+            total[:m] += w.T @ w
+            total[m] += w.sum(0)
+        i, j = np.indices(total.shape)
+        yield pa.RecordBatch.from_pydict({"i": pa.array(i.ravel(), pa.int32()), "j": pa.array(j.ravel(), pa.int32()),
+                                          "s": pa.array(total.ravel())})
+
+    total = np.zeros((m + 1, m))
+    for r in wide.select("whitened").mapInArrow(products, "i int, j int, s double").groupBy("i", "j").agg(F.sum("s")).collect():
+        total[r[0], r[1]] = r[2]
+    mean = total[m] / n
+    return float(np.abs(total[:m] / n - np.outer(mean, mean) - np.eye(m)).max())
