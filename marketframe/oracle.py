@@ -438,6 +438,11 @@ FROM (SELECT *, date - DATE '1970-01-01' AS d FROM s_bars)"""),
         "custom_indicator": with_(STOCKS, "SELECT symbol, date, sma_50, sma_200 FROM s_feat"),
         "custom_recursive": with_(STOCKS, "SELECT symbol, date, ema_9, ema_21, rsi FROM s_feat"),
         "publish_roundtrip": with_(STOCKS, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM s_feat"),
+        "publish_current": with_(STOCKS, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM s_feat"),
+        "publish_manifest": with_(STOCKS + ETFS, """SELECT universe, CAST(year(date) AS INTEGER) AS year, count(*) AS rows,
+  count(DISTINCT (symbol, date)) AS keys, min(date) AS first_date, max(date) AS last_date
+FROM (SELECT 'SP_500' AS universe, symbol, date FROM s_feat UNION ALL SELECT 'ETF', symbol, date FROM e_feat) GROUP BY ALL"""),
+        "newest_date": with_(STOCKS, "SELECT max(date) AS date FROM s_feat"),
         "publish_check": with_(STOCKS, """SELECT count(*) AS rows_computed, count(*) AS rows_written,
   count(DISTINCT (symbol, date)) AS distinct_keys FROM s_feat"""),
         "preview": with_(STOCKS, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM s_feat ORDER BY symbol, date LIMIT 10"),

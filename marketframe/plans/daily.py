@@ -4,9 +4,10 @@ Mirrors the daily flow of the reference (reload the feature tables, check the
 load, run the report queries, write the report books) as Spark jobs:
 
 1. each universe's bars are restricted to its members; their features are
-   built, published under a new version and checked;
-2. the newest stock session is read once (a single date) and shared by the
-   latest-session reports, so they prune to one year folder;
+   built, written under a new version, checked, and committed together;
+2. the newest stock session is read from the version's manifest (a single
+   date) and shared by the latest-session reports, so they prune to one year
+   folder;
 3. the sixteen reports run on the published tables and are written as files
    under ``reports/run_date=<yyyy-MM-dd>/book=<stocks|basket|breadth>/report=<id>``;
 4. a manifest (report id, row count) is counted from the written files.
@@ -14,14 +15,12 @@ load, run the report queries, write the report books) as Spark jobs:
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from marketframe.operators.features import build_features
 from marketframe.plans import publish as PB
 from marketframe.plans import reports as R
+from marketframe.plans import versions as V
 from marketframe.schema import FeatureParams, ReportParams
 from marketframe.sources.universe import members, restrict_to_universe
 
@@ -32,17 +31,15 @@ def run_daily(spark: SparkSession, stock_bars: DataFrame, etf_bars: DataFrame, b
               universes: DataFrame, out_root: str, report_params: ReportParams = ReportParams(),
               feature_params: FeatureParams = FeatureParams(), version: str | None = None,
               fmt: str = "parquet") -> dict:
-    version = version or uuid.uuid4().hex[:12]
-    tables, vpath = {}, ""
-    for universe, bars in (("SP_500", stock_bars), ("ETF", etf_bars), ("BASKET", basket_bars)):
-        seen = Observation()
-        features = build_features(restrict_to_universe(bars, members(universes, universe)), feature_params)
-        vpath = PB.publish_features(features, f"{out_root}/features", universe, version, seen)
-        tables[universe] = PB.read_features(spark, vpath, universe)
-        PB.assert_loaded(seen.get["rows"], tables[universe])
-
-    # One value to the driver: the run date, also used as a literal filter.
-    run_date = tables["SP_500"].agg(F.date_format(F.max("date"), "yyyy-MM-dd").alias("d")).first()["d"]
+    root = f"{out_root}/features"
+    version = V.publish(spark, root, {
+        universe: build_features(restrict_to_universe(bars, members(universes, universe)), feature_params)
+        for universe, bars in (("SP_500", stock_bars), ("ETF", etf_bars), ("BASKET", basket_bars))}, version)
+    vpath = f"{root}/version={version}"
+    tables = {universe: PB.read_features(spark, vpath, universe) for universe in ("SP_500", "ETF", "BASKET")}
+
+    # One value to the driver, from the manifest: the run date, also used as a literal filter.
+    run_date = V.newest_date(spark, root, "SP_500", version).first()["date"].isoformat()
     reps = R.all_reports(tables["SP_500"], tables["ETF"], tables["BASKET"], report_params, as_of=run_date)
     paths = {}
     for book, sheets in BOOKS.items():

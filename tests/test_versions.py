@@ -1,0 +1,112 @@
+"""Committed versions: what readers see, what a check finds, what is removed."""
+
+import glob
+import os
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from marketframe.operators.features import build_features
+from marketframe.plans import versions as V
+from marketframe.plans.publish import LoadError, publish_features
+from helpers import make_bars, random_series
+
+
+@pytest.fixture(scope="module")
+def features(spark):
+    rng = np.random.default_rng(1)
+    return build_features(make_bars(spark, {s: random_series(rng, 420) for s in "ABC"})).cache()
+
+
+def rows(df):
+    return sorted(map(tuple, df.drop("year").collect()), key=repr)
+
+
+def test_only_a_commit_shows(spark, features, tmp_path):
+    root = str(tmp_path)
+    with pytest.raises(LookupError):
+        V.current_version(spark, root)
+    first = V.publish(spark, root, {"SP_500": features.where("symbol = 'A'")})
+    # A writer killed before its commit: data without a manifest, then data with one.
+    publish_features(features, root, "SP_500", "half")
+    V.write_version(spark, root, {"SP_500": features}, "uncommitted")
+    assert V.current_version(spark, root) == first
+    assert rows(V.read_current(spark, root, "SP_500")) == rows(features.where("symbol = 'A'"))
+    before = V.read_current(spark, root, "SP_500")
+    second = V.publish(spark, root, {"SP_500": features})
+    assert V.current_version(spark, root) == second and len(V.commits(spark, root)) == 2
+    assert rows(V.read_current(spark, root, "SP_500")) == rows(features)
+    assert rows(before) == rows(features.where("symbol = 'A'"))  # a reader keeps its version
+    V.commit(spark, root, first)  # back to an older one
+    assert V.current_version(spark, root) == first
+
+
+def test_two_writers_get_two_numbers(spark, features, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    V.publish(spark, root, {"X": features}, "a")
+    V.write_version(spark, root, {"X": features}, "b")
+    seen = V.commits(spark, root)
+    calls = []
+
+    def stale(*args):  # the other writer's commit is not seen at first
+        calls.append(1)
+        return {} if len(calls) == 1 else seen
+
+    monkeypatch.setattr(V, "commits", stale)
+    assert V.commit(spark, root, "b") == 2
+    monkeypatch.undo()
+    assert V.commits(spark, root) == {1: "a", 2: "b"}
+
+
+def test_a_changed_value_is_found(spark, features, tmp_path):
+    root = str(tmp_path)
+    version = V.publish(spark, root, {"X": features, "Y": features.where("symbol = 'B'")})
+    V.verify(spark, root)
+    folder = f"{root}/version={version}/universe=X/year=2001"
+    stored = spark.read.parquet(folder).toPandas()
+    stored.loc[7, "volume"] += 1
+    for f in glob.glob(f"{folder}/*.parquet"):
+        os.unlink(f)
+    for f in glob.glob(f"{folder}/.*.crc"):
+        os.unlink(f)
+    stored.to_parquet(f"{folder}/part.parquet", coerce_timestamps="us")
+    with pytest.raises(LoadError, match="X 2001"):
+        V.verify(spark, root)
+    with pytest.raises(LoadError):
+        V.commit(spark, root, version)
+
+
+def test_a_load_that_differs_is_not_committed(spark, features, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    monkeypatch.setattr(V, "publish_features", lambda df, *a: publish_features(df.where("symbol <> 'C'"), *a))
+    with pytest.raises(LoadError):
+        V.publish(spark, root, {"X": features})
+    monkeypatch.undo()
+    with pytest.raises(LoadError, match="key"):
+        V.publish(spark, root, {"X": features.union(features.where("symbol = 'C'"))})
+    assert V.commits(spark, root) == {}
+
+
+def test_newest_date_reads_the_manifest_alone(spark, features, tmp_path):
+    root = str(tmp_path)
+    version = V.publish(spark, root, {"X": features, "Y": features.where("date < '2001-06-01'")})
+    newest = V.newest_date(spark, root, "X")
+    assert newest.first().date == features.agg(F.max("date")).first()[0]
+    assert V.newest_date(spark, root, "Y").first().date.isoformat() == "2001-05-31"
+    assert all("/manifests/" in f for f in newest.inputFiles()) and version in newest.inputFiles()[0]
+
+
+def test_old_versions_retire(spark, features, tmp_path):
+    root = str(tmp_path)
+    small = features.where("symbol = 'A' and date < '2001-02-01'")
+    for v in ("v1", "v2", "v3", "v4"):
+        V.publish(spark, root, {"X": small}, v)
+    V.write_version(spark, root, {"X": small}, "later")
+    V.commit(spark, root, "v1")
+    assert V.retire(spark, root, keep=2) == ["v3", "v2"]
+    assert sorted(d for d in os.listdir(root) if d.startswith("version=")) == ["version=later", "version=v1", "version=v4"]
+    assert V.current_version(spark, root) == "v1" and set(V.commits(spark, root).values()) == {"v1", "v4"}
+    assert V.read_current(spark, root, "X").count() == small.count()
+    with pytest.raises(ValueError):
+        V.retire(spark, root, keep=0)
