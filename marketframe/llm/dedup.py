@@ -24,13 +24,16 @@ below j + 1 no later step can change it, so the steps stop early.
 Edge cases: null texts and texts without words have an empty set and are
 linked with nothing; fewer words than a shingle are one shingle; rows without
 an id stand alone and are kept; ids are taken as unique, rows that repeat an
-id count as one document; an empty table gives an empty result; other columns
-are ignored.
+id count as one document; ties (equal sets, equally near hubs) go to the
+smaller id; very long texts are hashed ``PIECE`` bytes and laid out ``CHUNK``
+elements at a time; an empty table gives an empty result; other columns are
+ignored.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,19 +50,56 @@ REGISTERS = BANDS * ROWS
 #: Members of a bucket, or rows of small buckets, that one task compares at a time.
 BLOCK = 2048
 BIN_ROWS = 8192
-MEMO = 300_000
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
 
-class _WordHash(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= MEMO:
-            self.clear()
-        h = self[word] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
-        return h
-
-
-_HASH = _WordHash()
+#: Words up to this many bytes are hashed together, longer ones by themselves.
+LONG_WORD = 64
+#: Elements of one set that are laid out at a time, and steps before a table of them is.
+CHUNK = 1 << 16
+SPARSE_STEPS = 12
+#: Sets below this size take many steps, so a task lays out this many of them together.
+SMALL = 160
+TOGETHER = 256
+#: Bytes of a text that are hashed at a time, cut between words.
+PIECE = 1 << 18
+_BLANK = re.compile(rb"[\t-\r ]")
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_CODES = np.frombuffer(hashlib.shake_256(b"bytes").digest(8 * 256), "<u8")
+_PLACES = np.frombuffer(hashlib.shake_256(b"places").digest(8 * LONG_WORD), "<u8") | np.uint64(1)
+
+
+def word_hashes(text: bytes) -> np.ndarray:
+    """64-bit hash of every word, a piece of the text at a time."""
+    out, at = [], 0
+    while at < len(text):
+        gap = _BLANK.search(text, at + PIECE)
+        end = gap.start() if gap else len(text)
+        out.append(_piece_hashes(text[at:end]))
+        at = end
+    return np.concatenate(out) if out else np.zeros(0, "<u8")
+
+
+def _piece_hashes(text: bytes) -> np.ndarray:
+    """The sum of a random number per byte times a random odd number per
+    place; a long word's hash is a digest."""
+    raw = np.frombuffer(text, "u1")
+    inside = np.flatnonzero(~_SPACE[raw])
+    if not len(inside):
+        return np.zeros(0, "<u8")
+    first = np.append(0, np.flatnonzero(np.diff(inside) > 1) + 1)
+    size = np.diff(np.append(first, len(inside)))
+    starts = inside[first]
+    place = inside - np.repeat(starts, size)
+    longest = size.max()
+    if longest > LONG_WORD:
+        np.minimum(place, LONG_WORD - 1, out=place)
+    h = np.add.reduceat(_CODES[raw[inside]] * _PLACES[place], first) + size.astype("<u8")
+    for i in np.flatnonzero(size > LONG_WORD) if longest > LONG_WORD else ():
+        word = text[starts[i]:starts[i] + size[i]]
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+    return h
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -71,42 +111,77 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def shingles(text: str | None, words: int = 5) -> np.ndarray:
     """Sorted 64-bit hashes of the distinct shingles (A-Z lower-cased; words
     end at ASCII white space, as bytes.split() has it)."""
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.zeros(0, "<u8")
-    ids = np.fromiter(map(_HASH.__getitem__, parts), "<u8", len(parts))
+    ids = word_hashes((text or "").encode("utf-8", "surrogatepass").lower())
+    if not len(ids):
+        return ids
     n = min(words, len(ids))
     h = np.full(len(ids) - n + 1, n, "<u8")
     for j in range(n):
         h = h * _GOLD + ids[j:len(ids) - n + 1 + j]
-    return np.unique(_mixed(h))
+    h = np.sort(_mixed(h))
+    return h[np.append(True, h[1:] != h[:-1])]
 
 
 def signatures(sets: list[np.ndarray], m: int = REGISTERS) -> np.ndarray:
     """SuperMinHash registers of each set: step in the high half, random rank
-    in the low half of a 64-bit number.  Empty sets keep all bits set."""
+    in the low half of a 64-bit number.  Empty sets keep all bits set.
+
+    Large sets go chunk by chunk against the registers found so far, so that
+    later chunks stop after few steps and memory stays bounded."""
     best = np.full((len(sets), m), np.uint64(0xFFFFFFFFFFFFFFFF))
-    sizes = [len(s) for s in sets]
-    x = np.concatenate([*sets, np.zeros(0, "<u8")])
-    doc = np.repeat(np.arange(len(sets)), sizes)
-    order = np.empty((len(x), m), "<u2")
-    order[:] = np.arange(m, dtype="<u2")
+    for at in range(0, max(map(len, sets), default=0), CHUNK):
+        part = [s[at:at + CHUNK] for s in sets]
+        _lay_out(np.concatenate(part), np.repeat(np.arange(len(sets)), [len(p) for p in part]), best)
+    return best
+
+
+def _lay_out(x: np.ndarray, doc: np.ndarray, best: np.ndarray) -> None:
+    """Offer the ranks of elements ``x`` of the sets ``doc`` to the registers.
+
+    A permutation starts as the identity and changes by one exchange a step.
+    The exchanges so far (place ``swaps[i]`` now holds ``held[i]``) say what
+    stands at a place; elements that need more than ``SPARSE_STEPS`` steps,
+    those of small sets, get their permutations written out."""
+    m = best.shape[1]
     flat = best.reshape(-1)
+    swaps, held, order = [], [], None
+    alive, going = np.unique(doc), np.zeros(len(best), bool)
     for j in range(m):
-        if not len(x):
-            break
+        if j:
+            alive = alive[best[alive].max(1) >= np.uint64(j << 32)]
+            going[:] = False
+            going[alive] = True
+            active = going[doc]
+            left = np.count_nonzero(active)
+            if not left:
+                return
+            if left < 0.7 * len(x):
+                x, doc = x[active], doc[active]
+                swaps, held = [k[active] for k in swaps], [d[active] for d in held]
+                order = None if order is None else order[active]
         rnd = _mixed(x + np.full(1, j + 1, "<u8") * _GOLD)
-        k = (j + ((rnd >> np.uint64(32)) * np.uint64(m - j) >> np.uint64(32))).astype("intp")
-        each = np.arange(len(x))
-        register = order[each, k]
-        order[each, k] = order[:, j]
-        rank = np.uint64(j << 32) | (rnd & np.uint64(0xFFFFFFFF))
-        np.minimum.at(flat, doc * m + register, rank)
-        going = best.max(1) >= np.uint64((j + 1) << 32)
-        active = going[doc]
-        if np.count_nonzero(active) < 0.7 * len(x):
-            x, doc, order = x[active], doc[active], order[active]
-    return best
+        k = (((rnd >> np.uint64(32)) * np.uint64(m - j) >> np.uint64(32)) + np.uint64(j)).astype("<u2")
+        if j < SPARSE_STEPS:
+            register, here = k.copy(), np.full(len(x), j, "<u2")
+            for at, value in zip(swaps, held, strict=True):
+                np.copyto(register, value, where=at == k)
+                np.copyto(here, value, where=at == j)
+            swaps.append(k)
+            held.append(here)
+        else:
+            each = np.arange(len(x))
+            if order is None:
+                order = np.empty((len(x), m), "<u2")
+                order[:] = np.arange(m, dtype="<u2")
+                for at, value in zip(swaps, held, strict=True):
+                    order[each, at] = value
+                swaps, held = [], []
+            register = order[each, k]
+            order[each, k] = order[:, j]
+        place = doc * m + register
+        # Ranks of an earlier step are lower than any of this one.
+        open_ = np.flatnonzero(flat[place] >= np.uint64(j << 32))
+        np.minimum.at(flat, place[open_], np.uint64(j << 32) | (rnd[open_] & np.uint64(0xFFFFFFFF)))
 
 
 def compact(registers: np.ndarray) -> np.ndarray:
@@ -116,15 +191,28 @@ def compact(registers: np.ndarray) -> np.ndarray:
 
 def signature_table(docs: DataFrame, words: int) -> DataFrame:
     """doc_id, n_shingles, set_key, signature and presence bits of every row."""
+    def rows(ids: list, sets: list[np.ndarray]) -> pa.RecordBatch:
+        sig = compact(signatures(sets))
+        keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
+        return pa.record_batch([pa.array(ids, pa.int64()), pa.array([len(s) for s in sets], pa.int64()),
+                                pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary()),
+                                pa.array([presence(s) for s in sets], pa.binary())],
+                               names=["doc_id", "n_shingles", "set_key", "sig", "bits"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        small: list[tuple] = []
         for b in slices(batches, 32):
-            sets = [shingles(t, words) for t in b.column("text").to_pylist()]
-            sig = compact(signatures(sets))
-            keys = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets]
-            yield pa.record_batch([b.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()),
-                                   pa.array(keys, pa.binary()), pa.array([x.tobytes() for x in sig], pa.binary()),
-                                   pa.array([presence(s) for s in sets], pa.binary())],
-                                  names=["doc_id", "n_shingles", "set_key", "sig", "bits"])
+            large = []
+            for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                found = shingles(text, words)
+                (small if len(found) < SMALL else large).append((doc_id, found))
+            if large:
+                yield rows(*map(list, zip(*large, strict=True)))
+            if len(small) >= TOGETHER:
+                yield rows(*map(list, zip(*small, strict=True)))
+                small = []
+        if small:
+            yield rows(*map(list, zip(*small, strict=True)))
 
     x = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return x.mapInArrow(run, "doc_id long, n_shingles long, set_key binary, sig binary, bits binary")

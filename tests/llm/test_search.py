@@ -242,3 +242,37 @@ def test_top_k_empty(spark):
     assert knn.top_k(df, F.col("vec_id") % 50 == 0).count() == 0
     none = spark.createDataFrame([(1, [0.5, 0.5])], "vec_id long, embedding array<float>")
     assert knn.top_k(none, F.col("vec_id") % 50 == 0).count() == 0
+
+
+def test_word_hashes_tell_words_apart_wherever_they_stand():
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 100, rng.integers(1, 9)).astype("u1")) for _ in range(3000)]
+    words += [b"x" * n for n in (63, 64, 65, 200)] + [b"x" * 64 + b"y", b"\xc3\xa9"]
+    one = {w: int(dedup.word_hashes(w)[0]) for w in words}
+    assert len(set(one.values())) == len(one)
+    text = b"\n\t ".join(words) + b" "
+    assert dedup.word_hashes(text).tolist() == [one[w] for w in words]
+    assert dedup.word_hashes(b" \r\n").tolist() == dedup.word_hashes(b"").tolist() == []
+
+
+def test_pieces_and_chunks_change_nothing(monkeypatch):
+    text = " ".join(f"w{i % 3000} v{i}" for i in range(5000)) + " " + "z" * 700
+    whole = dedup.shingles(text, 3)
+    sets = [whole, whole[:40], whole[:0], whole[:150], whole[100:900]]
+    sig = dedup.signatures(sets)
+    monkeypatch.setattr(dedup, "PIECE", 50)
+    monkeypatch.setattr(dedup, "CHUNK", 64)
+    monkeypatch.setattr(dedup, "SPARSE_STEPS", 2)
+    assert (dedup.shingles(text, 3) == whole).all() and (dedup.signatures(sets) == sig).all()
+
+
+def test_a_million_words_stay_in_bounded_memory():
+    import tracemalloc
+
+    text = " ".join(map(str, range(1_000_000)))
+    tracemalloc.start()
+    found = dedup.shingles(text, 2)
+    dedup.signatures([found])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 999_999 and peak < 100e6
