@@ -119,6 +119,21 @@ def store_map(spark: SparkSession, root: str, version: int, shard_of: list[int],
     return path
 
 
+def newest_version(spark: SparkSession, root: str) -> int | None:
+    """The newest version whose writer finished; None in a folder without one."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    done = hadoop.Path(f"{root}/version=*/_SUCCESS")
+    files = done.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(done)
+    found = [int(f.getPath().getParent().getName().split("=")[1]) for f in files or []]
+    return max(found, default=None)
+
+
+def load_map(spark: SparkSession, root: str, version: int) -> list[int]:
+    """The shard of each virtual slot in one version."""
+    rows = spark.read.schema("vslot int, shard int").parquet(f"{root}/version={version}").collect()
+    return [r.shard for r in sorted(rows)]
+
+
 def first_places(shard_of: list[int], rows: list[int], shards: int) -> list[int]:
     """Rows of the same shard that stand in earlier virtual slots."""
     seen, out = [0] * shards, []
@@ -131,16 +146,26 @@ def first_places(shard_of: list[int], rows: list[int], shards: int) -> list[int]
 def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_root: str | None = None) -> DataFrame:
     """Place each record: shard and gapless place ``slot`` within the shard.
 
-    Version 0 of the map deals slots in turn; version 1 is its edit by bytes.
-    The result reads version 1 (``slots`` rows, hence a broadcast)."""
+    The newest version of the map under ``map_root`` is edited for these
+    documents' bytes and the edit written as the next version; a folder without
+    a map gets version 0, which deals slots in turn, first.  ``shards`` may
+    differ from the old map's; slots of shards that no longer exist are dealt
+    anew, a new shard takes over slots.  The result reads the version it wrote
+    (``slots`` rows, hence a broadcast)."""
     spark = docs.sparkSession
     recs = stored(records(docs, slots), "shard-records")
     size, rows = slot_totals(recs, slots)
     root = map_root or scratch_path(spark, "slot-map")
-    start = [i % shards for i in range(slots)]
-    store_map(spark, root, 0, start, first_places(start, rows, shards))
+    newest = newest_version(spark, root)
+    if newest is None:
+        start, newest = [i % shards for i in range(slots)], 0
+        store_map(spark, root, 0, start, first_places(start, rows, shards))
+    else:
+        start = load_map(spark, root, newest)
+        if len(start) != slots:
+            raise ValueError(f"the map has {len(start)} slots, not {slots}: records can't be hashed anew")
     edited = rebalance(start, size, shards)
-    path = store_map(spark, root, 1, edited, first_places(edited, rows, shards))
+    path = store_map(spark, root, newest + 1, edited, first_places(edited, rows, shards))
     slot_map = F.broadcast(spark.read.schema("vslot int, shard int, first_place long").parquet(path))
     place = F.row_number().over(Window.partitionBy("vslot").orderBy("doc_id", "size", "text_crc32")) - 1
     return (recs.withColumn("place", place).join(slot_map, "vslot")

@@ -48,6 +48,28 @@ def test_map_versions_are_kept(spark, odd_docs, tmp_path):
     assert sorted((r.version, r["count"]) for r in versions) == [(0, 16), (1, 16)]
 
 
+def test_the_newest_map_is_edited_for_new_data(spark, tmp_path):
+    root, rows = str(tmp_path / "map"), [(i, "x" * (i % 50)) for i in range(3000)]
+    assert sharding.newest_version(spark, root) is None
+    place = lambda n, shards: {r.doc_id: r.shard for r in sharding.shard(
+        spark.createDataFrame(rows[:n], "doc_id long, text string"), shards, 256, root).collect()}
+    first = place(2000, 6)
+    again = place(2000, 6)
+    assert again == first  # nothing to mend, so nothing moves
+    grown = place(3000, 6)
+    assert sharding.newest_version(spark, root) == 3
+    assert sum(grown[i] != first[i] for i in first) < 0.2 * len(first)
+    wider = place(3000, 7)
+    assert set(wider.values()) == set(range(7))
+    assert sum(wider[i] != grown[i] for i in grown) < 0.35 * len(grown)  # rehashing would move six in seven
+    fewer = place(3000, 5)
+    assert set(fewer.values()) == set(range(5))
+    (tmp_path / "map" / "version=9").mkdir()  # a writer that was stopped
+    assert sharding.newest_version(spark, root) == 5
+    with pytest.raises(ValueError):
+        sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 6, 128, root)
+
+
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
