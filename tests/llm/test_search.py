@@ -197,6 +197,7 @@ def test_neighbours(spark, parts):
         assert r.n_chars == len(t) and r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
         assert r.fingerprint == fingerprints.as_text(fingerprints.winnow(t))
         assert r.edited_fingerprint == fingerprints.as_text(fingerprints.winnow(e))
+        assert r.near_edited == pytest.approx(fingerprints.likeness(fingerprints.winnow(t), fingerprints.winnow(e)))
         assert r.near_next == pytest.approx(fingerprints.likeness(fingerprints.winnow(t), fingerprints.winnow(n)))
 
 
