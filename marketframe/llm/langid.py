@@ -4,8 +4,9 @@ Kernel: the blended spectrum of character n-grams (n = 1, 2, 3) by presence,
 ``k(x, z) = mean over n of |N_n(x) & N_n(z)| / sqrt(|N_n(x)| |N_n(z)|)``, n-grams
 hashed into fixed spaces.  Training is one-versus-rest kernel ridge regression
 on Nystroem landmarks; both the landmarks and the regression rows come from a
-bounded sample, ``PER_LANG`` rows per language with a known label (lowest hash
-of the id) outside the held-out fold.  Since the kernel is linear in each
+bounded sample, ``PER_LANG`` rows per language (rounded up to whole slices) with
+a known label outside the held-out fold, the lowest hashes of the id of each
+slice.  Since the kernel is linear in each
 normalised presence vector, the landmark sums fold into one matrix per n, and
 whole texts are scored as batched matrix products of presence rows.
 
@@ -34,6 +35,9 @@ UND = "und"
 SPACES = {1: 1 << 10, 2: 1 << 13, 3: 1 << 15}
 WIDTH = sum(SPACES.values())
 PER_LANG = 500
+#: Slices by hash of the id that a language's sample is drawn from, so that no
+#: task ranks a whole language.
+SLICES = 8
 LANDMARKS = 256
 RIDGE = 1e-2
 PIECE = 1 << 20
@@ -137,13 +141,21 @@ def fit(bits: list[bytes], langs: list[str], landmarks: int = LANDMARKS, ridge:
     return Model(names, (z.T @ (root @ beta)).astype("float32"), y0 - x0 @ beta, known)
 
 
+def lowest(known: DataFrame, per_lang: int) -> DataFrame:
+    """doc_id, lang and rank r of the rows with the lowest hashes in each of a
+    language's slices; every task keeps only such rows before the shuffle."""
+    each = -(-per_lang // SLICES)
+    rank = F.row_number().over(Window.partitionBy("lang", "slice").orderBy("h", "doc_id"))
+    return (known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
+            .withColumn("slice", F.pmod("h", F.lit(SLICES))).withColumn("r", rank)
+            .where(F.col("r") <= each).select("doc_id", "lang", "r"))
+
+
 def training_rows(docs: DataFrame, per_lang: int = PER_LANG) -> DataFrame:
     """lang and packed presence row of the bounded sample.  Ids are ranked
     first (per-partition top rows only are shuffled), texts fetched after."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (fold() != 0))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    ids = (known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("r", rank)
-           .where(F.col("r") <= per_lang).select("doc_id", "r").distinct())
+    ids = lowest(known, per_lang).select("doc_id", "r").distinct()
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
@@ -197,9 +209,7 @@ def thresholds(docs: DataFrame, model: Model | None) -> np.ndarray:
     if model is None:
         return least
     known = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (fold() == 0))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id"))
-    ids = (known.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("r", rank)
-           .where(F.col("r") <= CALIBRATION).select("doc_id").distinct())
+    ids = lowest(known, CALIBRATION).select("doc_id").distinct()
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

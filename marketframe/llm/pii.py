@@ -10,13 +10,15 @@ end with the same ``SIMILAR`` digits, share a skip potential with the one
 before, however far away.  Tokens in base spans are observed.  Loopy belief
 propagation spreads their labels; what it labels besides becomes added spans.
 
-Weights are fitted by pseudo-likelihood on a bounded sample: ``SAMPLE_DOCS``
-texts that have such tokens (lowest hash of the id), ``SAMPLE_TOKENS`` tokens
-of each, with the base spans as labels (none is learned where a pattern ran
-over several tokens and failed).
+Weights are fitted by pseudo-likelihood on a bounded sample of whole texts:
+the ``SAMPLE_DOCS`` with such tokens and the lowest hash of the id, in that
+order, as many as fit into ``SAMPLE_BYTES`` (one that does not is passed over),
+with the base spans as labels (none is learned where a pattern ran over several
+tokens and failed).
 
 Edge cases: a null text is empty; a text without matches has no spans; long
-texts are scanned whole, in time linear in their length; repeated rows get the
+texts are scanned whole, in time linear in their length, and inference holds a
+few hundred bytes per token that no pattern decides; repeated rows get the
 same spans; an empty table gives an empty result; other columns are ignored.
 """
 
@@ -37,7 +39,7 @@ from marketframe.llm.common import slices
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("other", *KINDS)
 SAMPLE_DOCS = 2000
-SAMPLE_TOKENS = 200
+SAMPLE_BYTES = 16 << 20
 SIMILAR = 7
 SURE = 0.7
 BUCKETS = 1 << 10
@@ -126,10 +128,10 @@ def _bucket(*parts: object) -> int:
                           "little") % BUCKETS
 
 
-def nodes(text: str, base: list[Span], most: int | None = None) -> Nodes | None:
+def nodes(text: str, base: list[Span]) -> Nodes | None:
     """Tokens, features, observed labels and edges of a text."""
     spans, at = [], 0
-    while (m := _SIGN.search(text, at)) and (most is None or len(spans) < most):
+    while m := _SIGN.search(text, at):
         start = m.start()
         while start > 0 and not _SPACE.match(text, start - 1):
             start -= 1
@@ -166,7 +168,7 @@ def nodes(text: str, base: list[Span], most: int | None = None) -> Nodes | None:
                 skip.append((j, i))
             last.update((k, i) for k in keys)
     pairs = lambda p: np.array(p, "int64").reshape(-1, 2)
-    return Nodes(spans, np.array(features), label, observed, pairs(chain), pairs(skip))
+    return Nodes(spans, np.array(features, "int16"), label, observed, pairs(chain), pairs(skip))
 
 
 @dataclass
@@ -221,38 +223,60 @@ def fit(sample: list[Nodes], steps: int = 150, rate: float = 0.5, ridge: float =
     return Model(*params)
 
 
-def _log_sum(a: np.ndarray, axis: int) -> np.ndarray:
-    top = a.max(axis, keepdims=True)
-    return np.squeeze(top, axis) + np.log(np.exp(a - top).sum(axis))
+#: Edges whose messages are worked out at a time.
+EDGES = 1 << 16
+
+
+def _sums(own: np.ndarray, target: np.ndarray, message: np.ndarray) -> np.ndarray:
+    """``own`` with every message added at its target."""
+    return own + np.stack([np.bincount(target, message[:, k], len(own)) for k in range(own.shape[1])], 1)
 
 
 def marginals(n: Nodes, model: Model, rounds: int = 30, damping: float = 0.5) -> np.ndarray:
-    """Label probabilities of each node by loopy sum-product messages."""
-    own = model.unary[n.features].sum(1)
-    own[n.observed] += np.where(np.eye(len(LABELS))[n.label[n.observed]] > 0, 0.0, -50.0)
-    edges = np.concatenate([n.chain, n.skip])
-    if len(edges):
-        potential = np.concatenate([np.repeat(model.chain[None], len(n.chain), 0),
-                                    np.repeat(model.skip[None], len(n.skip), 0)])
-        source = np.concatenate([edges[:, 0], edges[:, 1]])
-        target = np.concatenate([edges[:, 1], edges[:, 0]])
-        potential = np.concatenate([potential, potential.transpose(0, 2, 1)])
-        back = np.roll(np.arange(len(source)), len(edges))
-        message = np.zeros((len(source), len(LABELS)))
+    """Label probabilities of each node by loopy sum-product messages.
+
+    An observed node sends a constant, so it joins its neighbours' own scores;
+    messages are kept between free nodes only."""
+    size = len(LABELS)
+    free = np.flatnonzero(~n.observed)
+    own = np.concatenate([np.zeros((0, size))] + [model.unary[n.features[free[at:at + EDGES]]].sum(1) for at in range(0, len(free), EDGES)])
+    number = np.full(len(n.observed), -1, "int32")
+    number[free] = np.arange(len(free), dtype="int32")
+    sources, targets, sent = [], [], []
+    for edges, potential in ((n.chain, model.chain), (n.skip, model.skip)):
+        for i, j, table in ((edges[:, 0], edges[:, 1], potential), (edges[:, 1], edges[:, 0], potential.T)):
+            known = n.observed[i] & ~n.observed[j]
+            own = _sums(own, number[j[known]], table[n.label[i[known]]])
+            both = ~n.observed[i] & ~n.observed[j]
+            sources.append(number[i[both]])
+            targets.append(number[j[both]])
+            sent.append(np.exp(table))
+    if sum(map(len, sources)):
+        source, target = np.concatenate(sources), np.concatenate(targets)
+        ends = np.cumsum([0] + [len(x) for x in sources])
+        # Each direction of an edge stands right after or before the other.
+        back = np.concatenate([np.arange(ends[k], ends[k + 1], dtype="int32") for k in (1, 0, 3, 2)])
+        message = np.zeros((len(source), size), "float32")
         for _ in range(rounds):
-            belief = own.copy()
-            np.add.at(belief, target, message)
-            out = _log_sum((belief[source] - message[back])[:, :, None] + potential, 1)
-            out -= _log_sum(out, 1)[:, None]
-            change = np.abs(out - message).max()
-            message = damping * message + (1 - damping) * out
+            belief, change = _sums(own, target, message), 0.0
+            new = np.empty_like(message)
+            for kind, table in enumerate(sent):
+                for at in range(ends[kind], ends[kind + 1], EDGES):
+                    part = slice(at, min(at + EDGES, ends[kind + 1]))
+                    x = belief[source[part]] - message[back[part]]
+                    x -= x.max(1, keepdims=True)
+                    out = np.log(np.maximum(np.exp(x) @ table, 1e-300))
+                    out -= np.log(np.exp(out - out.max(1, keepdims=True)).sum(1, keepdims=True)) + out.max(1, keepdims=True)
+                    change = max(change, float(np.abs(out - message[part]).max()))
+                    new[part] = damping * message[part] + (1 - damping) * out
+            message = new
             if change < 1e-3:
                 break
-        own = own.copy()
-        np.add.at(own, target, message)
+        own = _sums(own, target, message)
     own -= own.max(1, keepdims=True)
-    p = np.exp(own)
-    return p / p.sum(1, keepdims=True)
+    p = np.eye(size)[n.label] * n.observed[:, None]
+    p[free] = np.exp(own) / np.exp(own).sum(1, keepdims=True)
+    return p
 
 
 def find(text: str | None, model: Model | None) -> tuple[list[Span], list[Span]]:
@@ -289,7 +313,7 @@ def digest(spans: list[Span]) -> str:
 
 def training_nodes(text: str) -> Nodes | None:
     """Nodes with label -1 where the base leaves the label open."""
-    n = nodes(text, base_spans(text), SAMPLE_TOKENS)
+    n = nodes(text, base_spans(text))
     if n is not None:
         unclear = unclear_spans(text)
         for i, (s, e) in enumerate(n.spans):
@@ -298,11 +322,20 @@ def training_nodes(text: str) -> Nodes | None:
     return n
 
 
-def sample(docs: DataFrame, size: int = SAMPLE_DOCS) -> DataFrame:
-    """The texts that the weights are fitted on; at most ``size``."""
-    with_signs = docs.where(F.col("text").rlike("[0-9@+]"))
-    ids = with_signs.select("doc_id", F.xxhash64("doc_id").alias("h")).orderBy("h", "doc_id").limit(size)
-    return docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id")), "doc_id", "left_semi")
+def sample(docs: DataFrame, size: int = SAMPLE_DOCS, total: int = SAMPLE_BYTES) -> DataFrame:
+    """The texts that the weights are fitted on; at most ``size`` ids, each with
+    its first text, and ``total`` bytes."""
+    with_signs = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@+]"))
+    row = with_signs.select("doc_id", F.xxhash64("doc_id").alias("h"), F.octet_length("text").alias("bytes"),
+                            F.xxhash64("text").alias("which"))
+    chosen, left = {}, total
+    for r in row.orderBy("h", "doc_id", "which").limit(size).collect():
+        if r.doc_id not in chosen and r.bytes <= left:
+            chosen[r.doc_id] = r.which
+            left -= r.bytes
+    ids = docs.sparkSession.createDataFrame(list(chosen.items()), "doc_id long, which long")  # at most size rows
+    found = with_signs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
+    return found.where(F.xxhash64("text") == F.col("which")).select("doc_id", "text")
 
 
 def train(docs: DataFrame, size: int = SAMPLE_DOCS) -> Model | None:

@@ -5,7 +5,9 @@ by presence, over the whole text.  FTRL-proximal keeps a learning rate per
 coordinate and L1 zeroes the rest, so the model that is broadcast holds only
 the features that survived.  It is fitted on a bounded sample: at most
 ``PER_LABEL`` rows for each label value (in ``SLICES`` slices by hash of the id,
-the lowest hashes of each) outside the held-out fold, so both labels weigh the same.
+the lowest hashes of each) outside the held-out fold, so both labels weigh the same,
+and of these, by hash, as many as fit into ``SAMPLE_BYTES`` of features per label
+(one that does not is passed over).
 
 Edge cases: null and empty texts have no features and get the score of the
 bias alone; labels that are null are left out; without labels of both values
@@ -25,10 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from marketframe.llm.common import fold, slices
+from marketframe.llm.common import fold, slices, stored
 
 BITS = 22
 PER_LABEL = 4000
+SAMPLE_BYTES = 64 << 20
 SLICES = 8
 EPOCHS = 5
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 4.0, 0.1
@@ -139,8 +142,23 @@ def training_rows(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_
     return chosen.mapInArrow(extract, "h long, y int, x binary")
 
 
-def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = PER_LABEL) -> Model | None:
-    sample = sorted((r.h, r.y, bytes(r.x)) for r in training_rows(docs, labels, label, per_label).collect())
+def within(rows: DataFrame, total: int = SAMPLE_BYTES) -> DataFrame:
+    """The rows of a stored sample that a byte budget per label has room for.
+    The driver sees sizes first, at most ``PER_LABEL`` or so for each label."""
+    left, out = {0: total, 1: total}, []
+    sizes = rows.select("h", "y", F.octet_length("x").alias("b"), F.xxhash64("x").alias("which")).distinct()
+    for r in sorted(sizes.collect()):
+        if r.b <= left[r.y]:
+            left[r.y] -= r.b
+            out.append((r.h, r.y, r.which))
+    taken = rows.sparkSession.createDataFrame(out, "h long, y int, which long")
+    return rows.withColumn("which", F.xxhash64("x")).join(F.broadcast(taken), ["h", "y", "which"]).dropDuplicates(["h", "y", "which"])
+
+
+def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_label: int = PER_LABEL,
+          total: int = SAMPLE_BYTES) -> Model | None:
+    rows = within(stored(training_rows(docs, labels, label, per_label), "toxicity-sample"), total)
+    sample = sorted((r.h, r.y, bytes(r.x)) for r in rows.collect())
     return fit([np.frombuffer(s[2], "<u4") for s in sample], [s[1] for s in sample])
 
 

@@ -84,6 +84,78 @@ def test_toxicity_learns_words(spark):
     assert len(model.index) < 3000  # L1 keeps few features
 
 
+def test_ftrl_equals_a_plain_loop():
+    """Coordinate by coordinate, as the update is defined."""
+    rng = random.Random(21)
+    rows = [np.array(sorted(rng.sample(range(40), rng.randrange(1, 9))), "<u4") for _ in range(300)]
+    labels = [int(3 in x or rng.random() < 0.1) for x in rows]
+    model = toxicity.fit(rows, labels, epochs=3)
+    z, n, bias = {}, {}, "bias"
+    weigh = [max(labels.count(0), labels.count(1)) / labels.count(y) for y in (0, 1)]
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= toxicity.L1:
+            return 0.0
+        rate = (toxicity.BETA + n.get(i, 0.0) ** 0.5) / toxicity.ALPHA + toxicity.L2
+        return -(zi - (toxicity.L1 if zi > 0 else -toxicity.L1)) / rate
+
+    for _ in range(3):
+        for x, y in zip(rows, labels, strict=True):
+            w = {i: weight(i) for i in [*x.tolist(), bias]}
+            g = (1 / (1 + np.exp(-sum(w.values()))) - y) * weigh[y]
+            for i, wi in w.items():
+                old = n.get(i, 0.0)
+                n[i] = old + g * g
+                z[i] = z.get(i, 0.0) + g - (n[i] ** 0.5 - old ** 0.5) / toxicity.ALPHA * wi
+    want = {i: weight(i) for i in z if i != bias and weight(i)}
+    assert model.index.tolist() == sorted(want) and 3 in want and len(want) < 40
+    assert model.weight == pytest.approx([want[i] for i in sorted(want)], rel=1e-5)
+    assert model.bias == pytest.approx(weight(bias))
+
+
+def test_toxicity_sample_keeps_to_its_bytes(spark):
+    rows = [(h, y, bytes(4 * (h % 5 + 1))) for h in range(20) for y in (0, 1)] + [(0, 1, bytes(4))]
+    df = spark.createDataFrame(rows, "h long, y int, x binary")
+    got = toxicity.within(df, 40).collect()
+    for y in (0, 1):
+        assert 36 <= sum(len(r.x) for r in got if r.y == y) <= 40
+    assert toxicity.within(df, 10**6).count() == 40
+
+
+def test_ridge_equals_the_normal_equations():
+    """Scores equal those of a weighted ridge regression on kernel values
+    through the landmarks, solved another way."""
+    random.seed(22)
+    texts = ["".join(random.choices(("abcdefgh ", "stuvwxyz ", "ijklmnab ")[i % 3], k=80)) for i in range(45)]
+    langs = [("a", "s", "i")[i % 3] for i in range(45)]
+    bits = []
+    for t in texts:
+        row = np.zeros(langid.WIDTH, "u1")
+        langid.mark(t, row)
+        bits.append(np.packbits(row).tobytes())
+    best, score = langid.fit(bits, langs, landmarks=12).predict(texts)
+    x = langid.presence(texts).astype("float64")
+    k, kz = x @ x[:12].T, x[:12] @ x[:12].T
+    names = sorted(set(langs))
+    y = np.array([[1.0 if g == n else -1.0 for n in names] for g in langs])
+    w = np.array([1 / langs.count(g) for g in langs]) / len(names)
+    # min over a, b: sum w (y - K a - b)^2 + ridge a' Kz a, as one linear system.
+    one = np.column_stack([k, np.ones(len(k))])
+    penalty = np.zeros((13, 13))
+    penalty[:12, :12] = langid.RIDGE / len(names) * 0.1 * kz
+    a = np.linalg.lstsq((one * w[:, None]).T @ one + penalty, (one * w[:, None]).T @ y, rcond=None)[0]
+    margin = one @ a
+    assert (best == margin.argmax(1)).all()
+    assert score == pytest.approx(np.clip((1 + margin.max(1)) / 2, 0, 1), abs=1e-3)
+
+
+def test_language_sample_is_drawn_in_slices(spark):
+    docs = spark.createDataFrame([(i, "en" if i % 4 else "de") for i in range(4000)], "doc_id long, lang string")
+    got = langid.lowest(docs, 100).groupBy("lang").agg(F.count("*").alias("n"), F.max("r").alias("r")).collect()
+    assert {(r.lang, r.n, r.r) for r in got} == {("en", 104, 13), ("de", 104, 13)}
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(i, y) for i, y in [(1, 1), (2, 0), (6, None), (None, 1), (8, 0), (13, 1), (14, 0)]],
                                    "doc_id long, toxic int")
@@ -182,6 +254,39 @@ def test_skip_edges_spread_a_label():
     assert pii.marginals(n, model)[1, 3] > pii.marginals(alone, model)[1, 3]
 
 
+def test_a_number_repeated_far_away_keeps_its_label():
+    model = trained()
+    text = "call +1 (415) 555-2671 now. " + " ".join("so on 14155552671x and" for _ in range(50))
+    n = pii.nodes(text, pii.base_spans(text))
+    p = pii.marginals(n, model)
+    assert len(n.skip) > 40 and p.shape == (len(n.spans), 5) and np.allclose(p.sum(1), 1)
+
+
+def test_training_reads_whole_texts(spark):
+    text = " ".join(f"item {i}" for i in range(300)) + " call +1 (415) 555-2671 now"
+    n = pii.training_nodes(text)
+    assert len(n.spans) == 303 and n.observed[-3:].all()
+    docs = spark.createDataFrame([(i, text) for i in range(20)] + [(50, "x 9 " * 2000), (None, text), (3, "other 5")],
+                                 "doc_id long, text string")
+    got = pii.sample(docs, 30, 5 * len(text)).collect()
+    assert len(got) == 5 and len({r.doc_id for r in got}) == 5 and 50 not in {r.doc_id for r in got}
+    assert len(pii.sample(docs, 30).collect()) == 21
+
+
+def test_long_tables_of_numbers_stay_in_bounded_memory():
+    import tracemalloc
+
+    rng = random.Random(23)
+    text = " ".join(str(rng.randrange(10**6, 10**9)) for _ in range(200_000))
+    model = trained()
+    n = pii.nodes(text, [])
+    tracemalloc.start()
+    p = pii.marginals(n, model)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert p.shape == (200_000, 5) and peak < 150e6
+
+
 def test_pii_odd_rows(odd_docs, no_docs):
     model = pii.train(odd_docs)
     out = pii.detect(odd_docs, model).collect()
