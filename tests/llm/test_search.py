@@ -238,6 +238,49 @@ def test_top_k_equals_brute_force(spark, case):
     assert sorted(map(tuple, got.collect())) == brute_top(rows, 5, lambda q: q % 5 == 0)
 
 
+def test_clustered_vectors_travel_to_few_groups(spark):
+    rng = np.random.default_rng(12)
+    centre = rng.normal(size=(41, 16))
+    norm = rng.uniform(0.5, 2, size=3000)  # unlike norms, so that angles alone decide nothing
+    rows = [(i, (norm[i] * (centre[i % 41] + 0.15 * rng.normal(size=16))).astype("float32").tolist()) for i in range(3000)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+    report = {}
+    got = knn.top_k(df, F.col("vec_id") % 5 == 0, pivots=64, chunk=500, group_queries=30, report=report)
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 5, lambda q: q % 5 == 0)
+    assert report["rows"] == 3000 and report["groups"] >= 15
+    assert report["travelling"] < 0.25 * report["rows"] * report["groups"]
+
+
+def test_a_cell_with_a_third_of_all_rows_is_many_groups(spark, monkeypatch):
+    sizes = []
+    rng = np.random.default_rng(13)
+    rows = [(i, (rng.normal(size=8) if i % 3 else np.full(8, 0.7)).astype("float32").tolist()) for i in range(900)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(3)
+
+    seen = GroupedData.cogroup
+
+    def counted(self, other):
+        sizes.append(other.count().agg(F.max("count")).first()[0] or 0)
+        return seen(self, other)
+
+    monkeypatch.setattr(GroupedData, "cogroup", counted)
+    got = knn.top_k(df, F.col("vec_id") % 50 == 0, pivots=16, chunk=60, group_queries=5)
+    # Blocks are by hash of the id, so none has many more rows than asked for.
+    assert sorted(map(tuple, got.collect())) == brute_top(rows, 5, lambda q: q % 50 == 0)
+    assert 0 < max(sizes) < 120
+
+
+def test_pivots_are_spread():
+    rng = np.random.default_rng(14)
+    centre = np.eye(6)
+    sample = np.concatenate([c + 0.05 * rng.normal(size=(50, 6)) for c in centre] + [np.zeros((5, 6)), [[-1.0] * 6]])
+    rng.shuffle(sample)
+    piv = knn.spread_pivots(sample, 30, 6)
+    assert np.allclose((piv * piv).sum(1), 1) and ((centre @ piv.T).max(1) > 0.95).all()
+    assert not (piv @ -np.ones(6) > 2).any()  # the lone row is no pivot
+    assert len(knn.spread_pivots(np.zeros((4, 6)), 3, 1)) == 1
+
+
 def test_top_k_empty(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert knn.top_k(df, F.col("vec_id") % 50 == 0).count() == 0
