@@ -108,7 +108,8 @@ def mix(docs: DataFrame, weights: tuple = WEIGHTS, cap: int = MAX_COPIES, bucket
     x = _with(rows, per, "source", "class")
     in_draw = (F.col("p") > 0) & (F.col("open") > 0) & (F.col("size") > 0)
     z = F.when(in_draw, pareto_rank(F.col("u"), F.col("p")))
-    x = x.withColumn("z", z).withColumn("bucket", F.least(F.floor(F.col("z") * buckets), F.lit(buckets - 1)))
+    x = x.withColumn("z", z).withColumn(
+        "bucket", F.when(F.col("z").isNotNull(), F.least(F.floor(F.col("z") * buckets), F.lit(buckets - 1))))
     sums = x.where("bucket is not null").groupBy("source", "bucket").agg(
         F.sum("size").alias("words"), F.first("open").alias("open"))
     before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

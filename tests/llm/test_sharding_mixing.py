@@ -70,6 +70,15 @@ def test_the_newest_map_is_edited_for_new_data(spark, tmp_path):
         sharding.shard(spark.createDataFrame(rows, "doc_id long, text string"), 6, 128, root)
 
 
+def test_whole_copies_get_no_more(spark):
+    """A source that meets its target with whole copies has nobody to draw."""
+    one = spark.createDataFrame([(i, "a b c " * 20 if i % 4 else "", "s") for i in range(10)], "doc_id long, text string, source string")
+    assert {r.copies for r in mixing.mix(one).where("size > 0").collect()} == {1}
+    rows = [(i, "a b c", "a") for i in range(4)] + [(10 + i, "w " * 50, "b") for i in range(40)]
+    two = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    assert {r.copies for r in two if r.source == "a"} == {3} and max(r.copies for r in two) == 3
+
+
 def brute_targets(sizes, weights=(5, 2, 1), cap=3):
     names = sorted(sizes, key=lambda s: (s is None, s or ""))
     w = {s: weights[i % 3] for i, s in enumerate(names)}
