@@ -123,6 +123,21 @@ def test_stages_take_odd_and_empty_tables(spark, odd_docs, no_docs):
     assert docs.count() == 0
 
 
+def test_repeated_and_missing_ids_lose_no_text(spark):
+    rng = random.Random(31)
+    text = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(6)]
+    rows = [(1, text[0]), (1, text[1]), (1, text[1]), (2, text[2]), (None, text[2]), (None, text[3]), (None, text[3]),
+            (None, text[4]), (3, text[5]), (-7, None), (4, ""), (5, text[0])]
+    docs = spark.createDataFrame([(i, t, "en", "s", 7) for i, t in rows], SCHEMA).repartition(4)
+    kept = sorted(((r.doc_id is None, r.doc_id or 0, r.text) for r in cp.near_duplicates(spark, docs, "").collect()), key=str)
+    want = [(1, text[0]), (1, text[1]), (2, text[2]), (None, text[3]), (None, text[4]), (3, text[5]), (-7, None), (4, "")]
+    assert kept == sorted(((i is None, i or 0, t) for i, t in want), key=str)
+    keys = [r._key for r in cp.keyed(docs).collect()]
+    assert len(set(keys)) == len(keys) == 10
+    mixed = Counter((r.doc_id, r.text) for r in cp.mixture(spark, docs, "").collect())
+    assert set(mixed) >= {(i, t) for i, t in rows if t} and max(mixed.values()) <= 3
+
+
 def test_language_stage_drops_what_is_no_language(spark, sf_dir):
     rng = random.Random(17)
 
