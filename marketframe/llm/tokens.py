@@ -7,7 +7,8 @@ with the usual split pattern, and word BPE that drops white space) always
 start a new token: before a single space, around a single line feed, and
 between a letter or digit and one last full stop or comma.  Texts with other
 white space are encoded whole.  Where the tokenizer lower-cases, pieces are
-lower-cased first, but for texts with letters whose case depends on context.
+lower-cased first, but for texts with a letter whose case depends on context;
+texts with a letter whose lower case ends with a sign are encoded whole.
 The ids equal those of encoding each text by itself.
 """
 
@@ -30,8 +31,8 @@ _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _RUNS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A full stop or comma that belongs to a longer run of signs, or to the space before it.
 _SIGNS = re.compile(r"(?:\W|_)[.,][ \n]")
-#: Letters whose lower case depends on their place, or is longer.
-_CASED = re.compile("[\u03a3\u0130]")
+#: A letter whose lower case depends on its place, and one whose lower case ends with a sign.
+_SIGMA, _DOTTED = "\u03a3", "\u0130"
 
 
 def default_path(name: str) -> str:
@@ -50,9 +51,9 @@ class PieceEncoder:
         self.old: dict[str, bytes] = {}
 
     def _cut(self, text: str) -> list[str]:
-        if _OTHER_SPACE.search(text) or "<|" in text:
+        if _OTHER_SPACE.search(text) or "<|" in text or self.lower and _DOTTED in text:
             return [text]
-        if self.lower and not _CASED.search(text):
+        if self.lower and _SIGMA not in text:
             text = text.lower()
         if any(p in text for p in _PAIRS):
             return _RUNS.findall(text)

@@ -11,7 +11,8 @@ from marketframe.llm.tokens import PieceEncoder, default_path
 from llm_rows import doc_rows
 
 ODD = ["", " ", "\n", "a  b", " a", "a ", "a\n\nb \n c\t\td  e", "x y z", "don't  <|endoftext|> stop", "  \n a\tb",
-       "Σας ΣΑΣ", "foo, bar!!. baz_. A.B, c", "É.\nÀ, x", "naïve, <|ENDOFTEXT|> x", "İstanbul", 'a"b', " '  's",
+       "Σας ΣΑΣ", "foo, bar!!. baz_. A.B, c", "É.\nÀ, x", "naïve, <|ENDOFTEXT|> x", "İstanbul", "fooİ, barİ. İ\nİ.",
+       'a"b', " '  's",
        "it's. ok, 3.5, x.", "...\n, .", "é. É, x", "z" * 3000]
 
 
