@@ -349,6 +349,7 @@ def study_sql(sp: StudyParams = STUDY_PARAMS) -> dict[str, str]:
         "label_exits_trailing": with_(base, _exits_sql(TRAILING_SQL, "sig_custom")),
         "trade_statistics": with_(base, _statistics_sql(sp)),
         "liquid_window": with_(base, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM win"),
+        "publish_clustered": with_(base, f"SELECT {', '.join(FEATURE_COLUMNS)} FROM win"),
         "distinct_symbols": with_(base, "SELECT DISTINCT symbol FROM win"),
         "entry_signals": with_(base, "SELECT symbol, signal_date, signal_bar FROM sig"),
         "entry_signals_custom": with_(base, "SELECT symbol, signal_date, signal_bar FROM sig_custom"),

@@ -5,7 +5,8 @@ so readers can see an empty or half-loaded table.  Here each universe is a
 directory ``<root>/universe=<U>/`` written with a static overwrite of that
 directory only (``year`` partitions inside), under a new version folder per
 run; readers pass the version they want.  Files are sorted by (date, symbol)
-so row-group statistics prune date filters.
+so row-group statistics prune date filters; the layout ``z`` prunes by date and
+by symbol (see ``layout``).
 """
 
 from __future__ import annotations
@@ -16,25 +17,33 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from marketframe.plans.layout import ROWS_PER_FILE, z_ordered
 from marketframe.schema import FEATURES_SCHEMA, FEATURE_COLUMNS
 
 
 def publish_features(features: DataFrame, root: str, universe: str, version: str | None = None,
-                     observation: Observation | None = None) -> str:
+                     observation: Observation | None = None, layout: str = "date",
+                     rows_per_file: int = ROWS_PER_FILE) -> str:
     """Write one universe of the feature table; returns the version path.
 
     Rows of a year come together (one file for daily bars of ~500 symbols);
-    AQE splits a year that is too large for a task.  ``observation`` receives
+    AQE splits a year that is too large for a task.  ``layout`` is ``date``,
+    where no file holds more than ``rows_per_file`` rows, or ``z``, where files
+    hold about as many (their ranges come from a sample) and at most twice that.  ``observation`` receives
     the number of rows computed (``rows``) from the same pass."""
     version = version or uuid.uuid4().hex[:12]
     path = f"{root}/version={version}/universe={universe}"
     out = features.select(*FEATURE_COLUMNS)
     if observation is not None:
         out = out.observe(observation, F.count(F.lit(1)).alias("rows"))
-    (out.withColumn("year", F.year("date"))
-     .hint("rebalance", "year")
-     .sortWithinPartitions("year", "date", "symbol")
-     .write.mode("overwrite").partitionBy("year").parquet(path))
+    if layout == "z":
+        dealt, most = z_ordered(out, rows_per_file), 2 * rows_per_file
+    elif layout == "date":
+        most = rows_per_file
+        dealt = out.withColumn("year", F.year("date")).hint("rebalance", "year").sortWithinPartitions("year", "date", "symbol")
+    else:
+        raise ValueError(f"no layout named {layout}")
+    dealt.write.mode("overwrite").option("maxRecordsPerFile", most).partitionBy("year").parquet(path)
     return f"{root}/version={version}"
 
 

@@ -50,15 +50,17 @@ def describe(spark: SparkSession, root: str, version: str, universe: str) -> Dat
     ).select(F.lit(universe).alias("universe"), "year", "rows", "keys", "checksum", "first_date", "last_date")
 
 
-def write_version(spark: SparkSession, root: str, tables: dict[str, DataFrame], version: str | None = None) -> str:
-    """Write and check every universe, and the manifest; not yet current."""
+def write_version(spark: SparkSession, root: str, tables: dict[str, DataFrame], version: str | None = None,
+                  **layout) -> str:
+    """Write and check every universe, and the manifest; not yet current.
+    ``layout`` and ``rows_per_file`` are those of ``publish_features``."""
     version = version or uuid.uuid4().hex[:12]
     parts = []
     for universe, features in tables.items():
         computed = Observation()
         watched = features.select(*FEATURE_COLUMNS).observe(
             computed, F.count(F.lit(1)).alias("rows"), row_checksum().alias("checksum"))
-        publish_features(watched, root, universe, version)
+        publish_features(watched, root, universe, version, **layout)
         part = describe(spark, root, version, universe).collect()  # a row per year
         parts += part
         want, rows = computed.get, sum(r.rows for r in part)
@@ -70,9 +72,9 @@ def write_version(spark: SparkSession, root: str, tables: dict[str, DataFrame],
     return version
 
 
-def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], version: str | None = None) -> str:
+def publish(spark: SparkSession, root: str, tables: dict[str, DataFrame], version: str | None = None, **layout) -> str:
     """Write, check and commit; returns the version, which is now current."""
-    version = write_version(spark, root, tables, version)
+    version = write_version(spark, root, tables, version, **layout)
     commit(spark, root, version, check=False)  # its files were read a moment ago
     return version
 
