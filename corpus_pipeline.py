@@ -56,7 +56,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents without letters or without a likely language; what is
-    likely comes from the scores of labelled documents held out of training."""
+    likely comes from the scores of all labelled documents held out of training."""
     model = langid.train(docs)
     return langid.accepted(docs, model, langid.thresholds(docs, model), langid.KNOWN_LETTERS)
 

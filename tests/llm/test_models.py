@@ -156,6 +156,53 @@ def test_language_sample_is_drawn_in_slices(spark):
     assert {(r.lang, r.n, r.r) for r in got} == {("en", 104, 13), ("de", 104, 13)}
 
 
+def test_language_learns_from_every_row(spark):
+    """The model and the thresholds are those of all rows, not only of the
+    candidates for landmarks, however the rows are dealt."""
+    random.seed(31)
+    text = {g: ["".join(random.choices(abc, k=random.randint(5, 90))) + ("q" if i % 9 == 8 else "") for i in range(300)]
+            for g, abc in (("a", "abcdefgh "), ("s", "stuvwbcd "))}
+    rows = [(i, g, text[g][i // 2]) for i in range(600) for g in "as"[i % 2]]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(5)
+    fitted = [r for r in docs.where(fold() != 0).collect() if langid.has_letters(r.text)]
+    bits = langid.landmark_rows(docs, 8, 8)
+    sums = langid.training_sums(docs, bits)
+    assert {g: s.n for g, s in sums.items()} == {g: sum(r.lang == g for r in fitted) for g in "as"}
+    packed = [x.tobytes() for x in np.packbits(langid.marked([r.text for r in fitted]), axis=1)]
+    direct: dict = {}
+    langid.add(direct, langid.Landmarks(bits), langid.unpacked(packed), [r.lang for r in fitted])
+    model, other = langid.train(docs, 8, 8), langid.train(docs.repartition(2), 8, 8)
+    for m in (langid.solve(bits, direct), other):
+        assert (m.weights == model.weights).all() and (m.bias == model.bias).all() and (m.known == model.known).all()
+    assert model.known_letters("q") == 1
+    held = [r.text for r in docs.where(fold() == 0).collect()]
+    least = langid.thresholds(docs, model)
+    for k, n in enumerate(langid.LENGTHS[:4]):
+        cut = [t[:max(n, 4)] for t in held if len(t) >= n]
+        own = model.predict([t for t in cut if langid.has_letters(t)])[1]
+        assert least[k] == pytest.approx(0.5 + (np.quantile(own, langid.QUANTILE) - 0.5) / 2, abs=1 / langid.STEPS)
+
+
+def test_language_thresholds_count_every_held_out_row(spark):
+    """A share of low scores shows in the threshold wherever their ids hash."""
+    random.seed(32)
+    model = langid.Model(["a", "s"], np.zeros((langid.WIDTH, 2), "float32"), np.array([0.8, -0.8]))
+    model.weights[:langid.SPACES[1], 0] = -4 * langid.presence(["z"])[0, :langid.SPACES[1]]
+    docs = spark.createDataFrame([(i, "a", "zzzz") for i in range(4000)], "doc_id long, lang string, text string")
+    seen = langid.lowest(docs.where(fold() == 0), 300).select("doc_id")
+    plain = seen.withColumn("lang", F.lit("a")).withColumn("text", F.lit("abcd"))
+    least = langid.thresholds(docs.join(seen, "doc_id", "left_anti").unionByName(plain), model)
+    low = float(model.predict(["zzzz"])[1][0])
+    assert low < 0.9 and least[0] == pytest.approx(min(1, 0.5 + (low - 0.5) / 2), abs=1e-3)
+
+
+def test_counted_quantile():
+    values = np.random.default_rng(3).integers(0, 20, 137)
+    counts = sorted(zip(*(x.tolist() for x in np.unique(values, return_counts=True))))
+    for q in (0, 0.01, 0.3, 0.5, 1):
+        assert langid.counted_quantile(counts, q) == pytest.approx(np.quantile(values, q))
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(i, y) for i, y in [(1, 1), (2, 0), (6, None), (None, 1), (8, 0), (13, 1), (14, 0)]],
                                    "doc_id long, toxic int")
