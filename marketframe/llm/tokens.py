@@ -9,6 +9,9 @@ between a letter or digit and one last full stop or comma.  Texts with other
 white space are encoded whole.  Where the tokenizer lower-cases, pieces are
 lower-cased first, but for texts with a letter whose case depends on context;
 texts with a letter whose lower case ends with a sign are encoded whole.
+Pieces of Latin letters and ASCII signs after them, which are always one or two
+words that no normalizer changes, go straight to the library's model; others
+go through all its steps.
 The ids equal those of encoding each text by itself.
 """
 
@@ -17,6 +20,8 @@ from __future__ import annotations
 import os
 import re
 from collections.abc import Iterator
+from itertools import compress, repeat
+from operator import is_
 
 import numpy as np
 
@@ -26,14 +31,20 @@ CALL = 512
 LONG_PIECE = 64
 _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
 #: White space other than space and line feed, and the cutting mark itself.
-_OTHER_SPACE = re.compile(f"[\0{_SPACES}]")
+_NOT_CUT = "\0" + _SPACES
 _PAIRS = ("  ", "\n\n", " \n", "\n ")
 _RUNS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 #: A full stop or comma that belongs to a longer run of signs, or to the space before it.
-_SIGNS = re.compile(r"(?:\W|_)[.,][ \n]")
+_SIGNS = re.compile(r"[.,][ \n](?<=[\W_]..)", re.DOTALL)
 #: A letter whose lower case depends on its place, and one whose lower case ends with a sign.
 _SIGMA, _DOTTED = "\u03a3", "\u0130"
 
+#: Pieces that the model takes by itself: a word of Latin letters up to U+024F, and signs.
+_LATIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
+#: Byte-level models know the bytes above ASCII by these characters.
+_BYTES = {b: b + 0xA2 if b <= 0xA0 else 0x143 for b in (*range(0x80, 0xA1), 0xAD)}
+_SPACE = "\u0120"
+
 
 def default_path(name: str) -> str:
     import public_tokenizers
@@ -47,12 +58,47 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.lower = self.tokenizer.normalizer is not None and "Lowercase" in str(self.tokenizer.normalizer)
+        self.model = self.tokenizer.model
+        self.straight = self._takes_words()
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
 
+    def _takes_words(self) -> bool:
+        """Whether the model by itself gives the ids of whole encoding for words
+        with each of the letters and signs that it would be given."""
+        if any("<|" not in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
+            return False
+        letters = [c for c in map(chr, range(0x250)) if _LATIN.fullmatch(c) and (not self.lower or c.islower())]
+        signs = [c for c in map(chr, range(0x80)) if _LATIN.fullmatch("a" + c) and not c.isalpha()]
+        words = [f"{space}{c}a{c}e" for c in letters for space in ("", " ")] + [f" a{c}{d}" for c in signs for d in signs]
+        found = dict(self._straight(words))
+        return all(found[w] == np.array(e.ids, self.dtype).tobytes()
+                   for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True))
+
+    def _straight(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Ids, by the model alone, of those pieces that it can take."""
+        model, latin, lower = self.model.tokenize, _LATIN.fullmatch, self.lower
+        done, ends, ids = [], [], []
+        for piece in pieces:
+            found = latin(piece)
+            if not found or lower and not piece.islower():
+                continue
+            word, signs = (piece, "") if piece[-1].isalpha() else found.groups()
+            if not word.isascii():
+                word = word.encode().decode("latin-1").translate(_BYTES)
+            ids += [t.id for t in model(word.replace(" ", "" if lower else _SPACE))]
+            if signs:
+                ids += [t.id for t in model(signs)]
+            done.append(piece)
+            ends.append(len(ids))
+        return self._raw(done, np.array(ends, "int64"), ids)
+
     def _cut(self, text: str) -> list[str]:
-        if _OTHER_SPACE.search(text) or "<|" in text or self.lower and _DOTTED in text:
+        if "<|" in text or self.lower and _DOTTED in text:
             return [text]
+        for c in _NOT_CUT:
+            if c in text:
+                return [text]
         if self.lower and _SIGMA not in text:
             text = text.lower()
         if any(p in text for p in _PAIRS):
@@ -75,17 +121,20 @@ class PieceEncoder:
         yield from self._by_word(pieces, self.tokenizer.encode(pieces, is_pretokenized=True, add_special_tokens=False))
 
     def _by_word(self, pieces: list[str], e) -> Iterator[tuple[str, bytes]]:
-        raw = np.array(e.ids, self.dtype).tobytes()
         count = np.bincount(np.array(e.word_ids, "int64"), minlength=len(pieces))
-        ends = (np.cumsum(count) * np.dtype(self.dtype).itemsize).tolist()
-        for piece, start, end in zip(pieces, [0, *ends], ends, strict=False):
-            yield piece, raw[start:end]
+        return self._raw(pieces, np.cumsum(count), e.ids)
+
+    def _raw(self, pieces: list[str], ends: np.ndarray, ids: list[int]) -> Iterator[tuple[str, bytes]]:
+        raw = np.array(ids, self.dtype).tobytes()
+        ends = (ends * np.dtype(self.dtype).itemsize).tolist()
+        return zip(pieces, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=False)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
         memo = self.memo
         cut = [self._cut(t) for t in texts]
-        new = set().union(*cut).difference(memo)
+        found = [[*map(memo.get, pieces)] for pieces in cut]
+        new = set().union(*(compress(pieces, map(is_, ids, repeat(None))) for pieces, ids in zip(cut, found, strict=True)))
         todo = []
         for piece in new:
             known = self.old.get(piece)
@@ -93,9 +142,13 @@ class PieceEncoder:
                 todo.append(piece)
             else:
                 memo[piece] = known
-        for at in range(0, len(todo), CALL):
-            memo.update(self._encode_pieces(todo[at:at + CALL]))
-        out = [np.frombuffer(b"".join(map(memo.__getitem__, pieces)), self.dtype) for pieces in cut]
+        if self.straight:
+            memo.update(self._straight(todo))
+        rest = [p for p in todo if p not in memo] if self.straight else todo
+        for at in range(0, len(rest), CALL):
+            memo.update(self._encode_pieces(rest[at:at + CALL]))
+        out = [np.frombuffer(b"".join([memo[p] if x is None else x for p, x in zip(pieces, ids, strict=True)]), self.dtype)
+               for pieces, ids in zip(cut, found, strict=True)]
         for piece in todo:
             if len(piece) > LONG_PIECE:
                 del memo[piece]

@@ -36,6 +36,25 @@ def test_random_texts_encode_alike(name):
         assert got.tolist() == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_plain_words_go_straight_to_the_model(name, monkeypatch):
+    """Latin words, with signs or without, never take the slow steps; their ids
+    are those of whole encoding, as are those of words next to the rule."""
+    from tokenizers import Tokenizer
+    plain, ours = Tokenizer.from_file(default_path(name)), PieceEncoder(default_path(name))
+    rng = random.Random(7)
+    letters = "abcdefgXYZ\u00e9\u00df\u00ff\u00f8\u0105\u017f\u01c6\u0233"
+    words = ["".join(rng.choices(letters, k=rng.randrange(1, 14))) + rng.choice(["", "", "###", "!?", "'", "_", "."]) for _ in range(500)]
+    odd = ["\u0130a", "a\u0301", "\u212b", "a's", "a'", "\u00b5", "\u00aa", "\ufb01x", "\u01c5", "x9", "\u00d7", "<|a", "a<|", "\u0149"]
+    texts = [" ".join(words[:250]), "\n".join(words[250:]), *odd, *[" " + w for w in odd]]
+    for got, text in zip(ours.encode(texts), texts, strict=True):
+        assert got.tolist() == plain.encode(text, add_special_tokens=False).ids, text[:80]
+    slow = []
+    monkeypatch.setattr(ours, "_encode_pieces", lambda pieces: slow.extend(pieces) or [(p, b"") for p in pieces])
+    ours.encode(["hello h\u00e9llo wonderful###\nfine, words."])
+    assert slow == [","]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 255, 256, 257, 1000, 5000, 40_000])
 @pytest.mark.parametrize("top", [1, 3, 49_408])
 def test_coder_round_trip(n, top):
