@@ -5,7 +5,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,20 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield b.slice(at, rows)
 
 
+def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 2048, size: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+    """Cut Arrow batches into slices of at most ``rows`` rows and about ``size``
+    bytes of the column ``text``, for work that gains by more texts at a time.
+    A longer text is a slice by itself."""
+    for b in batches:
+        ends = np.cumsum(pc.fill_null(pc.binary_length(b.column("text")), 0).to_numpy(zero_copy_only=False), dtype="int64")
+        at = 0
+        while at < b.num_rows:
+            room = size + (ends[at - 1] if at else 0)
+            n = min(rows, max(1, int(np.searchsorted(ends, room, "right")) - at))
+            yield b.slice(at, n)
+            at += n
+
+
 def fold(doc_id: Column | str = "doc_id") -> Column:
     """crc32 of the id as text, mod 5; fold 0 is held out of training.  A null
     id counts as held out."""

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from marketframe.llm.common import slices, stored
+from marketframe.llm.common import stored, text_slices
 from marketframe.llm.tokens import default_path, encoder
 
 CAPACITY = 1024
@@ -48,7 +48,7 @@ def pieces(docs: DataFrame, path: str | None = None, end_id: int = END_ID, capac
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(path)
-        for b in slices(batches):
+        for b in text_slices(batches):
             out: list[tuple] = []
             encoded = enc.encode([t or "" for t in b.column("text").to_pylist()])
             for doc_id, body in zip(b.column("doc_id").to_pylist(), encoded, strict=True):

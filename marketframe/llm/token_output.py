@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from marketframe.llm import range_coder
-from marketframe.llm.common import id_key, id_ranges, slices
+from marketframe.llm.common import id_key, id_ranges, slices, text_slices
 from marketframe.llm.tokens import default_path, encoder
 
 END_ID = 1
@@ -56,7 +56,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
             row = (at, block, len(x), docs_in, [len(i) for i in ids], range_coder.encode(x, vocabulary, end_id))
             return pa.record_batch([pa.array([v], t) for v, t in zip(row, _TYPES, strict=True)], names=_NAMES)
 
-        for b in slices(batches):
+        for b in text_slices(batches):
             new = enc.encode(b.column("text").to_pylist())
             for r, doc_id, x in zip(b.column("range").to_pylist(), b.column("doc_id").to_pylist(), new, strict=True):
                 if ids and (r != at or filled + len(x) >= block_ids):

@@ -1,7 +1,8 @@
 """Token ids of whole texts with a memo of pieces.
 
-The ``tokenizers`` library encodes every distinct piece of a slice of texts
-once; a bounded memo of two generations keeps pieces for the next slices.
+Arrow cuts a slice of texts into pieces and numbers the distinct ones; the
+``tokenizers`` library encodes each of these once; a bounded memo of two
+generations keeps pieces for the next slices.
 Texts are cut only where both supported kinds of tokenizer (byte-level BPE
 with the usual split pattern, and word BPE that drops white space) always
 start a new token: before a single space, around a single line feed, and
@@ -10,13 +11,14 @@ white space are encoded whole.  Where the tokenizer lower-cases, pieces are
 lower-cased first, but for texts with a letter whose case depends on context;
 texts with a letter whose lower case ends with a sign are encoded whole.
 Pieces of Latin letters and ASCII signs after them, which are always one or two
-words that no normalizer changes, go straight to the library's model; others
-go through all its steps.
+words that no normalizer changes, go straight to the library's model, many in
+one call; others go through all its steps.
 The ids equal those of encoding each text by itself.
 """
 
 from __future__ import annotations
 
+import itertools
 import os
 import re
 from collections.abc import Iterator
@@ -24,6 +26,8 @@ from itertools import compress, repeat
 from operator import is_
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MEMO = 400_000
 #: Pieces that one call of the library encodes.
@@ -41,9 +45,12 @@ _SIGMA, _DOTTED = "\u03a3", "\u0130"
 
 #: Pieces that the model takes by itself: a word of Latin letters up to U+024F, and signs.
 _LATIN = re.compile("( ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([!-/:-@\\[-`{-~]*)")
-#: Byte-level models know the bytes above ASCII by these characters.
-_BYTES = {b: b + 0xA2 if b <= 0xA0 else 0x143 for b in (*range(0x80, 0xA1), 0xAD)}
-_SPACE = "\u0120"
+#: A letter before signs.
+_SIGNED = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f](?=[!-/:-@\\[-`{-~])")
+#: The characters by which byte-level models know zero (here the mark after a word), the space and the bytes above ASCII.
+_MARK = "\u0100"
+_ALPHABET = np.arange(256, dtype="<u2")
+_ALPHABET[:2], _ALPHABET[0x20], _ALPHABET[0x80:0xA1], _ALPHABET[0xAD] = ord(_MARK), 0x120, np.arange(0x122, 0x143), 0x143
 
 
 def default_path(name: str) -> str:
@@ -54,11 +61,21 @@ def default_path(name: str) -> str:
 class PieceEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         self.lower = self.tokenizer.normalizer is not None and "Lowercase" in str(self.tokenizer.normalizer)
-        self.model = self.tokenizer.model
+        # Takes words that are parted already.  Where the last token of a word has
+        # a suffix, this shows its end; else a mark does that merges with nothing.
+        self.words = Tokenizer(self.tokenizer.model)
+        tokens = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.parted = bool(suffix)
+        if suffix:
+            self.words.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(_MARK)
+            self.last = np.array([t.endswith(suffix) for t in tokens])
+        else:
+            self.last = np.array([_MARK in t for t in tokens])
         self.straight = self._takes_words()
         self.memo: dict[str, bytes] = {}
         self.old: dict[str, bytes] = {}
@@ -68,6 +85,8 @@ class PieceEncoder:
         with each of the letters and signs that it would be given."""
         if any("<|" not in t.content for t in self.tokenizer.get_added_tokens_decoder().values()):
             return False
+        if not (self.parted or self.last.sum() == 1):
+            return False
         letters = [c for c in map(chr, range(0x250)) if _LATIN.fullmatch(c) and (not self.lower or c.islower())]
         signs = [c for c in map(chr, range(0x80)) if _LATIN.fullmatch("a" + c) and not c.isalpha()]
         words = [f"{space}{c}a{c}e" for c in letters for space in ("", " ")] + [f" a{c}{d}" for c in signs for d in signs]
@@ -76,37 +95,43 @@ class PieceEncoder:
                    for w, e in zip(words, self.tokenizer.encode_batch(words, add_special_tokens=False), strict=True))
 
     def _straight(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
-        """Ids, by the model alone, of those pieces that it can take."""
-        model, latin, lower = self.model.tokenize, _LATIN.fullmatch, self.lower
-        done, ends, ids = [], [], []
-        for piece in pieces:
-            found = latin(piece)
-            if not found or lower and not piece.islower():
-                continue
-            word, signs = (piece, "") if piece[-1].isalpha() else found.groups()
-            if not word.isascii():
-                word = word.encode().decode("latin-1").translate(_BYTES)
-            ids += [t.id for t in model(word.replace(" ", "" if lower else _SPACE))]
-            if signs:
-                ids += [t.id for t in model(signs)]
-            done.append(piece)
-            ends.append(len(ids))
-        return self._raw(done, np.array(ends, "int64"), ids)
-
-    def _cut(self, text: str) -> list[str]:
+        """Ids, by the model alone, of those pieces that it can take, with a
+        mark between words and after each piece."""
+        done = [*compress(pieces, map(_LATIN.fullmatch, pieces))]
+        if self.lower:
+            done = [p for p in done if p.islower()]
+        step = len(done) + 1 if self.parted else CALL
+        texts = []
+        for at in range(0, len(done), step):
+            text = _SIGNED.sub("\\g<0>\1", "\0".join([*done[at:at + step], ""]))
+            texts.append(np.frombuffer((text.replace(" ", "") if self.lower else text).encode(), "u1"))
+        if not texts:
+            return iter(())
+        found = self.words.encode_batch_fast([_ALPHABET[t].tobytes().decode("utf-16-le") for t in texts],
+                                             add_special_tokens=False)
+        ids, raw = np.array([*itertools.chain(*(e.ids for e in found))], self.dtype), np.concatenate(texts)
+        last = self.last[ids]
+        if self.parted:
+            ends = np.flatnonzero(last) + 1
+        else:
+            ids, ends = ids[~last], np.flatnonzero(last) - np.arange(last.sum())
+        return self._raw(done, ends[raw[raw < 2] == 0], ids)
+
+    def _marked(self, text: str) -> str | None:
+        """The text with a mark between its pieces; None if it is encoded whole."""
         if "<|" in text or self.lower and _DOTTED in text:
-            return [text]
+            return None
         for c in _NOT_CUT:
             if c in text:
-                return [text]
+                return None
         if self.lower and _SIGMA not in text:
             text = text.lower()
         if any(p in text for p in _PAIRS):
-            return _RUNS.findall(text)
+            return "\0".join(_RUNS.findall(text))
         marked = text.replace("\n", "\0\n\0").replace(" ", "\0 ")
         if not _SIGNS.search(text):
             marked = marked.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
-        return marked.split("\0")
+        return marked
 
     def _encode_pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each piece with its ids, all from one call of the library, which
@@ -124,36 +149,56 @@ class PieceEncoder:
         count = np.bincount(np.array(e.word_ids, "int64"), minlength=len(pieces))
         return self._raw(pieces, np.cumsum(count), e.ids)
 
-    def _raw(self, pieces: list[str], ends: np.ndarray, ids: list[int]) -> Iterator[tuple[str, bytes]]:
+    def _raw(self, pieces: list[str], ends: np.ndarray, ids: list[int] | np.ndarray) -> Iterator[tuple[str, bytes]]:
         raw = np.array(ids, self.dtype).tobytes()
         ends = (ends * np.dtype(self.dtype).itemsize).tolist()
         return zip(pieces, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=False)
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        """Ids of each text, without special tokens."""
+    def _known(self, pieces: list[str]) -> list[bytes]:
+        """Ids of distinct pieces: from the memo, or else from the library."""
         memo = self.memo
-        cut = [self._cut(t) for t in texts]
-        found = [[*map(memo.get, pieces)] for pieces in cut]
-        new = set().union(*(compress(pieces, map(is_, ids, repeat(None))) for pieces, ids in zip(cut, found, strict=True)))
+        found = [*map(memo.get, pieces)]
+        missing = [*compress(range(len(found)), map(is_, found, repeat(None)))]
         todo = []
-        for piece in new:
-            known = self.old.get(piece)
+        for i in missing:
+            known = self.old.get(pieces[i])
             if known is None:
-                todo.append(piece)
+                todo.append(pieces[i])
             else:
-                memo[piece] = known
-        if self.straight:
-            memo.update(self._straight(todo))
-        rest = [p for p in todo if p not in memo] if self.straight else todo
+                memo[pieces[i]] = known
+        new = dict(self._straight(todo)) if self.straight else {}
+        memo.update(new)
+        rest = [p for p in todo if p not in new] if len(new) < len(todo) else []
         for at in range(0, len(rest), CALL):
             memo.update(self._encode_pieces(rest[at:at + CALL]))
-        out = [np.frombuffer(b"".join([memo[p] if x is None else x for p, x in zip(pieces, ids, strict=True)]), self.dtype)
-               for pieces, ids in zip(cut, found, strict=True)]
+        for i in missing:
+            found[i] = memo[pieces[i]]
         for piece in todo:
             if len(piece) > LONG_PIECE:
                 del memo[piece]
         if len(memo) > MEMO:
             self.old, self.memo = memo, {}
+        return found
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of each text, without special tokens."""
+        marked = [self._marked(t) for t in texts]
+        whole = [i for i, m in enumerate(marked) if m is None]
+        cut = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), "\0")
+        coded = cut.flatten().dictionary_encode()
+        found = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
+        size = np.fromiter(map(len, found), "int64", len(found)) // np.dtype(self.dtype).itemsize
+        at = coded.indices.to_numpy()
+        count = size[at]
+        ends = np.cumsum(count)
+        first = np.cumsum(size) - size
+        # Each id's place among those of the distinct pieces.
+        place = np.repeat(first[at] - ends + count, count) + np.arange(count.sum())
+        ids = np.frombuffer(b"".join(found), self.dtype)[place]
+        bounds = np.append(0, ends)[np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy()))].tolist()
+        out = [ids[a:b] for a, b in itertools.pairwise(bounds)]
+        for i in whole:
+            out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.dtype)
         return out
 
 

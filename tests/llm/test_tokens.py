@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from marketframe.llm import packing, range_coder, token_output
+from marketframe.llm.common import text_slices
 from marketframe.llm.tokens import PieceEncoder, default_path
 from llm_rows import doc_rows
 
@@ -55,6 +56,30 @@ def test_plain_words_go_straight_to_the_model(name, monkeypatch):
     assert slow == [","]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_slice_looks_up_each_piece_once(name, monkeypatch):
+    """Pieces that repeat within a slice cost one look-up, and new words one call of the library."""
+    from tokenizers import Tokenizer
+    plain, ours = Tokenizer.from_file(default_path(name)), PieceEncoder(default_path(name))
+    asked = []
+    known = ours._known
+    monkeypatch.setattr(ours, "_known", lambda pieces: asked.extend(pieces) or known(pieces))
+    texts = ["a word or a word, or", "", "word\tor", "or a\0word", "word or", "  a  word", " \u00e9t\u00e9!! a_b"] * 3
+    got = ours.encode(texts)
+    assert [x.tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(asked) == len(set(asked)) and asked.count(" or") == 1
+    assert ours.encode([]) == [] and [x.tolist() for x in ours.encode(["", ""])] == [[], []]
+
+
+def test_text_slices_are_bounded():
+    import pyarrow as pa
+    texts = ["abc", None, "x" * 50, "", "\u00e9" * 5, "abcdefghij", "k", None]
+    batch = pa.record_batch([pa.array(texts), pa.array(range(8))], names=["text", "n"])
+    got = [b.column("n").to_pylist() for b in text_slices([batch, batch.slice(0, 0)], rows=3, size=12)]
+    assert got == [[0, 1], [2], [3, 4], [5, 6, 7]]
+    assert [b.num_rows for b in text_slices([batch], rows=3)] == [3, 3, 2]
+
+
 @pytest.mark.parametrize("n", [0, 1, 2, 3, 255, 256, 257, 1000, 5000, 40_000])
 @pytest.mark.parametrize("top", [1, 3, 49_408])
 def test_coder_round_trip(n, top):
