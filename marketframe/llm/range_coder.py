@@ -8,10 +8,11 @@ hits seen with this pair of confidences, with the order-2 confidence alone,
 and with the order-1 confidence alone.
 
 Coder.  A block is cut into lanes that are coded in step, one numpy operation
-for all lanes, each with a carryless range coder of 48 bits that emits 16-bit
-words.  Tables and probabilities adapt between segments (4, 4, 8, ... up to
-``STEP`` ids per lane); within one they are fixed, so the decoder has the same
-ones.  All arithmetic is on integers or on single IEEE operations.
+for all lanes, each with a range coder of 48 bits that emits 16-bit words.  The
+encoder keeps carries in its words and resolves them at the end of the block.
+Tables and probabilities adapt between segments (4, 4, 8, ... up to ``STEP``
+ids per lane); within one they are fixed, so the decoder has the same ones.
+All arithmetic is on integers or on single IEEE operations.
 
 Each block starts from empty tables and carries the crc32 of its ids.
 """
@@ -24,7 +25,7 @@ import zlib
 import numpy as np
 
 MAGIC = b"TKRC"
-VERSION = 1
+VERSION = 2
 LANES = 4096
 PER_LANE = 256
 STEP = 64
@@ -35,8 +36,7 @@ CONFIDENCE = 16
 _CONF_BITS, _CONF_MASK = 4, 15
 LEAST_REST = 1 << (SLOT_BITS + 1)
 _HEAD = struct.Struct("<4sHIIII")  # magic, version, ids, lanes, vocabulary, crc32
-_U = np.uint64
-_MASK48, _MASK32, _B32, _S16, _S24, _S32 = _U((1 << 48) - 1), _U((1 << 32) - 1), _U(1 << 32), _U(16), _U(24), _U(32)
+_FULL, _LEAST, _LOW = 1 << 48, 1 << 32, (1 << 32) - 1
 
 
 class CorruptBlock(ValueError):
@@ -89,8 +89,9 @@ class _Model:
         w1[1:, :, 1] = 0  # both predict the same id: one interval
         self.widths = (w2 << 32 | w1).reshape(-1)
 
-    def learn(self, a: np.ndarray, ctx2: np.ndarray, ids: np.ndarray, found: tuple | None = None) -> None:
-        p1, p2, state, w2, w1 = found or self.look_up(a, ctx2)
+    def learn(self, a: np.ndarray, ctx2: np.ndarray, ids: np.ndarray, found: tuple) -> None:
+        """Take in a segment, ordered by step and lane, with what ``look_up`` found."""
+        p1, p2, state, w2, w1 = found
         right1, right2 = (ids == p1) & (state >> 1 & _CONF_MASK > 0), (ids == p2) & (w2 > 0)
         n = len(self.seen)
         self.seen += np.bincount(state, minlength=n)
@@ -127,20 +128,12 @@ def _active(size: int, per_lane: int, t: int) -> int:
     return (size - t - 1) // per_lane + 1 if size > t else 0
 
 
-def _settle(low: np.ndarray, rng: np.ndarray, k: int):
-    """Shift out the top 16 bits of those of the first k lanes where they can
-    no longer change, or where the range got too small; again until none is
-    left.  Yields the lanes and their words."""
-    lw, rg = low[:k], rng[:k]
-    who = np.flatnonzero(((lw ^ (lw + rg)) < _B32) | (rg < _B32))
-    while len(who):
-        lw, rg = low[who], rng[who]
-        small = (lw ^ (lw + rg)) >= _B32
-        rg = np.where(small, (_U(0) - lw) & _MASK32, rg) << _S16
-        yield who, (lw >> _S32).astype("<u2")
-        lw = (lw << _S16) & _MASK48
-        low[who], rng[who] = lw, np.maximum(rg, _U(1 << 24))  # only a damaged block has less
-        who = who[((lw ^ (lw + rg)) < _B32) | (rg < _B32)]
+def _steps(part: np.ndarray, per_lane: int) -> np.ndarray:
+    """A segment by step and lane; zeros where the last lane has no id."""
+    lanes = -(-len(part) // per_lane)
+    x = np.zeros(lanes * per_lane, "int64")
+    x[:len(part)] = part
+    return np.ascontiguousarray(x.reshape(lanes, per_lane).T)
 
 
 def encode(ids: np.ndarray, vocabulary: int, start_id: int) -> bytes:
@@ -148,39 +141,55 @@ def encode(ids: np.ndarray, vocabulary: int, start_id: int) -> bytes:
     n = len(ids)
     lanes, plan = _plan(n)
     model = _Model(vocabulary)
-    low, rng = np.zeros(lanes, "<u8"), np.full(lanes, _MASK48)
-    words = np.zeros((lanes, 2 * sum(p for _, _, p in plan) + 4), "<u2")
-    done = np.zeros(lanes, "int64")
+    low, rng = np.zeros(lanes, "int64"), np.full(lanes, _FULL - 1)
+    room = 2 * sum(p for _, _, p in plan) + 4
+    words = np.zeros(lanes * room, "uint32")
+    lane = np.arange(lanes) * room
+    put = lane.copy()  # the place of each lane's next word
     for at, size, per_lane in plan:
-        part = ids[at:at + size]
-        first = np.arange(0, size, per_lane)
-        a, b = np.roll(part, 1), np.roll(part, 2)
-        a[first], b[first] = start_id, start_id
-        b[first[first + 1 < size] + 1] = start_id
+        part = _steps(ids[at:at + size], per_lane)
+        shape = part.shape
+        before = np.concatenate([np.full((2, shape[1]), start_id), part])
+        a, b, x = before[1:-1].ravel(), before[:-2].ravel(), part.ravel()
         ctx2 = model.contexts(a, b)
         found = p1, p2, _, w2, w1 = model.look_up(a, ctx2)
         rest = (1 << TOTAL_BITS) - w2 - w1
-        lo = model.cum[part] * rest >> SLOT_BITS
-        begin, width = w2 + w1 + lo, (model.cum[part + 1] * rest >> SLOT_BITS) - lo
-        is1 = (part == p1) & (w1 > 0)
+        lo = model.cum[x] * rest >> SLOT_BITS
+        begin, width = w2 + w1 + lo, (model.cum[x + 1] * rest >> SLOT_BITS) - lo
+        is1 = np.flatnonzero((x == p1) & (w1 > 0))
         begin[is1], width[is1] = w2[is1], w1[is1]
-        is2 = (part == p2) & (w2 > 0)
+        is2 = np.flatnonzero((x == p2) & (w2 > 0))
         begin[is2], width[is2] = 0, w2[is2]
-        begin, width = begin.astype("<u8"), width.astype("<u8")
+        begin, width = begin.reshape(shape), width.reshape(shape)
         for t in range(per_lane):
             k = _active(size, per_lane, t)
-            where = first[:k] + t
-            r = rng[:k] >> _S24
-            low[:k] += r * begin[where]
-            rng[:k] = r * width[where]
-            for who, word in _settle(low, rng, k):
-                words[who, done[who]] = word
-                done[who] += 1
-        model.learn(a, ctx2, part, found)
+            r = rng[:k] >> TOTAL_BITS
+            low[:k] += r * begin[t, :k]  # bit 48 is a carry
+            r *= width[t, :k]
+            rng[:k] = r
+            who = np.flatnonzero(r < _LEAST)
+            while len(who):
+                to, lw = put[who], low[who]
+                words[to] = lw >> 32
+                put[who] = to + 1
+                low[who] = (lw & _LOW) << 16
+                rg = rng[who] << 16
+                rng[who] = rg
+                who = who[rg < _LEAST]
+        if at + size < n:
+            model.learn(a, ctx2, x, found)
     for shift in (32, 16, 0):
-        words[np.arange(lanes), done] = ((low >> _U(shift)) & _U(0xFFFF)).astype("<u2")
-        done += 1
-    body = words[np.arange(words.shape[1])[None, :] < done[:, None]]
+        words[put] = low >> shift if shift == 32 else (low >> shift) & 0xFFFF
+        put += 1
+    carry = np.flatnonzero(words > 0xFFFF)
+    while len(carry):
+        words[carry] -= 1 << 16
+        carry -= 1
+        words[carry] += 1
+        carry = carry[words[carry] > 0xFFFF]
+    done = put - lane
+    longest = int(done.max())
+    body = words.reshape(lanes, room)[:, :longest][np.arange(longest) < done[:, None]].astype("<u2")
     head = _HEAD.pack(MAGIC, VERSION, n, lanes if n else 0, vocabulary, zlib.crc32(ids.astype("<u4").tobytes()))
     return head + struct.pack("<I", start_id) + (done.astype("<u4").tobytes() + body.tobytes() if n else b"")
 
@@ -201,7 +210,7 @@ def decode(block: bytes) -> np.ndarray:
         stream = np.frombuffer(block[at + 4 * lanes:at + 4 * lanes + (len(block) - at - 4 * lanes) // 2 * 2], "<u2")
         if len(count) != lanes or count.sum() != len(stream):
             raise CorruptBlock("block is cut short")
-        _decode(ids, stream.astype("<u8"), count, vocabulary, start_id)
+        _decode(ids, stream.astype("int64"), count, vocabulary, start_id)
     if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
         raise CorruptBlock("checksum differs")
     return ids
@@ -210,44 +219,58 @@ def decode(block: bytes) -> np.ndarray:
 def _decode(ids: np.ndarray, stream: np.ndarray, count: np.ndarray, vocabulary: int, start_id: int) -> None:
     lanes, plan = _plan(len(ids))
     model = _Model(vocabulary)
-    stream = np.concatenate([stream, np.zeros(4, "<u8")])  # a damaged block may ask for more
+    stream = np.concatenate([stream, np.zeros(4, "int64")])  # a damaged block may ask for more
     pos, last = np.cumsum(count) - count, len(stream) - 1
-    code = np.zeros(lanes, "<u8")
+    code = np.zeros(lanes, "int64")
     for _ in range(3):
-        code = (code << _S16) | stream[np.minimum(pos, last)]
+        code = code << 16 | stream[np.minimum(pos, last)]
         pos = pos + 1
-    low, rng = np.zeros(lanes, "<u8"), np.full(lanes, _MASK48)
+    rng = np.full(lanes, _FULL - 1)
     for at, size, per_lane in plan:
-        first = np.arange(0, size, per_lane)
-        part = np.empty(size, "int64")
-        all_a, all_c = np.empty(size, "int64"), np.empty(size, "int64")
-        a = b = np.full(len(first), start_id)
+        shape = (per_lane, -(-size // per_lane))
+        before = np.full((per_lane + 2, shape[1]), start_id)
+        part, ctx = before[2:], np.empty(shape, "int64")
+        found = [np.empty(shape, kind) for kind in ("int32", "int32", "int32", "int64", "int64")]
         for t in range(per_lane):
             k = _active(size, per_lane, t)
-            where, a, b = first[:k] + t, a[:k], b[:k]
-            ctx2 = model.contexts(a, b)
-            p1, p2, _, w2, w1 = model.look_up(a, ctx2)
-            r = rng[:k] >> _S24
+            a = before[t + 1, :k]
+            ctx2 = model.contexts(a, before[t, :k])
+            p1, p2, _, w2, w1 = row = model.look_up(a, ctx2)
+            r = rng[:k] >> TOTAL_BITS
             # Whole numbers below 2^53: the float quotient has the exact floor.
-            v = ((code[:k] - low[:k]).astype("int64") / r.astype("int64")).astype("int64")
-            v = np.minimum(v, (1 << TOTAL_BITS) - 1)
+            v = np.clip((code[:k] / r).astype("int64"), 0, (1 << TOTAL_BITS) - 1)  # a damaged block may leave the range
             known = w2 + w1
             rest = (1 << TOTAL_BITS) - known
-            slot = (((np.maximum(v - known, 0) + 1 << SLOT_BITS) - 1) / rest).astype("int64")
-            x = model.slot[np.minimum(slot, (1 << SLOT_BITS) - 1)]
+            over = v - known
+            slot = (((np.maximum(over, 0) + 1 << SLOT_BITS) - 1) / rest).astype("int64")
+            x = model.slot[np.minimum(slot, (1 << SLOT_BITS) - 1)].astype("int64")
             lo = model.cum[x] * rest >> SLOT_BITS
             width = (model.cum[x + 1] * rest >> SLOT_BITS) - lo
             begin = known + lo
-            is1, is2 = (v >= w2) & (v < known), v < w2
-            x = np.where(is2, p2, np.where(is1, p1, x))
-            begin = np.where(is2, 0, np.where(is1, w2, begin))
-            width = np.where(is2, w2, np.where(is1, w1, width))
-            low[:k] += r * begin.astype("<u8")
-            rng[:k] = r * width.astype("<u8")
-            for who, _ in _settle(low, rng, k):
-                code[who] = ((code[who] << _S16) & _MASK48) | stream[np.minimum(pos[who], last)]
-                pos[who] += 1
-            part[where], all_a[where], all_c[where] = x, a, ctx2
-            a, b = x, a
-        ids[at:at + size] = part
-        model.learn(all_a, all_c, part)
+            hit = np.flatnonzero(over < 0)
+            if len(hit):
+                h2 = w2[hit]
+                is2 = v[hit] < h2
+                x[hit] = np.where(is2, p2[hit], p1[hit])
+                begin[hit] = np.where(is2, 0, h2)
+                width[hit] = np.where(is2, h2, w1[hit])
+            begin *= r
+            code[:k] -= begin
+            width *= r
+            rng[:k] = width
+            who = np.flatnonzero(width < _LEAST)
+            while len(who):
+                to = pos[who]
+                code[who] = code[who] << 16 | stream[np.minimum(to, last)]
+                pos[who] = to + 1
+                rg = rng[who] << 16
+                rng[who] = rg
+                who = who[rg < _LEAST]
+            part[t, :k] = x
+            if at + size < len(ids):
+                ctx[t] = ctx2
+                for all_rows, values in zip(found, row, strict=True):
+                    all_rows[t] = values
+        ids[at:at + size] = part.T.ravel()[:size]
+        if at + size < len(ids):
+            model.learn(before[1:-1].ravel(), ctx.ravel(), part.ravel(), tuple(f.ravel() for f in found))
