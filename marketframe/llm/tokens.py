@@ -193,7 +193,8 @@ class PieceEncoder:
         ends = np.cumsum(count)
         first = np.cumsum(size) - size
         # Each id's place among those of the distinct pieces.
-        place = np.repeat(first[at] - ends + count, count) + np.arange(count.sum())
+        place = np.repeat(first[at] - ends + count, count)
+        place += np.arange(len(place))
         ids = np.frombuffer(b"".join(found), self.dtype)[place]
         bounds = np.append(0, ends)[np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy()))].tolist()
         out = [ids[a:b] for a, b in itertools.pairwise(bounds)]

@@ -90,6 +90,25 @@ def test_coder_round_trip(n, top):
         assert len(block) < n / 2
 
 
+def test_coder_looks_up_each_step_once(monkeypatch):
+    """The model is asked once per segment (coding) or step (decoding), and
+    learns nothing from the last segment; carries run over many words."""
+    calls = {"look_up": 0, "learn": 0}
+    for name in calls:
+        plain = getattr(range_coder._Model, name)
+
+        def counted(*args, name=name, plain=plain):
+            calls[name] += 1
+            return plain(*args)
+        monkeypatch.setattr(range_coder._Model, name, counted)
+    x = np.minimum(np.random.default_rng(5).geometric(0.02, 30_000), 49_000)
+    segments = range_coder._plan(len(x))[1]
+    block = range_coder.encode(x, 49_408, 1)
+    assert calls == {"look_up": len(segments), "learn": len(segments) - 1}
+    assert (range_coder.decode(block) == x).all()
+    assert calls == {"look_up": len(segments) + sum(p for *_, p in segments), "learn": 2 * (len(segments) - 1)}
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.integers(0, 9), max_size=600))
 def test_coder_round_trip_small(ids):
