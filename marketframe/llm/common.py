@@ -42,7 +42,7 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = SLICE_ROWS) -> Iterato
             yield b.slice(at, rows)
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 2048, size: int = 6_000_000) -> Iterator[pa.RecordBatch]:
+def text_slices(batches: Iterator[pa.RecordBatch], rows: int = 512, size: int = 1_500_000) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches into slices of at most ``rows`` rows and about ``size``
     bytes of the column ``text``, for work that gains by more texts at a time.
     A longer text is a slice by itself."""
