@@ -9,12 +9,13 @@ and with the order-1 confidence alone.
 
 Coder.  A block is cut into lanes that are coded in step, one numpy operation
 for all lanes, each with a range coder of 48 bits that emits 16-bit words.  The
-encoder keeps carries in its words and resolves them at the end of the block.
+encoder keeps carries in its words and resolves them at the end of the block;
+words are stored in the order in which the decoder takes them.
 Tables and probabilities adapt between segments (4, 4, 8, ... up to ``STEP``
 ids per lane); within one they are fixed, so the decoder has the same ones.
 All arithmetic is on integers or on single IEEE operations.
 
-Each block starts from empty tables and carries the crc32 of its ids.
+Each block starts from empty tables and carries the crc32 of its ids and words.
 """
 
 from __future__ import annotations
@@ -25,15 +26,18 @@ import zlib
 import numpy as np
 
 MAGIC = b"TKRC"
-VERSION = 2
+VERSION = 3
 LANES = 4096
 PER_LANE = 256
 STEP = 64
 TABLE_BITS = 18
 SLOT_BITS = 18
 TOTAL_BITS = 24
+#: Steps whose intervals are found at a time.
+ROWS = 8
 CONFIDENCE = 16
 _CONF_BITS, _CONF_MASK = 4, 15
+_SPAN_BITS = SLOT_BITS + 2
 LEAST_REST = 1 << (SLOT_BITS + 1)
 _HEAD = struct.Struct("<4sHIIII")  # magic, version, ids, lanes, vocabulary, crc32
 _FULL, _LEAST, _LOW = 1 << 48, 1 << 32, (1 << 32) - 1
@@ -68,10 +72,10 @@ class _Model:
     def _tables(self) -> None:
         total = int(self.count.sum())
         free = (1 << SLOT_BITS) - self.vocabulary
-        freq = 1 + (self.count * free // total if total else 0) * np.ones(self.vocabulary, "int64")
+        freq = 1 + self.count * free // max(total, 1)
         freq[int(self.count.argmax())] += (1 << SLOT_BITS) - int(freq.sum())
-        self.cum = np.concatenate([[0], np.cumsum(freq)]).astype("int64")
-        self.slot = np.repeat(np.arange(self.vocabulary, dtype="int32"), freq)
+        self.freq = freq
+        self.span = np.cumsum(freq) - freq << _SPAN_BITS | freq
         shape = (CONFIDENCE, CONFIDENCE, 2)
         seen = self.seen.reshape(shape)
 
@@ -89,6 +93,34 @@ class _Model:
         w1[1:, :, 1] = 0  # both predict the same id: one interval
         self.widths = (w2 << 32 | w1).reshape(-1)
 
+    def slots(self) -> np.ndarray:
+        """The id of each order-0 slot."""
+        return np.repeat(np.arange(self.vocabulary, dtype="int32"), self.freq)
+
+    def order0(self, x: np.ndarray, rest: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Start and width of the ids' intervals in what the predictions leave."""
+        both = self.span[x]
+        first = both >> _SPAN_BITS
+        both &= (1 << _SPAN_BITS) - 1
+        both += first
+        both *= rest
+        both >>= SLOT_BITS
+        first *= rest
+        first >>= SLOT_BITS
+        both -= first
+        return first, both
+
+    def intervals(self, x: np.ndarray, p1: np.ndarray, p2: np.ndarray, w2: np.ndarray, w1: np.ndarray) -> tuple:
+        """Start and width of the ids' intervals."""
+        known = w2 + w1
+        begin, width = self.order0(x, (1 << TOTAL_BITS) - known)
+        begin += known
+        is1 = np.flatnonzero((x == p1) & (w1 > 0))
+        begin[is1], width[is1] = w2[is1], w1[is1]
+        is2 = np.flatnonzero((x == p2) & (w2 > 0))
+        begin[is2], width[is2] = 0, w2[is2]
+        return begin, width
+
     def learn(self, a: np.ndarray, ctx2: np.ndarray, ids: np.ndarray, found: tuple) -> None:
         """Take in a segment, ordered by step and lane, with what ``look_up`` found."""
         p1, p2, state, w2, w1 = found
@@ -98,15 +130,15 @@ class _Model:
         self.hit2 += np.bincount(state[right2], minlength=n)
         self.hit1 += np.bincount(state[right1 & ~right2 & (w1 > 0)], minlength=n)
         self.count += np.bincount(ids, minlength=self.vocabulary)
+        entry = (ids << _CONF_BITS | 1).astype("int32")
         for table, ctx, right in ((self.order1, a, right1), (self.order2, ctx2, right2)):
-            pred, conf = table >> _CONF_BITS, table & _CONF_MASK
-            change = np.bincount(ctx, np.where(right, 1.0, -1.0), len(conf)).astype("int32")
-            np.clip(conf + change, 0, CONFIDENCE - 1, out=conf)
-            table[:] = pred << _CONF_BITS | conf
-            fresh = np.flatnonzero(~right)
-            at = ctx[fresh]
-            empty = conf[at] == 0
-            table[at[empty]] = ids[fresh[empty]] << _CONF_BITS | 1  # the last one wins
+            conf = np.bincount(ctx, np.where(right, 1.0, -1.0), len(table)).astype("int32")
+            conf += table & _CONF_MASK
+            np.clip(conf, 0, CONFIDENCE - 1, out=conf)
+            table &= ~_CONF_MASK
+            table |= conf
+            fresh = np.flatnonzero((conf == 0)[ctx] & ~right)
+            table[ctx[fresh]] = entry[fresh]  # the last one wins
         self._tables()
 
 
@@ -142,10 +174,9 @@ def encode(ids: np.ndarray, vocabulary: int, start_id: int) -> bytes:
     lanes, plan = _plan(n)
     model = _Model(vocabulary)
     low, rng = np.zeros(lanes, "int64"), np.full(lanes, _FULL - 1)
-    room = 2 * sum(p for _, _, p in plan) + 4
-    words = np.zeros(lanes * room, "uint32")
-    lane = np.arange(lanes) * room
-    put = lane.copy()  # the place of each lane's next word
+    every = np.arange(lanes, dtype="uint16")
+    # Words as they come, and whose they are; the decoder is three words ahead of each lane.
+    whose, words = [every] * 3, [np.zeros(3 * lanes, "uint32")]
     for at, size, per_lane in plan:
         part = _steps(ids[at:at + size], per_lane)
         shape = part.shape
@@ -153,45 +184,48 @@ def encode(ids: np.ndarray, vocabulary: int, start_id: int) -> bytes:
         a, b, x = before[1:-1].ravel(), before[:-2].ravel(), part.ravel()
         ctx2 = model.contexts(a, b)
         found = p1, p2, _, w2, w1 = model.look_up(a, ctx2)
-        rest = (1 << TOTAL_BITS) - w2 - w1
-        lo = model.cum[x] * rest >> SLOT_BITS
-        begin, width = w2 + w1 + lo, (model.cum[x + 1] * rest >> SLOT_BITS) - lo
-        is1 = np.flatnonzero((x == p1) & (w1 > 0))
-        begin[is1], width[is1] = w2[is1], w1[is1]
-        is2 = np.flatnonzero((x == p2) & (w2 > 0))
-        begin[is2], width[is2] = 0, w2[is2]
-        begin, width = begin.reshape(shape), width.reshape(shape)
         for t in range(per_lane):
+            if t % ROWS == 0:
+                some = slice(t * shape[1], (t + ROWS) * shape[1])
+                begin, width = (i.reshape(-1, shape[1]) for i in model.intervals(*(i[some] for i in (x, p1, p2, w2, w1))))
             k = _active(size, per_lane, t)
             r = rng[:k] >> TOTAL_BITS
-            low[:k] += r * begin[t, :k]  # bit 48 is a carry
-            r *= width[t, :k]
+            low[:k] += r * begin[t % ROWS, :k]  # bit 48 is a carry
+            r *= width[t % ROWS, :k]
             rng[:k] = r
             who = np.flatnonzero(r < _LEAST)
             while len(who):
-                to, lw = put[who], low[who]
-                words[to] = lw >> 32
-                put[who] = to + 1
+                lw = low[who]
+                whose.append(who.astype("uint16"))
+                words.append((lw >> 32).astype("uint32"))
                 low[who] = (lw & _LOW) << 16
                 rg = rng[who] << 16
                 rng[who] = rg
                 who = who[rg < _LEAST]
         if at + size < n:
             model.learn(a, ctx2, x, found)
-    for shift in (32, 16, 0):
-        words[put] = low >> shift if shift == 32 else (low >> shift) & 0xFFFF
-        put += 1
+    taken = sum(map(len, whose))
+    for tail in (low >> 32, low >> 16 & 0xFFFF, low & 0xFFFF):
+        whose.append(every)
+        words.append(tail.astype("uint32"))
+    order = np.argsort(np.concatenate(whose), kind="stable")
+    words = np.concatenate(words)[order]
     carry = np.flatnonzero(words > 0xFFFF)
     while len(carry):
         words[carry] -= 1 << 16
         carry -= 1
         words[carry] += 1
         carry = carry[words[carry] > 0xFFFF]
-    done = put - lane
-    longest = int(done.max())
-    body = words.reshape(lanes, room)[:, :longest][np.arange(longest) < done[:, None]].astype("<u2")
-    head = _HEAD.pack(MAGIC, VERSION, n, lanes if n else 0, vocabulary, zlib.crc32(ids.astype("<u4").tobytes()))
-    return head + struct.pack("<I", start_id) + (done.astype("<u4").tobytes() + body.tobytes() if n else b"")
+    body = np.empty(taken, "<u2")
+    at = np.flatnonzero(order < taken)
+    body[order[at]] = words[at + 3]
+    tail = struct.pack("<I", start_id) + (body.tobytes() if n else b"")
+    return _HEAD.pack(MAGIC, VERSION, n, lanes if n else 0, vocabulary, _checksum(ids, tail)) + tail
+
+
+def _checksum(ids: np.ndarray, tail: bytes) -> int:
+    """Of the ids and of what follows the head of their block."""
+    return zlib.crc32(tail, zlib.crc32(ids.astype("<u4").tobytes()))
 
 
 def decode(block: bytes) -> np.ndarray:
@@ -206,30 +240,25 @@ def decode(block: bytes) -> np.ndarray:
     ids = np.zeros(n, "int64")
     if n:
         at = _HEAD.size + 4
-        count = np.frombuffer(block[at:at + 4 * lanes], "<u4").astype("int64")
-        stream = np.frombuffer(block[at + 4 * lanes:at + 4 * lanes + (len(block) - at - 4 * lanes) // 2 * 2], "<u2")
-        if len(count) != lanes or count.sum() != len(stream):
+        if (len(block) - at) % 2 or len(block) - at < 6 * lanes:
             raise CorruptBlock("block is cut short")
-        _decode(ids, stream.astype("int64"), count, vocabulary, start_id)
-    if zlib.crc32(ids.astype("<u4").tobytes()) != crc:
+        _decode(ids, np.frombuffer(block, "<u2", offset=at), vocabulary, start_id)
+    if _checksum(ids, block[_HEAD.size:]) != crc:
         raise CorruptBlock("checksum differs")
     return ids
 
 
-def _decode(ids: np.ndarray, stream: np.ndarray, count: np.ndarray, vocabulary: int, start_id: int) -> None:
+def _decode(ids: np.ndarray, stream: np.ndarray, vocabulary: int, start_id: int) -> None:
     lanes, plan = _plan(len(ids))
     model = _Model(vocabulary)
-    stream = np.concatenate([stream, np.zeros(4, "int64")])  # a damaged block may ask for more
-    pos, last = np.cumsum(count) - count, len(stream) - 1
-    code = np.zeros(lanes, "int64")
-    for _ in range(3):
-        code = code << 16 | stream[np.minimum(pos, last)]
-        pos = pos + 1
+    first = stream[:3 * lanes].astype("int64").reshape(3, lanes)
+    code, pos = first[0] << 32 | first[1] << 16 | first[2], 3 * lanes
     rng = np.full(lanes, _FULL - 1)
     for at, size, per_lane in plan:
         shape = (per_lane, -(-size // per_lane))
         before = np.full((per_lane + 2, shape[1]), start_id)
         part, ctx = before[2:], np.empty(shape, "int64")
+        slots = model.slots()
         found = [np.empty(shape, kind) for kind in ("int32", "int32", "int32", "int64", "int64")]
         for t in range(per_lane):
             k = _active(size, per_lane, t)
@@ -243,10 +272,9 @@ def _decode(ids: np.ndarray, stream: np.ndarray, count: np.ndarray, vocabulary:
             rest = (1 << TOTAL_BITS) - known
             over = v - known
             slot = (((np.maximum(over, 0) + 1 << SLOT_BITS) - 1) / rest).astype("int64")
-            x = model.slot[np.minimum(slot, (1 << SLOT_BITS) - 1)].astype("int64")
-            lo = model.cum[x] * rest >> SLOT_BITS
-            width = (model.cum[x + 1] * rest >> SLOT_BITS) - lo
-            begin = known + lo
+            x = slots[np.minimum(slot, (1 << SLOT_BITS) - 1)].astype("int64")
+            begin, width = model.order0(x, rest)
+            begin += known
             hit = np.flatnonzero(over < 0)
             if len(hit):
                 h2 = w2[hit]
@@ -260,9 +288,11 @@ def _decode(ids: np.ndarray, stream: np.ndarray, count: np.ndarray, vocabulary:
             rng[:k] = width
             who = np.flatnonzero(width < _LEAST)
             while len(who):
-                to = pos[who]
-                code[who] = code[who] << 16 | stream[np.minimum(to, last)]
-                pos[who] = to + 1
+                end = pos + len(who)
+                if end > len(stream):
+                    raise CorruptBlock("block is cut short")
+                code[who] = code[who] << 16 | stream[pos:end]
+                pos = end
                 rg = rng[who] << 16
                 rng[who] = rg
                 who = who[rg < _LEAST]
@@ -274,3 +304,5 @@ def _decode(ids: np.ndarray, stream: np.ndarray, count: np.ndarray, vocabulary:
         ids[at:at + size] = part.T.ravel()[:size]
         if at + size < len(ids):
             model.learn(before[1:-1].ravel(), ctx.ravel(), part.ravel(), tuple(f.ravel() for f in found))
+    if pos != len(stream):
+        raise CorruptBlock("block is too long")

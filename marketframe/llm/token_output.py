@@ -27,6 +27,8 @@ from marketframe.llm.tokens import default_path, encoder
 
 END_ID = 1
 BLOCK_IDS = 1 << 20
+#: Bytes of text that are tokenized at a time.
+SLICE = 6_000_000
 FILE = "range int, block int, n_ids long, doc_ids array<long>, lengths array<long>, coded binary"
 _TYPES = [pa.int32(), pa.int32(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary()]
 _NAMES = ["range", "block", "n_ids", "doc_ids", "lengths", "coded"]
@@ -50,13 +52,14 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
         enc = encoder(tokenizer)
         vocabulary = max(enc.tokenizer.get_vocab_size(), end_id + 1)
         at, block, ids, docs_in, filled = None, 0, [], [], 0
+        end = np.array([end_id], enc.dtype)
 
         def flush() -> pa.RecordBatch:
             x = np.concatenate(ids)
-            row = (at, block, len(x), docs_in, [len(i) for i in ids], range_coder.encode(x, vocabulary, end_id))
+            row = (at, block, len(x), docs_in, [len(i) + 1 for i in ids[::2]], range_coder.encode(x, vocabulary, end_id))
             return pa.record_batch([pa.array([v], t) for v, t in zip(row, _TYPES, strict=True)], names=_NAMES)
 
-        for b in text_slices(batches):
+        for b in text_slices(batches, 2048, SLICE):
             new = enc.encode(b.column("text").to_pylist())
             for r, doc_id, x in zip(b.column("range").to_pylist(), b.column("doc_id").to_pylist(), new, strict=True):
                 if ids and (r != at or filled + len(x) >= block_ids):
@@ -64,7 +67,7 @@ def write(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int
                     block, ids, docs_in, filled = block + 1, [], [], 0
                 if r != at:
                     at, block = r, 0
-                ids.append(np.append(x, np.array([end_id], x.dtype)))
+                ids += [x, end]
                 docs_in.append(doc_id)
                 filled += len(x) + 1
         if ids:

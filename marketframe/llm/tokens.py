@@ -1,12 +1,12 @@
 """Token ids of whole texts with a memo of pieces.
 
-Arrow cuts a slice of texts into pieces and numbers the distinct ones; the
-``tokenizers`` library encodes each of these once; a bounded memo of two
-generations keeps pieces for the next slices.
+A slice of texts is cut into pieces by its bytes and Arrow numbers the distinct
+ones; the ``tokenizers`` library encodes each of these once; a bounded memo, two
+Arrow arrays that are looked up in one call, keeps pieces for the next slices.
 Texts are cut only where both supported kinds of tokenizer (byte-level BPE
 with the usual split pattern, and word BPE that drops white space) always
-start a new token: before a single space, around a single line feed, and
-between a letter or digit and one last full stop or comma.  Texts with other
+start a new token: before white space, around a single line feed, and between a
+letter or digit and one last full stop or comma before white space.  Texts with other
 white space are encoded whole.  Where the tokenizer lower-cases, pieces are
 lower-cased first, but for texts with a letter whose case depends on context;
 texts with a letter whose lower case ends with a sign are encoded whole.
@@ -22,8 +22,7 @@ import itertools
 import os
 import re
 from collections.abc import Iterator
-from itertools import compress, repeat
-from operator import is_
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -34,12 +33,10 @@ MEMO = 400_000
 CALL = 512
 LONG_PIECE = 64
 _SPACES = "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")
-#: White space other than space and line feed, and the cutting mark itself.
+#: White space other than space and line feed, and the mark that ends a text.
 _NOT_CUT = "\0" + _SPACES
-_PAIRS = ("  ", "\n\n", " \n", "\n ")
-_RUNS = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
-#: A full stop or comma that belongs to a longer run of signs, or to the space before it.
-_SIGNS = re.compile(r"[.,][ \n](?<=[\W_]..)", re.DOTALL)
+#: Letters and digits, by code point.
+_ALNUM = np.array([chr(c).isalnum() for c in range(1 << 16)])
 #: A letter whose lower case depends on its place, and one whose lower case ends with a sign.
 _SIGMA, _DOTTED = "\u03a3", "\u0130"
 
@@ -58,6 +55,32 @@ def default_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def _before(u: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Code points, below 65536, of the characters before the places; 0 for others."""
+    b1, b2, b3 = (u[np.maximum(at - k, 0)].astype("int64") for k in (1, 2, 3))
+    two = (b2 & 31) << 6 | b1 & 63
+    three = (b3 & 15) << 12 | (b2 & 63) << 6 | b1 & 63
+    longer = np.where(b2 >= 0xC0, two, np.where((b3 >= 0xE0) & (b3 < 0xF0), three, 0))
+    return np.where(b1 < 0x80, b1, longer)
+
+
+def _starts(u: np.ndarray) -> np.ndarray:
+    """Where the pieces of UTF-8 texts start, each text ending with a zero
+    byte, which is a piece by itself."""
+    zero, line = u == 0, u == 10
+    white = line | (u == 32)
+    cut = zero.copy()
+    cut[0] = True
+    cut[1:] |= zero[:-1] | white[1:] & ~white[:-1]
+    alone = line[1:-1] & ~white[:-2] & ~white[2:]
+    cut[2:] |= alone
+    cut[1:2] |= line[:1] & ~white[1:2]
+    sign = (u == 46) | (u == 44)
+    at = np.flatnonzero(sign[1:-1] & white[2:]) + 1
+    cut[at[_ALNUM[_before(u, at)]]] = True
+    return np.flatnonzero(cut)
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
@@ -77,8 +100,9 @@ class PieceEncoder:
         else:
             self.last = np.array([_MARK in t for t in tokens])
         self.straight = self._takes_words()
-        self.memo: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        # The memo: pieces, their ids, and the slice that last held each.
+        self.pieces, self.raw = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+        self.used, self.slice = np.zeros(0, "int64"), 0
 
     def _takes_words(self) -> bool:
         """Whether the model by itself gives the ids of whole encoding for words
@@ -117,21 +141,14 @@ class PieceEncoder:
             ids, ends = ids[~last], np.flatnonzero(last) - np.arange(last.sum())
         return self._raw(done, ends[raw[raw < 2] == 0], ids)
 
-    def _marked(self, text: str) -> str | None:
-        """The text with a mark between its pieces; None if it is encoded whole."""
+    def _prepared(self, text: str) -> str | None:
+        """The text as it is cut; None if it is encoded whole."""
         if "<|" in text or self.lower and _DOTTED in text:
             return None
         for c in _NOT_CUT:
             if c in text:
                 return None
-        if self.lower and _SIGMA not in text:
-            text = text.lower()
-        if any(p in text for p in _PAIRS):
-            return "\0".join(_RUNS.findall(text))
-        marked = text.replace("\n", "\0\n\0").replace(" ", "\0 ")
-        if not _SIGNS.search(text):
-            marked = marked.replace(".\0", "\0.\0").replace(",\0", "\0,\0")
-        return marked
+        return text.lower() if self.lower and _SIGMA not in text else text
 
     def _encode_pieces(self, pieces: list[str]) -> Iterator[tuple[str, bytes]]:
         """Each piece with its ids, all from one call of the library, which
@@ -155,48 +172,63 @@ class PieceEncoder:
         return zip(pieces, map(raw.__getitem__, map(slice, [0, *ends], ends)), strict=False)
 
     def _known(self, pieces: list[str]) -> list[bytes]:
-        """Ids of distinct pieces: from the memo, or else from the library."""
-        memo = self.memo
-        found = [*map(memo.get, pieces)]
-        missing = [*compress(range(len(found)), map(is_, found, repeat(None)))]
-        todo = []
-        for i in missing:
-            known = self.old.get(pieces[i])
-            if known is None:
-                todo.append(pieces[i])
-            else:
-                memo[pieces[i]] = known
-        new = dict(self._straight(todo)) if self.straight else {}
-        memo.update(new)
-        rest = [p for p in todo if p not in new] if len(new) < len(todo) else []
+        """Ids of distinct pieces that the memo doesn't have, from the library."""
+        new = dict(self._straight(pieces)) if self.straight else {}
+        rest = [p for p in pieces if p not in new] if len(new) < len(pieces) else []
         for at in range(0, len(rest), CALL):
-            memo.update(self._encode_pieces(rest[at:at + CALL]))
-        for i in missing:
-            found[i] = memo[pieces[i]]
-        for piece in todo:
-            if len(piece) > LONG_PIECE:
-                del memo[piece]
-        if len(memo) > MEMO:
-            self.old, self.memo = memo, {}
+            new.update(self._encode_pieces(rest[at:at + CALL]))
+        return [*map(new.__getitem__, pieces)]
+
+    def _ids(self, pieces: pa.LargeStringArray) -> pa.LargeBinaryArray:
+        """Ids of distinct pieces: from the memo, or else from the library."""
+        place = pc.index_in(pieces, value_set=self.pieces)
+        missing = place.is_null()
+        place = place.fill_null(0).to_numpy(zero_copy_only=False).astype("int64")
+        new = np.flatnonzero(missing.to_numpy(zero_copy_only=False))
+        self.slice += 1
+        self.used[place[np.delete(np.arange(len(place)), new)]] = self.slice
+        if not len(new):
+            return self.raw.take(pa.array(place))
+        added = pieces.take(pa.array(new))
+        ids = pa.array(self._known(added.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        place[new] = len(self.raw) + np.arange(len(new))
+        found = pa.concat_arrays([self.raw, ids]).take(pa.array(place))
+        short = pc.less_equal(pc.utf8_length(added), LONG_PIECE)
+        self._keep(added.filter(short), ids.filter(short))
         return found
 
+    def _keep(self, pieces: pa.LargeStringArray, raw: pa.LargeBinaryArray) -> None:
+        """Add new pieces to the memo; a full one keeps the half used last."""
+        if len(self.pieces) + len(pieces) > MEMO:
+            last = pa.array(np.sort(np.argsort(-self.used, kind="stable")[:MEMO // 2]))
+            self.pieces, self.raw, self.used = self.pieces.take(last), self.raw.take(last), self.used[last.to_numpy()]
+            pieces, raw = pieces[:MEMO // 2], raw[:MEMO // 2]
+        self.pieces, self.raw = pa.concat_arrays([self.pieces, pieces]), pa.concat_arrays([self.raw, raw])
+        self.used = np.append(self.used, np.full(len(pieces), self.slice))
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, without special tokens."""
-        marked = [self._marked(t) for t in texts]
-        whole = [i for i, m in enumerate(marked) if m is None]
-        cut = pc.split_pattern(pa.array([m or "" for m in marked], pa.large_string()), "\0")
-        coded = cut.flatten().dictionary_encode()
-        found = self._known(coded.dictionary.to_numpy(zero_copy_only=False).tolist())
-        size = np.fromiter(map(len, found), "int64", len(found)) // np.dtype(self.dtype).itemsize
-        at = coded.indices.to_numpy()
-        count = size[at]
-        ends = np.cumsum(count)
-        first = np.cumsum(size) - size
-        # Each id's place among those of the distinct pieces.
-        place = np.repeat(first[at] - ends + count, count)
-        place += np.arange(len(place))
-        ids = np.frombuffer(b"".join(found), self.dtype)[place]
-        bounds = np.append(0, ends)[np.append(0, np.cumsum(pc.list_value_length(cut).to_numpy()))].tolist()
+        if not texts:
+            return []
+        ready = [*map(self._prepared, texts)]
+        whole = [i for i, t in enumerate(ready) if t is None]
+        for i in whole:
+            ready[i] = ""
+        data = "\0".join([*ready, ""]).encode()
+        u = np.frombuffer(data, "u1")
+        starts = _starts(u)
+        cut = pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(np.append(starts, len(u))), pa.py_buffer(data))
+        coded = cut.dictionary_encode()
+        # Zero bytes have no ids.
+        pieces = coded.dictionary
+        end = pieces.index("\0").as_py()
+        known = self._ids(pa.concat_arrays([pieces[:end], pieces[end + 1:]]))
+        known = pa.concat_arrays([known[:end], pa.array([b""], known.type), known[end:]])
+        taken = known.take(coded.indices)
+        size = np.dtype(self.dtype).itemsize
+        ends = np.frombuffer(taken.buffers()[1], "int64", len(taken) + 1, taken.offset * 8)
+        ids = np.frombuffer(taken.buffers()[2] or b"", self.dtype)
+        bounds = (ends[np.append(0, np.flatnonzero(u[starts] == 0))] // size).tolist()
         out = [ids[a:b] for a, b in itertools.pairwise(bounds)]
         for i in whole:
             out[i] = np.array(self.tokenizer.encode(texts[i], add_special_tokens=False).ids, self.dtype)

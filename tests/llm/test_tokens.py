@@ -6,7 +6,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from marketframe.llm import packing, range_coder, token_output
+from marketframe.llm import packing, range_coder, token_output, tokens
 from marketframe.llm.common import text_slices
 from marketframe.llm.tokens import PieceEncoder, default_path
 from llm_rows import doc_rows
@@ -71,6 +71,43 @@ def test_a_slice_looks_up_each_piece_once(name, monkeypatch):
     assert ours.encode([]) == [] and [x.tolist() for x in ours.encode(["", ""])] == [[], []]
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_known_pieces_cost_no_call_and_the_memo_is_bounded(name, monkeypatch):
+    """Only pieces that the memo lacks become strings; a full memo keeps those used last."""
+    from tokenizers import Tokenizer
+    plain, ours = Tokenizer.from_file(default_path(name)), PieceEncoder(default_path(name))
+    monkeypatch.setattr(tokens, "MEMO", 40)
+    asked = []
+    known = ours._known
+    monkeypatch.setattr(ours, "_known", lambda pieces: asked.extend(pieces) or known(pieces))
+    rng = random.Random(8)
+    kept = "some words stay, and stay"
+    for i in range(30):
+        texts = [kept, "", " ".join("".join(rng.choices("abcd\u00e9", k=5)) for _ in range(12)), "y" * 100]
+        if i == 7:
+            texts.append(" ".join("".join(rng.choices("abcd", k=6)) for _ in range(90)))
+        got = ours.encode(texts)
+        assert [x.tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+        assert len(ours.pieces) == len(ours.raw) == len(ours.used) <= 40
+        assert ("y" * 100 in ours.pieces.to_pylist()) is False
+    assert asked.count(" words") == 1 and asked.count("y" * 100) == 30
+
+
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_pieces_are_cut_wherever_it_is_safe(name, monkeypatch):
+    """Runs of white space or signs elsewhere in a text don't keep the rest of it in larger pieces."""
+    from tokenizers import Tokenizer
+    plain, ours = Tokenizer.from_file(default_path(name)), PieceEncoder(default_path(name))
+    asked = []
+    known = ours._known
+    monkeypatch.setattr(ours, "_known", lambda pieces: asked.extend(pieces) or known(pieces))
+    texts = ["a.  b,\nc!. d\u00e9. \u0436. \u4e2d, \U0001f600. e_. f\u0301. x", ". x\n. y", "\n", ".", ". "]
+    got = ours.encode(texts)
+    assert [x.tolist() for x in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert sorted(asked) == sorted(["a", ".", "  b", ",", "\n", "c!.", " d\u00e9", " \u0436", " \u4e2d", " \U0001f600.", " e_.",
+                                    " f\u0301.", " x", " y", " "])
+
+
 def test_text_slices_are_bounded():
     import pyarrow as pa
     texts = ["abc", None, "x" * 50, "", "\u00e9" * 5, "abcdefghij", "k", None]
@@ -115,6 +152,27 @@ def test_coder_round_trip_small(ids):
     assert range_coder.decode(range_coder.encode(np.array(ids, "int64"), 10, 1)).tolist() == ids
 
 
+def test_words_are_stored_as_the_decoder_takes_them():
+    """A block has no table of lanes; one that lacks a word, or has one more, is damaged."""
+    x = np.zeros(1 << 16, "int64")
+    block = range_coder.encode(x, 49_408, 1)
+    lanes = range_coder._plan(len(x))[0]
+    assert len(block) < 26 + 9 * lanes
+    assert (range_coder.decode(block) == x).all()
+    with pytest.raises(range_coder.CorruptBlock):
+        range_coder.decode(block[:-2])
+    with pytest.raises(range_coder.CorruptBlock):
+        range_coder.decode(block + b"\0\0")
+
+
+def test_every_damaged_byte_is_found():
+    """Also one that the ids don't depend on, as in a lane's last word."""
+    block = range_coder.encode(np.arange(600) % 7, 100, 1)
+    for at in range(len(block) - 60, len(block)):
+        with pytest.raises(range_coder.CorruptBlock):
+            range_coder.decode(block[:at] + bytes([block[at] ^ 1]) + block[at + 1:])
+
+
 def test_damage_is_found():
     block = bytearray(range_coder.encode(np.arange(2000) % 37, 100, 1))
     for at in range(0, len(block), 61):
